@@ -153,7 +153,7 @@ def _term_anchors(term: Column, kinds: list[tuple[str, int]]) -> Column:
         else:
             keys = F.array(F.lit(""))
         made.append(_tag(keys, side))
-    return F.concat(*made)
+    return F.array_distinct(F.concat(*made))  # short words give one key for several lengths
 
 
 def _tag(keys: Column, side: str) -> Column:

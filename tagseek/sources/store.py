@@ -92,7 +92,11 @@ def save_index(
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     docs, postings = _tables(spark, path, build_id, doc_buckets, columns, new=mode == "overwrite")
+    if mode == "append":
+        _check_ids(spark.table(docs).select("doc_id").unionAll(documents.select("doc_id")))
     documents.repartition(doc_buckets, "doc_id").write.insertInto(docs)
+    if mode == "overwrite":
+        _check_ids(spark.table(docs).select("doc_id"))
 
     # The document table is laid out by doc_id already, so inverting it moves
     # no row between tasks; an append inverts only the records it brought.
@@ -138,6 +142,13 @@ def load_index(spark: SparkSession, path: str) -> Index:
     )
 
 
+def _check_ids(ids: DataFrame) -> None:
+    """Two records under one id would be searched as one; refuse them."""
+    twice = ids.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id").limit(3).collect()
+    if twice:
+        raise ValueError(f"doc_id must be unique, these are not: {[r[0] for r in twice]}")
+
+
 def _meta(spark: SparkSession, path: str) -> tuple[str, int, int, str]:
     try:
         return tuple(spark.read.schema(META).parquet(f"{path}/current").first())
