@@ -25,132 +25,186 @@ KINDS = {
     "four": r"^.{4}$",
 }
 
-# Fixed values: (kind, context, code). The first rule that matches at a place
-# gives the code, and the scan goes on after the text the rule consumed. A kind
-# is needed, or with "!" forbidden; "" applies to all words.
+# Per letter, (kind, context, code). The first rule that matches
+# at a place gives the code, and the scan goes on after the text the rule
+# consumed; a letter no rule matches is silent. A kind is needed, or with "!"
+# forbidden; "" applies to all words.
 V = "[AEIOUY]"
-RULES = [
-    ("", r"^(?:G(?=N)|K(?=N)|P(?=N)|W(?=R)|P(?=S))", ""),
-    ("", rf"^{V}", "A"),
-    ("", r"BB?", "P"),
-    ("", "Ç", "S"),
-    # C
-    ("", r"CH(?=IA)", "K"),
-    ("", rf"(?<=[^AEIOUY]A)CH(?=[^IE]|$)", "K"),
-    ("", r"(?<=BA)CH(?=ER)|(?<=MA)CH(?=ER)", "K"),
-    ("", r"^CA(?=ESAR)", "S"),
-    ("", r"(?<=.)CH(?=AE)", "K"),
-    ("", r"^CH(?=ARAC|ARIS|OR(?!E)|YM|IA|EM)", "K"),
-    ("sch", r"CH", "K"),
-    ("", r"(?<=OR)CH(?=ES|ID)|(?<=AR)CH(?=IT)|CH(?=[TS])", "K"),
-    ("", r"(?:^|(?<=[AOUE]))CH(?=[LRNMBHFVW]|$)", "K"),
-    ("mc", r"(?<=.)CH", "K"),
-    ("", r"CH", "X"),
-    ("", r"(?<!WI)CZ", "S"),
-    ("", r"CCI(?=A)", "X"),
-    ("", r"(?<=^A)CC(?=[IE]|H(?!U))[IEH]|(?<=U)CC(?=EE|ES)E", "KS"),
-    ("", r"(?<!^M)CC(?=[IE]|H(?!U))[IEH]", "X"),
-    ("", r"(?<!^M)CC|C[KGQ]", "K"),
-    ("", r"C[IEY]", "S"),
-    ("", r"C(?:[KQ]|C(?![EI]))?", "K"),
-    # D
-    ("", r"DG[IEY]", "J"),
-    ("", r"DG", "TK"),
-    ("", r"D[TD]?", "T"),
-    ("", r"FF?", "F"),
-    # G
-    ("", r"(?<=[^AEIOUY])GH", "K"),
-    ("", r"^GH(?=I)", "J"),
-    ("", r"^GH", "K"),
-    ("", r"(?<=[BHD].)GH|(?<=[BHD]..)GH|(?<=[BH]...)GH", ""),
-    ("", r"(?<=[CGLRT].U)GH", "F"),
-    ("", r"(?<=I)GH", ""),
-    ("", r"GH", "K"),
-    ("!slavic", r"(?<=^[AEIOUY])GN", "KN"),
-    ("!slavic", r"GN(?!EY)", "N"),
-    ("", r"GN", "KN"),
-    ("!slavic", r"GL(?=I)", "KL"),
-    ("", r"^G(?:Y|E(?=[SPBLYIR])|I(?=[BLNE]))", "K"),
-    ("!ranger", r"(?<![EI])G(?:E(?=R)|(?<![RO]G)Y)", "K"),
-    ("sch", r"G[EIY]|(?<=[AO])GG(?=I)", "K"),
-    ("", r"GE(?=T)", "K"),
-    ("", r"G[EIY]|(?<=[AO])GG(?=I)", "J"),
-    ("", r"GG?", "K"),
-    ("", rf"(?:^|(?<={V}))H{V}", "H"),
-    # J
-    ("four", r"J(?=OSE)", "H"),
-    ("", r"J(?=OSE)", "J"),
-    ("", r"^JJ?", "J"),
-    ("!slavic", rf"(?<={V})J(?=[AO])", "J"),
-    ("", r"J$", "J"),
-    ("", r"(?<![SKL])J(?![LTKSNMBZ])J?", "J"),
-    ("", r"JJ?", ""),
-    ("", r"KK?", "K"),
-    ("", r"LL?", "L"),
-    ("", r"MM|(?<=U)M(?:B$|B(?=ER))", "M"),
-    ("", r"M", "M"),
-    ("", r"NN?|Ñ", "N"),
-    ("", r"PH", "F"),
-    ("", r"P[PB]?", "P"),
-    ("", r"QQ?", "K"),
-    ("!slavic", r"(?<=IE)(?<!ME..)(?<!MA..)R$", ""),
-    ("", r"RR?", "R"),
-    # S
-    ("", r"(?<=[IY])S(?=L)", ""),
-    ("", r"^S(?=UGAR)", "X"),
-    ("", r"SH(?=EIM|OEK|OLM|OLZ)", "S"),
-    ("", r"SH", "X"),
-    ("", r"SI[OA]", "S"),
-    ("", r"^S(?=[MNLW])", "S"),
-    ("", r"SZ", "S"),
-    ("", r"SCH(?=OO|UY|ED|EM)", "SK"),
-    ("", r"SCH", "X"),
-    ("", r"SC[IEY]", "S"),
-    ("", r"SC(?:.|$)", "SK"),
-    ("", r"(?<=[AO]I)S$", ""),
-    ("", r"SS?", "S"),
-    # T
-    ("", r"TIO(?=N)|TIA|TCH", "X"),
-    ("", r"TH(?=[OA]M)", "T"),
-    ("sch", r"TH|TT(?=H)", "T"),
-    ("", r"TH|TT(?=H)", "0"),
-    ("", r"T[TD]?", "T"),
-    ("", r"VV?", "F"),
-    # W
-    ("", r"WR", "R"),
-    ("", rf"^W(?={V}|H)", "A"),
-    ("", rf"(?<={V})W$|(?<=[EO])W(?=SK[IY])", ""),
-    ("!sch", r"WI[CT]Z", "TS"),
-    # X
-    ("", r"^X", "S"),
-    ("", r"(?<=[IE]AU)X$|(?<=[AO]U)X$", ""),
-    ("", r"X[CX]?", "KS"),
-    ("", r"ZH", "J"),
-    ("", r"ZZ?", "S"),
-]
+RULES = {
+    "AEIOUY": [
+        ("", rf"^{V}", "A"),
+    ],
+    "B": [
+        ("", r"BB?", "P"),
+    ],
+    "Ç": [
+        ("", "Ç", "S"),
+    ],
+    "C": [
+        ("", r"CH(?=IA)", "K"),
+        ("", rf"(?<=[^AEIOUY]A)CH(?=[^IE]|$)", "K"),
+        ("", r"(?<=BA)CH(?=ER)|(?<=MA)CH(?=ER)", "K"),
+        ("", r"^CA(?=ESAR)", "S"),
+        ("", r"(?<=.)CH(?=AE)", "K"),
+        ("", r"^CH(?=ARAC|ARIS|OR(?!E)|YM|IA|EM)", "K"),
+        ("sch", r"CH", "K"),
+        ("", r"(?<=OR)CH(?=ES|ID)|(?<=AR)CH(?=IT)|CH(?=[TS])", "K"),
+        ("", r"(?:^|(?<=[AOUE]))CH(?=[LRNMBHFVW]|$)", "K"),
+        ("mc", r"(?<=.)CH", "K"),
+        ("", r"CH", "X"),
+        ("", r"(?<!WI)CZ", "S"),
+        ("", r"CCI(?=A)", "X"),
+        ("", r"(?<=^A)CC(?=[IE]|H(?!U))[IEH]|(?<=U)CC(?=EE|ES)E", "KS"),
+        ("", r"(?<!^M)CC(?=[IE]|H(?!U))[IEH]", "X"),
+        ("", r"(?<!^M)CC|C[KGQ]", "K"),
+        ("", r"C[IEY]", "S"),
+        ("", r"C(?:[KQ]|C(?![EI]))?", "K"),
+    ],
+    "D": [
+        ("", r"DG[IEY]", "J"),
+        ("", r"DG", "TK"),
+        ("", r"D[TD]?", "T"),
+    ],
+    "F": [
+        ("", r"FF?", "F"),
+    ],
+    "G": [
+        ("", r"^G(?=N)", ""),
+        ("", r"(?<=[^AEIOUY])GH", "K"),
+        ("", r"^GH(?=I)", "J"),
+        ("", r"^GH", "K"),
+        ("", r"(?<=[BHD].)GH|(?<=[BHD]..)GH|(?<=[BH]...)GH", ""),
+        ("", r"(?<=[CGLRT].U)GH", "F"),
+        ("", r"(?<=I)GH", ""),
+        ("", r"GH", "K"),
+        ("!slavic", r"(?<=^[AEIOUY])GN", "KN"),
+        ("!slavic", r"GN(?!EY)", "N"),
+        ("", r"GN", "KN"),
+        ("!slavic", r"GL(?=I)", "KL"),
+        ("", r"^G(?:Y|E(?=[SPBLYIR])|I(?=[BLNE]))", "K"),
+        ("!ranger", r"(?<![EI])G(?:E(?=R)|(?<![RO]G)Y)", "K"),
+        ("sch", r"G[EIY]|(?<=[AO])GG(?=I)", "K"),
+        ("", r"GE(?=T)", "K"),
+        ("", r"G[EIY]|(?<=[AO])GG(?=I)", "J"),
+        ("", r"GG?", "K"),
+    ],
+    "H": [
+        ("", rf"(?:^|(?<={V}))H{V}", "H"),
+    ],
+    "J": [
+        ("four", r"J(?=OSE)", "H"),
+        ("", r"J(?=OSE)", "J"),
+        ("", r"^JJ?", "J"),
+        ("!slavic", rf"(?<={V})J(?=[AO])", "J"),
+        ("", r"J$", "J"),
+        ("", r"(?<![SKL])J(?![LTKSNMBZ])J?", "J"),
+        ("", r"JJ?", ""),
+    ],
+    "K": [
+        ("", r"^K(?=N)", ""),
+        ("", r"KK?", "K"),
+    ],
+    "L": [
+        ("", r"LL?", "L"),
+    ],
+    "M": [
+        ("", r"MM|(?<=U)M(?:B$|B(?=ER))", "M"),
+        ("", r"M", "M"),
+    ],
+    "NÑ": [
+        ("", r"NN?|Ñ", "N"),
+    ],
+    "P": [
+        ("", r"^P(?=[NS])", ""),
+        ("", r"PH", "F"),
+        ("", r"P[PB]?", "P"),
+    ],
+    "Q": [
+        ("", r"QQ?", "K"),
+    ],
+    "R": [
+        ("!slavic", r"(?<=IE)(?<!ME..)(?<!MA..)R$", ""),
+        ("", r"RR?", "R"),
+    ],
+    "S": [
+        ("", r"(?<=[IY])S(?=L)", ""),
+        ("", r"^S(?=UGAR)", "X"),
+        ("", r"SH(?=EIM|OEK|OLM|OLZ)", "S"),
+        ("", r"SH", "X"),
+        ("", r"SI[OA]", "S"),
+        ("", r"^S(?=[MNLW])", "S"),
+        ("", r"SZ", "S"),
+        ("", r"SCH(?=OO|UY|ED|EM)", "SK"),
+        ("", r"SCH", "X"),
+        ("", r"SC[IEY]", "S"),
+        ("", r"SC(?:.|$)", "SK"),
+        ("", r"(?<=[AO]I)S$", ""),
+        ("", r"SS?", "S"),
+    ],
+    "T": [
+        ("", r"TIO(?=N)|TIA|TCH", "X"),
+        ("", r"TH(?=[OA]M)", "T"),
+        ("sch", r"TH|TT(?=H)", "T"),
+        ("", r"TH|TT(?=H)", "0"),
+        ("", r"T[TD]?", "T"),
+    ],
+    "V": [
+        ("", r"VV?", "F"),
+    ],
+    "W": [
+        ("", r"^W(?=R)", ""),
+        ("", r"WR", "R"),
+        ("", rf"^W(?={V}|H)", "A"),
+        ("", rf"(?<={V})W$|(?<=[EO])W(?=SK[IY])", ""),
+        ("!sch", r"WI[CT]Z", "TS"),
+    ],
+    "X": [
+        ("", r"^X", "S"),
+        ("", r"(?<=[IE]AU)X$|(?<=[AO]U)X$", ""),
+        ("", r"X[CX]?", "KS"),
+    ],
+    "Z": [
+        ("", r"ZH", "J"),
+        ("", r"ZZ?", "S"),
+    ],
+}
 
 
 _KIND_TESTS = {name: re.compile(test) for name, test in KINDS.items()}
-_scanners: dict[tuple[str, ...], tuple[re.Pattern, list[str]]] = {}
+_scanners: dict[tuple[str, ...], dict[str, tuple[re.Pattern, list[str]]]] = {}
 
 
-def _scanner(kinds: tuple[str, ...]) -> tuple[re.Pattern, list[str]]:
+def _scanner(kinds: tuple[str, ...]) -> dict[str, tuple[re.Pattern, list[str]]]:
+    """One expression per letter, of the rules that apply to such words."""
     if kinds not in _scanners:
-        active = [
-            (context, code)
-            for kind, context, code in RULES
-            if not kind or (kind[1:] not in kinds if kind[0] == "!" else kind in kinds)
-        ]
-        joined = "|".join(f"({context})" for context, _ in active)
-        _scanners[kinds] = re.compile(joined), [code for _, code in active]
+        table = _scanners[kinds] = {}
+        for letters, rules in RULES.items():
+            active = [
+                (context, code)
+                for kind, context, code in rules
+                if not kind or (kind[1:] not in kinds if kind[0] == "!" else kind in kinds)
+            ]
+            compiled = re.compile("|".join(f"({context})" for context, _ in active))
+            table.update(dict.fromkeys(letters, (compiled, [code for _, code in active])))
     return _scanners[kinds]
 
 
 def sound_code(word: str) -> str:
     """The word's code, or the word itself where the code is empty."""
     upper = word.upper()
-    scanner, codes = _scanner(tuple(name for name, test in _KIND_TESTS.items() if test.search(upper)))
-    code = "".join(codes[found.lastindex - 1] for found in scanner.finditer(upper))
+    table = _scanner(tuple(name for name, test in _KIND_TESTS.items() if test.search(upper)))
+    code, place = "", 0
+    while place < len(upper) and len(code) < CODE_LENGTH:
+        letter = upper[place]
+        found = None
+        if letter in table and (place == 0 or letter not in "AEIOUY"):
+            rules, codes = table[letter]
+            found = rules.match(upper, place)
+        if found:
+            code += codes[found.lastindex - 1]
+            place = found.end()
+        else:
+            place += 1
     return code[:CODE_LENGTH] or word
 
 

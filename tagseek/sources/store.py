@@ -86,7 +86,7 @@ def save_index(
         build_id = uuid.uuid4().hex[:12]
         sized = (input_bytes or 0) // BYTES_PER_BUCKET
         doc_buckets = doc_buckets or max(spark.sparkContext.defaultParallelism, sized)
-        term_buckets = term_buckets or max(8, min(256, sized // 64))
+        term_buckets = term_buckets or max(1, min(256, sized // 64))
     else:
         raise ValueError(f"mode must be overwrite or append, got {mode!r}")
 
