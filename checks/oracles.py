@@ -102,14 +102,6 @@ def flat(term: str) -> str:
     return f"translate({term}, 'ßäçèéêíñóöü', 'ABCDEFGHIJK')"
 
 
-def hyphen_hits(q: str = "q") -> str:
-    return (
-        f"SELECT p.query_id, d.doc_id FROM (SELECT query_id, array_to_string(regexp_extract_all(lower(phrase), '{WORD}'), '-') AS form "
-        f"FROM {q} WHERE len(regexp_extract_all(lower(phrase), '{WORD}')) >= 2) p JOIN documents d "
-        rf"ON contains(lower(d.text), p.form) AND regexp_matches(lower(d.text), '(^|[^\p{{L}}\p{{N}}\p{{M}}_])' || p.form || '($|[^\p{{L}}\p{{N}}\p{{M}}_])')"
-    )
-
-
 def exact_clauses(q: str = "q", p: str = "") -> str:
     """CTEs giving every clause's hits (query_id, clause, doc_id, score)."""
     parts = [
@@ -136,8 +128,7 @@ def exact_clauses(q: str = "q", p: str = "") -> str:
         f"{p}ch AS ("
         f"SELECT query_id, 'phrase' AS clause, doc_id, score FROM ({phrase_score(f'{p}qt', 2.0)}) UNION ALL "
         f"SELECT query_id, 'glued', doc_id, score FROM ({phrase_score(f'{p}glue', 1.5)}) UNION ALL "
-        f"SELECT f.query_id, 'hyphen', f.doc_id, 1.5 * i.idf * {damped('f.freq', 'f.dl')} FROM ("
-        f"SELECT h.query_id, h.doc_id, x.dl, x.freq FROM ({hyphen_hits(q)}) h JOIN {p}hyph x USING (query_id, doc_id)) f "
+        f"SELECT f.query_id, 'hyphen', f.doc_id, 1.5 * i.idf * {damped('f.freq', 'f.dl')} FROM {p}hyph f "
         f"JOIN (SELECT x.query_id, sum({idf('v.df')}) AS idf FROM {p}qt x JOIN v ON v.term = x.term, st GROUP BY x.query_id) i "
         "ON i.query_id = f.query_id, st UNION ALL "
         f"SELECT query_id, 'wildcard', doc_id, 5.0 FROM {p}wone UNION ALL "
@@ -149,13 +140,12 @@ def exact_clauses(q: str = "q", p: str = "") -> str:
         f"FROM {p}near n JOIN {p}most m ON m.query_id = n.query_id JOIN {p}tf t ON t.term = n.term, st "
         "GROUP BY n.query_id, t.doc_id)",
     ]
-    # frequency of the hyphenated form: the text split at it
+    # the hyphenated form in the raw text of records that hold the words in order
     hyph = (
-        f"{p}hyph AS (SELECT h.query_id, h.doc_id, l.dl, len(regexp_extract_all(lower(d.text), "
+        f"{p}hyph AS (SELECT * FROM (SELECT c.query_id, c.doc_id, c.dl, len(regexp_extract_all(lower(d.text), "
         rf"'(?:^|[^\p{{L}}\p{{N}}\p{{M}}_])' || f.form || '(?:$|[^\p{{L}}\p{{N}}\p{{M}}_])')) AS freq "
-        f"FROM ({hyphen_hits(q)}) h JOIN documents d ON d.doc_id = h.doc_id JOIN (SELECT doc_id, any_value(dl) AS dl FROM tok "
-        f"GROUP BY doc_id) l ON l.doc_id = h.doc_id JOIN (SELECT query_id, string_agg(term, '-' ORDER BY slot) AS form "
-        f"FROM {p}qt GROUP BY query_id) f ON f.query_id = h.query_id)"
+        f"FROM ({phrase_freq(f'{p}qt')}) c JOIN (SELECT query_id, string_agg(term, '-' ORDER BY slot) AS form FROM {p}qt "
+        "GROUP BY query_id HAVING count(*) >= 2) f ON f.query_id = c.query_id JOIN documents d ON d.doc_id = c.doc_id) WHERE freq > 0)"
     )
     parts.insert(-1, hyph)
     return ", ".join(parts)

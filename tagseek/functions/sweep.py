@@ -11,18 +11,21 @@ from pyspark.sql import types as T
 WINDOWS = T.StructType([T.StructField("freq", T.DoubleType()), T.StructField("width", T.IntegerType())])
 
 
-def sloppy_widths(slots: list[list[int]], slop: int) -> list[int]:
+def sloppy_widths(slots: list[list[int]], slop: int, apart: bool = True) -> list[int]:
     """Widths, at most ``slop``, of the windows holding one place per slot.
 
     ``slots[s]`` lists, in order, each place of word ``s`` minus ``s``: a window
     of width 0 is the exact phrase. The slot that lies furthest back always
     moves on; a window is closed once that slot would overtake the next one.
-    Slots that ask for the same word never share a place.
+    With ``apart``, two slots never share a place in the text; different words
+    cannot, so this only keeps slots asking for the same word from each other.
     """
     n = len(slots)
     at = [0] * n
 
     def clash(s: int, among) -> int | None:
+        if not apart:
+            return None
         place = slots[s][at[s]] + s
         return next((o for o in among if o != s and slots[o][at[o]] + o == place), None)
 
