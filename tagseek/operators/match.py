@@ -19,21 +19,19 @@ from .clauses import CONSTANT, FUZZY, HYPHEN, PHRASE, clause_terms
 from .postings import EXACT, SOUND, analyzed_queries
 
 
-def _places(entries: Column, slot: Column, part: str) -> Column:
-    """Sorted places of one slot, each moved back by the slot's number."""
-    own = F.filter(entries, lambda e: e["slot"] == slot)
-    moved = F.flatten(F.transform(own, lambda e: F.transform(e[part], lambda p: p - slot)))
-    return F.sort_array(moved)
+def _all_slots(entries: Column, n_slots: Column) -> Column:
+    """Per slot its sorted places, each moved back by the slot's number."""
 
+    def places(slot: Column) -> Column:
+        own = F.filter(entries, lambda e: e["slot"] == slot)
+        return F.sort_array(F.flatten(F.transform(own, lambda e: F.transform(e["places"], lambda p: p - slot))))
 
-def _all_slots(entries: Column, n_slots: Column, part: str = "positions") -> Column:
-    return F.transform(F.sequence(F.lit(0), n_slots - 1), lambda s: _places(entries, s, part))
+    return F.transform(F.sequence(F.lit(0), n_slots - 1), places)
 
 
 def _common(slots: Column) -> Column:
     """How many places all slots share: the exact phrase's frequency."""
-    rest = F.slice(slots, 2, F.greatest(F.size(slots) - 1, F.lit(1)))
-    return F.size(F.aggregate(rest, F.element_at(slots, 1), lambda a, b: F.array_intersect(a, b)))
+    return F.size(F.aggregate(slots, F.element_at(slots, 1), lambda a, b: F.array_intersect(a, b)))
 
 
 def match_terms(terms: DataFrame, index: Index, field: str, params: SearchParams, width: bool = False) -> DataFrame:
@@ -43,40 +41,28 @@ def match_terms(terms: DataFrame, index: Index, field: str, params: SearchParams
     ask "is it there"), ``width`` the tightest sloppy window.
     """
     postings = index.postings.where(F.col("field") == field).drop("field")
-    lean = F.when(F.col("kind") != CONSTANT, F.col("positions"))
-    hyphens = F.when(F.col("kind") == HYPHEN, F.col("hyphens"))
+    # A hyphenated form needs a hyphen after each word but the last. Clauses that
+    # only ask "is it there" carry no places at all.
+    inner = (F.col("kind") == HYPHEN) & (F.col("slot") < F.col("n_slots") - 1)
+    places = F.when(inner, F.col("hyphens")).when((F.col("kind") != CONSTANT) & (F.col("n_slots") > 1), F.col("positions"))
     rows = probe(postings, terms, ["term_bucket", "term"])
-    entry = F.struct("slot", "weight", "freq", lean.alias("positions"), hyphens.alias("hyphens"))
     found = rows.groupBy("query_id", "clause", "kind", "boost", "n_slots", "idf", "doc_id", "dl").agg(
-        F.collect_list(entry).alias("entries")
+        F.collect_list(F.struct("slot", "weight", "freq", places.alias("places"))).alias("entries")
     )
     kind, n, entries = F.col("kind"), F.col("n_slots"), F.col("entries")
-    needs_all = kind.isin(PHRASE, HYPHEN)
+    several = kind.isin(PHRASE, HYPHEN) & (n > 1)
     present = F.size(F.array_distinct(F.transform(entries, lambda e: e["slot"])))
-    found = found.where(~needs_all | (present == n))
-    reach = F.when(F.col("clause") == "wildcard", params.wildcard_slop).otherwise(params.slop)
-
-    plain = F.aggregate(entries, F.lit(0), lambda a, e: a + e["freq"])
-    glued = _common(
-        F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda s: F.when(s < n - 1, _places(entries, s, "hyphens")).otherwise(_places(entries, s, "positions")),
-        )
-    )
-    sloppy = max(params.slop, params.wildcard_slop) > 0
-    several = (kind == PHRASE) & (n > 1)
-    if sloppy or width:
-        swept = several if width else several & (reach > 0)
-        found = worked_out(found, slots=F.when(swept, _all_slots(entries, n)), reach=reach)
-        found = found.withColumn("windows", sloppy_windows("slots", "reach"))
-        phrase_freq = F.when(swept, F.col("windows.freq")).otherwise(_common(_all_slots(entries, n)).cast("double"))
-    else:
-        phrase_freq = _common(_all_slots(entries, n)).cast("double")
-    freq = (
-        F.when(kind == HYPHEN, glued.cast("double"))
-        .when(several, phrase_freq)
-        .when(kind != CONSTANT, plain.cast("double"))
-    )
+    found = found.where(~several | (present == n))
+    found = worked_out(found, slots=F.when(several, _all_slots(entries, n)))
+
+    exact = _common(F.col("slots")).cast("double")
+    if max(params.slop, params.wildcard_slop) > 0 or width:
+        reach = F.when(F.col("clause") == "wildcard", params.wildcard_slop).otherwise(params.slop)
+        swept = (kind == PHRASE) & (F.lit(True) if width else reach > 0)
+        found = found.withColumn("windows", sloppy_windows(F.when(swept, F.col("slots")), reach))
+        exact = F.when(swept, F.col("windows.freq")).otherwise(exact)
+    single = F.aggregate(entries, F.lit(0), lambda a, e: a + e["freq"]).cast("double")
+    freq = F.when(several, exact).when(kind != CONSTANT, single)
     found = worked_out(found, freq=freq).where(F.col("freq").isNull() | (F.col("freq") > 0))
     length = coarse_length(F.col("dl")) if params.coarse_lengths else F.col("dl")
     similar = F.aggregate(
