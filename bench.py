@@ -1,8 +1,8 @@
 """Time the headline jobs; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores. Every time covers
-planning, all jobs of a search and fetching its result. Query tables of 100 and
-10,000 rows are two-word phrases taken from the documents themselves.
+planning, all jobs of a search and fetching its result. The query table of 100
+rows holds two-word phrases taken from the documents themselves.
 """
 
 from __future__ import annotations
@@ -63,8 +63,6 @@ def main() -> None:
     timed("wildcard_match", lambda: match.match_wildcard(query_table(spark, "wildcard_match"), index).count())
     timed("fuzzy_match", lambda: match.match_fuzzy(query_table(spark, "fuzzy_match"), index).count())
     timed("suggest_phrases", lambda: spelling.suggest_phrases(query_table(spark, "spelling"), index).collect())
-    many = phrases(spark, 10_000)
-    timed("exact_search_10000", lambda: exact_search(many, index, STRICT).tags.collect())
     line = {
         "metric": "total_time",
         "value": round(sum(times.values()), 3),
