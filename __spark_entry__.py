@@ -7,6 +7,7 @@ session, as a user would.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -338,9 +339,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "glued_match": (match.match_glued, _freqs),
         "hyphen_match": (match.match_hyphenated, _freqs),
     }
-    return named | {name: _matcher(name, *parts) for name, parts in matchers.items()}
+    return named | {name: _matcher(name, *parts) for name, parts in matchers.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL, worked out from the raw tables."""
-    return dict(ORACLES)
+    return ORACLES | _training_data()[1]
+
+
+def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where that subpackage is installed."""
+    if importlib.util.find_spec("tagseek.llm") is None:
+        return {}, {}
+    import corpus_pipeline
+    from tagseek.llm import queries as training
+
+    sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return training.QUERIES | {"pipeline": corpus_pipeline.run}, training.ORACLES | sql
