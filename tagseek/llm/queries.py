@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, toxicity
+from . import decontaminate, langid, packing, pii, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,10 +15,26 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontamination, op6_packing, op7_personal_data, op8_toxicity)}
 ORACLES: dict[str, str] = {}
