@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, near_dedup, packing, pii, quality, toxicity
+from . import decontaminate, embedding_dedup, langid, near_dedup, packing, pii, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,5 +40,9 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontamination, op6_packing, op7_personal_data, op8_toxicity, op9_near_duplicates)}
+def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.groups(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontamination, op6_packing, op7_personal_data, op8_toxicity, op9_near_duplicates, op10_embedding_duplicates)}
 ORACLES: dict[str, str] = {}
