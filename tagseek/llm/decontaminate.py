@@ -121,9 +121,9 @@ def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW,
         .groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
         .select("doc_id", F.size("ids").cast("bigint").alias("n_items"), F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
     )
-    found = hit_words.join(hit_items, "doc_id")
-    return counted.join(found, "doc_id", "left").select(
-        "doc_id",
+    found = hit_words.join(hit_items, hit_words["doc_id"].eqNullSafe(hit_items["doc_id"])).drop(hit_items["doc_id"])
+    return counted.join(found, counted["doc_id"].eqNullSafe(found["doc_id"]), "left").select(
+        counted["doc_id"],
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),

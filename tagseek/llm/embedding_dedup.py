@@ -411,4 +411,4 @@ def groups(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHAR
     known = known.select("vector", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("n", F.col("copies")) - 1).alias("n_links"))
     found = rows.join(known, "vector", "left")
     component = F.coalesce("component_id", "vec_id")
-    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))
+    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))

@@ -276,7 +276,8 @@ def groups(documents: DataFrame) -> DataFrame:
 
     Null and empty texts, and texts without a word, have no shingle and are linked
     with nothing; texts of fewer than five words have one, the whole sequence.
-    Repeated rows of one doc_id are one document each, with the same component.
+    Rows that repeat a doc_id are documents of their own. A null doc_id never names
+    a component; such a row carries that of its class, or null, and is not kept.
     An empty table gives no row; further columns are ignored.
     """
     sketches = settle(sketch(documents), "sketches")
@@ -301,4 +302,4 @@ def groups(documents: DataFrame) -> DataFrame:
     named = named.select("n_shingles", "sum", "xor", F.coalesce("component", "rep").alias("component_id"))
     found = sketches.select("doc_id", "n_shingles", "sum", "xor").join(named, ["n_shingles", "sum", "xor"], "left")
     component = F.coalesce("component_id", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
