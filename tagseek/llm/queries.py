@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, langid, near_dedup, packing, pii, quality, suffix_dedup, toxicity
+from . import decontaminate, embedding_dedup, html_text, langid, near_dedup, packing, pii, quality, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_suffix_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.deduplicate(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -49,5 +53,5 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.groups(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontamination, op5_suffix_duplicates, op6_packing, op7_personal_data, op8_toxicity, op9_near_duplicates, op10_embedding_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontamination, op4_page_text, op5_suffix_duplicates, op6_packing, op7_personal_data, op8_toxicity, op9_near_duplicates, op10_embedding_duplicates)}
 ORACLES: dict[str, str] = {}

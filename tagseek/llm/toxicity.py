@@ -248,6 +248,24 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The documents, with all their columns, whose score is below ``threshold``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tags, odds = model.tables()
+        for batch in batches:
+            total = np.zeros(batch.num_rows)
+            for piece in bw.slices(batch["text"]):
+                words, scores = token_scores(piece, tags, odds)
+                n_words = np.bincount(words.row, minlength=len(piece))
+                for i, own in passages(words, scores, len(piece)):
+                    total[piece.low + i] = evidence(own, int(n_words[i]), model.decay, model.scale)[0]
+            p = 1 / (1 + np.exp(-np.clip(model.slope * np.log1p(total) + model.offset, -30, 30)))
+            yield batch.filter(pa.array(p < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def classify(documents: DataFrame, labels: DataFrame, target: str = "toxic", threshold: float = 0.5, max_rows: int = MAX_ROWS) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, passages.
 
