@@ -31,8 +31,10 @@ KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 BUCKETS = 4096
 CHAIN = 0.1
-SKIP = 6.0
+SKIP = 8.0
 CERTAIN = 0.9
+#: No shape speaks more strongly than this against a label, so a repeated value can.
+FLOOR = -4.0
 ROUNDS = 8
 
 _RUN_BACK = re.compile(r"[A-Za-z0-9._%+-]")
@@ -165,7 +167,7 @@ def fit(documents: DataFrame) -> np.ndarray:
     sums[table["cell"].to_numpy()] += table["n"].to_numpy()
     sums = sums.reshape(BUCKETS, OTHER + 1)
     sums[:, OTHER] += 0.5
-    return np.log(sums / sums.sum(axis=1, keepdims=True))
+    return np.maximum(np.log(sums / sums.sum(axis=1, keepdims=True)), FLOOR)
 
 
 def _shape(token: str, seen: dict[str, int]) -> int:

@@ -177,6 +177,8 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality", max_ro
 
     rows = training_rows(documents, labels, target, max_rows).mapInArrow(extract, "doc_id bigint, y int, feats binary")
     found = rows.repartition(1).mapInArrow(learn, "weights binary, rest array<double>").first()
+    if found is None:  # not even an empty task ran
+        return fit_rows([], np.zeros(0, np.int64))
     return Model(np.frombuffer(found["weights"], np.float32), *found["rest"])
 
 

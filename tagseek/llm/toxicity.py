@@ -216,6 +216,8 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "toxic", max_rows
 
     rows = training_rows(documents, labels, target, max_rows).repartition(1)
     found = rows.mapInArrow(learn, "packed array<binary>, rest array<double>").first()
+    if found is None:  # not even an empty task ran
+        return fit_texts([], np.zeros(0, np.int64))
     slot, tag, odds = (np.frombuffer(p, t) for p, t in zip(found["packed"], (np.int64, np.uint32, np.float32)))
     return Model(slot, tag, odds, *found["rest"])
 
