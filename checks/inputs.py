@@ -16,7 +16,7 @@ PHRASES = {
     "prefix_match": ["thou*"],
     "wildcard_match": ["t?e*", "*hou*", "*keit"],
     "wildcard_phrase": ["of th*", "t?e und", "thou*"],
-    "fuzzy_match": ["whcih", "nichts~"],
+    "fuzzy_match": ["whcih", "nichts~", "thta", "ther"],
     "glued_match": ["th at", "nicht"],
     "hyphen_match": ["by nc", "of the"],
     "clauses": [

@@ -121,8 +121,7 @@ def exact_clauses(q: str = "q", p: str = "") -> str:
         f"{p}near AS (SELECT query_id, term, df, 1 - d * 1.0 / least(length(word), length(term)) AS weight FROM ("
         f"SELECT l.query_id, l.word, v.term, v.df, damerau_levenshtein({flat('l.word')}, {flat('v.term')}) AS d "
         f"FROM {p}lookalike l JOIN v ON abs(length(v.term) - length(l.word)) <= 2) "
-        "WHERE d <= 2 AND d < least(length(word), length(term)) "
-        "QUALIFY row_number() OVER (PARTITION BY query_id, word ORDER BY d * 1.0 / least(length(word), length(term)), term) <= 50)",
+        "WHERE d <= 2 AND d < least(length(word), length(term)))",
         f"{p}most AS (SELECT query_id, max(df) AS df FROM {p}near GROUP BY query_id)",
         f"{p}tf AS (SELECT doc_id, term, dl, count(*) AS freq FROM tok GROUP BY doc_id, term, dl)",
         f"{p}ch AS ("

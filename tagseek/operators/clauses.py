@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ from .rank import top_per_key
 # the sum over the similar words found.
 PHRASE, HYPHEN, CONSTANT, FUZZY = "phrase", "hyphen", "constant", "fuzzy"
 
+# Beginnings that one scan filter lists at most; more are shortened until they fit.
+STARTS = 50
+# Shares of the vocabulary that patterns without a letter meet one by one.
+ANY_KEYS = 32
+
 
 def _is_pattern(word: Column) -> Column:
     return word.contains("*") | word.contains("?")
@@ -124,17 +131,18 @@ def pattern_regex(pattern: Column) -> Column:
 
 
 def _anchors(pattern: Column) -> Column:
-    """Where a pattern is fixed: (side, text) of its literal head, else of its
-    literal tail, else of its longest inner run; side ``any`` if it has none."""
+    """Where a pattern is fixed: (side, text) of its longest literal run; of equal
+    ones the head, then the tail. Side ``any`` if it has none."""
     head = F.regexp_extract(pattern, r"^([^*?]*)", 1)
     tail = F.regexp_extract(pattern, r"([^*?]*)$", 1)
     runs = F.filter(F.split(pattern, r"[*?]+"), lambda r: r != "")
     inner = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
+    size = F.greatest(F.length(head), F.length(tail), F.coalesce(F.length(inner), F.lit(0)))
     return (
-        F.when(head != "", F.struct(F.lit("head").alias("side"), head.alias("key")))
-        .when(tail != "", F.struct(F.lit("tail").alias("side"), tail.alias("key")))
-        .when(inner.isNotNull(), F.struct(F.lit("inner").alias("side"), inner.alias("key")))
-        .otherwise(F.struct(F.lit("any").alias("side"), F.lit("").alias("key")))
+        F.when(inner.isNull(), F.struct(F.lit("any").alias("side"), F.lit("").alias("key")))
+        .when(F.length(head) == size, F.struct(F.lit("head").alias("side"), head.alias("key")))
+        .when(F.length(tail) == size, F.struct(F.lit("tail").alias("side"), tail.alias("key")))
+        .otherwise(F.struct(F.lit("inner").alias("side"), inner.alias("key")))
     )
 
 
@@ -151,7 +159,7 @@ def _term_anchors(term: Column, kinds: list[tuple[str, int]]) -> Column:
                 F.transform(F.sequence(F.lit(1), F.greatest(F.length(term) - n + 1, F.lit(1))), lambda i: F.substring(term, i, F.lit(n)))
             )
         else:
-            keys = F.array(F.lit(""))
+            keys = F.array(F.pmod(F.xxhash64(term), F.lit(ANY_KEYS)).cast("string"))
         made.append(_tag(keys, side))
     return F.array_distinct(F.concat(*made))  # short words give one key for several lengths
 
@@ -160,36 +168,49 @@ def _tag(keys: Column, side: str) -> Column:
     return F.transform(keys, lambda k: F.struct(F.lit(side).alias("side"), k.alias("key")))
 
 
+def _starts(keyed: DataFrame) -> Column:
+    """A filter for the scan, which is sorted by term: the heads' beginnings, as
+    long as few enough of them are distinct. The join on whole heads follows."""
+    heads = keyed.where(F.col("side") == "head")
+    length = heads.agg(F.max(F.length("key"))).first()[0]
+    while True:
+        rows = heads.select(F.left("key", F.lit(length)).alias("head")).distinct().limit(STARTS + 1).collect()
+        if len(rows) <= STARTS:
+            return reduce(Column.__or__, [F.col("term").startswith(r["head"]) for r in rows])
+        if length == 1:
+            return F.lit(True)
+        length //= 2
+
+
 def expand_patterns(patterns: DataFrame, vocabulary: DataFrame, max_expansions: int | None = None) -> DataFrame:
     """patterns(pattern) × vocabulary(term, …) → the words each pattern accepts.
 
     An equi-join on the patterns' literal parts, then the full test on what is
     left; the distinct (side, length) pairs are at most a few per word length.
+    Patterns without a letter are met in shares of the vocabulary.
     """
     distinct = patterns.select("pattern").distinct()
     keyed = distinct.select("pattern", _anchors(F.col("pattern")).alias("a")).select(
         "pattern", pattern_regex(F.col("pattern")).alias("regex"), "a.side", "a.key"
     )
+    keys = F.when(F.col("side") == "any", F.array(*[F.lit(str(i)) for i in range(ANY_KEYS)])).otherwise(F.array("key"))
+    spread = keyed.select("pattern", "regex", "side", F.explode(keys).alias("key"))
     kinds = [tuple(r) for r in keyed.select("side", F.length("key")).distinct().orderBy("side", F.length("key")).collect()]
-    if not kinds:
-        kinds = [("any", 0)]
-    narrowed = vocabulary
-    heads = keyed.where(F.col("side") == "head").select("key").distinct().limit(51).collect()
-    if 0 < len(heads) <= 50 and all(side == "head" for side, _ in kinds):
-        starts = F.lit(False)
-        for row in heads:
-            starts = starts | F.col("term").startswith(row["key"])
-        narrowed = vocabulary.where(starts)  # reaches the scan, which is sorted by term
-    candidates = narrowed.withColumn("a", F.explode(_term_anchors(F.col("term"), kinds))).select(
-        *vocabulary.columns, "a.side", "a.key"
-    )
-    found = candidates.join(keyed, ["side", "key"]).where(F.expr("term rlike regex")).drop("side", "key", "regex")
+    found = None
+    for of_head in (True, False):
+        own = [k for k in kinds if (k[0] == "head") == of_head]
+        if own or (found is None and not of_head):
+            narrowed = vocabulary.where(_starts(keyed)) if of_head else vocabulary
+            candidates = narrowed.withColumn("a", F.explode(_term_anchors(F.col("term"), own or [("any", 0)])))
+            part = candidates.select(*vocabulary.columns, "a.side", "a.key").join(spread, ["side", "key"])
+            part = part.where(F.expr("term rlike regex")).drop("side", "key", "regex")
+            found = part if found is None else found.unionByName(part)
     if max_expansions is not None:
         found = top_per_key(found, "pattern", [F.col("term").asc()], max_expansions)
     return found
 
 
-def expand_fuzzy(words: DataFrame, vocabulary: DataFrame, edits: int, keep: int | None = 50) -> DataFrame:
+def expand_fuzzy(words: DataFrame, vocabulary: DataFrame, edits: int, keep: int | None = None) -> DataFrame:
     """words(word) × vocabulary(term, …) → similar terms with ``weight``.
 
     Candidates share what is left after dropping up to ``edits`` letters, so

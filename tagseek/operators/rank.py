@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.scoring import saturation
 from ..sources.store import Index, probe
 
-# Each query's hits are ranked in this many shares first, so that no task ever
-# holds all hits of one frequent query.
-SHARES = 64
-
 
 def bm25(freqs: DataFrame, stats: DataFrame, doc_lengths: DataFrame | None = None) -> DataFrame:
     """freqs(query_id, doc_id, freq, idf[, boost, dl]) → the same with ``score``.
@@ -54,25 +50,11 @@ def top_n(hits: DataFrame, n: int) -> DataFrame:
     """Best ``n`` hits per query, ties in record order, with ``rank`` and
     ``total_hits``, the number of hits before the cut.
 
-    Counting and cutting go together in two steps: first within shares of each
-    query's hits, then across the few rows every share kept.
+    The planner cuts each task's rows before it shuffles them, and totals are sums
+    of each task's counts, so no task holds all hits of one frequent query.
     """
-    best = [F.col("score").desc(), F.col("doc_id").asc()]
-    share = Window.partitionBy("query_id", "share")
-    kept = (
-        hits.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int"))
-        .withColumn("place", F.row_number().over(share.orderBy(*best)))
-        .withColumn("in_share", F.count(F.lit(1)).over(share))
-        .where(F.col("place") <= n)
-    )
-    query = Window.partitionBy("query_id")
-    counted = F.sum(F.when(F.col("place") == 1, F.col("in_share")).otherwise(0)).over(query)
-    return (
-        kept.withColumn("rank", F.row_number().over(query.orderBy(*best)))
-        .withColumn("total_hits", counted.cast("bigint"))
-        .where(F.col("rank") <= n)
-        .select("query_id", "doc_id", "score", "rank", "total_hits")
-    )
+    ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())))
+    return ranked.where(F.col("rank") <= n).join(total_hits(hits), "query_id").select("query_id", "doc_id", "score", "rank", "total_hits")
 
 
 def total_hits(hits: DataFrame, queries: DataFrame | None = None) -> DataFrame:

@@ -52,9 +52,11 @@ def dictionary_of(vocabulary: DataFrame, min_word: int = MIN_WORD) -> DataFrame:
 def build_dictionary(index: Index, rebuild: bool = False) -> DataFrame:
     """The index's saved n-grams; made if asked, missing or empty.
 
-    One folder per gram bucket, sorted by gram, so a lookup opens few files.
+    One folder per gram bucket, sorted by gram, so a lookup opens few files. It is
+    kept by the number of records and words, which every append raises: an
+    appended index gets a dictionary of its own when next asked.
     """
-    spark, path = index.spark, f"{index.path}/{index.build_id}/dictionary"
+    spark, path = index.spark, f"{index.path}/{index.build_id}/dictionary-{index.n_docs}-{index.n_tokens}"
     saved = spark.read.schema(DICTIONARY)
     if not rebuild:
         try:

@@ -26,6 +26,7 @@ class SearchParams:
     ``wildcard_slop`` and ``max_expansions`` are separate on purpose: a
     wildcard phrase needs its words in order, while ``max_expansions`` limits
     how many vocabulary words (in byte order) each wildcard may stand for.
+    ``fuzzy_terms`` does so for similar words; neither limits anything unless set.
     """
 
     boost_exact: float = 2.0
@@ -37,7 +38,7 @@ class SearchParams:
     slop: int = 2
     min_should_match: int = 1
     fuzzy_edits: int = 2
-    fuzzy_terms: int | None = 50
+    fuzzy_terms: int | None = None
     wildcard_slop: int = 0
     max_expansions: int | None = None
     min_occur: int = 2

@@ -68,6 +68,12 @@ def fallback_search(
     """
     few = totals.where(F.col("total_hits") < params.fallback_below).select("query_id")
     scarce = queries.join(few, "query_id", "left_semi")
+    if few.isEmpty():  # every query has hits enough: nothing to suggest or search
+        return Fallback(
+            totals.sparkSession.createDataFrame([], "query_id bigint, bookmark_tag string, score double, source_order int, first_rank int"),
+            totals.where(F.lit(False)),
+            totals.sparkSession.createDataFrame([], "query_id bigint, place int, suggestion string"),
+        )
     if suggestions is None:
         suggestions = settle(suggest_phrases(scarce, index, params), "suggestions")
     else:

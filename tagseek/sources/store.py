@@ -24,6 +24,10 @@ from ..session import settings
 
 BYTES_PER_BUCKET = 256 << 20
 
+#: Bounds of the layout: beyond them buckets and folders grow larger, not more.
+MOST_DOC_BUCKETS = 8192
+MOST_TERM_BUCKETS = 256
+
 VOCABULARY = "field string, term_bucket int, term string, df bigint, cf bigint"
 META = "build_id string, doc_buckets int, term_buckets int, columns string"
 
@@ -34,6 +38,21 @@ def total_bytes(spark: SparkSession, *paths: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def planned_bytes(documents: DataFrame) -> int:
+    """The planner's size of ``documents``: its files' sizes, carried through its steps.
+
+    Where it does not know (it then names a size no cluster holds), 0.
+    """
+    known = int(str(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known if known < 1 << 60 else 0
+
+
+def layout(input_bytes: int, least: int) -> tuple[int, int]:
+    """(document buckets, term buckets) for so much input."""
+    sized = input_bytes // BYTES_PER_BUCKET
+    return min(max(least, sized), MOST_DOC_BUCKETS), max(1, min(MOST_TERM_BUCKETS, sized // 64))
+
+
 @dataclass
 class Index:
     """Opened tables of one index, and the corpus numbers ranking needs."""
@@ -76,7 +95,7 @@ def save_index(
 
     ``overwrite`` starts a new build beside the old one, which readers may go on
     using; ``append`` adds records to the current build. Bucket counts follow
-    ``input_bytes`` (see ``total_bytes``) unless given.
+    ``input_bytes`` (see ``total_bytes``; unset, the planner's figure) unless given.
     """
     spark = documents.sparkSession
     documents = with_document_columns(documents)
@@ -84,9 +103,9 @@ def save_index(
         build_id, doc_buckets, term_buckets, _ = _meta(spark, path)
     elif mode == "overwrite":
         build_id = uuid.uuid4().hex[:12]
-        sized = (input_bytes or 0) // BYTES_PER_BUCKET
-        doc_buckets = doc_buckets or max(spark.sparkContext.defaultParallelism, sized)
-        term_buckets = term_buckets or max(1, min(256, sized // 64))
+        least = spark.sparkContext.defaultParallelism
+        sized = layout(planned_bytes(documents) if input_bytes is None else input_bytes, least)
+        doc_buckets, term_buckets = doc_buckets or sized[0], term_buckets or sized[1]
     else:
         raise ValueError(f"mode must be overwrite or append, got {mode!r}")
 
@@ -190,15 +209,13 @@ def index_stats(index: Index) -> DataFrame:
 def probe(table: DataFrame, wanted: DataFrame, keys: list[str], literal_cap: int = 1000) -> DataFrame:
     """Inner join of a large saved ``table`` with ``wanted`` rows.
 
-    Up to ``literal_cap`` distinct keys are also put into the scan's filter, so
-    only their folders, buckets and row groups are opened. Beyond that the join
-    stands alone; the planner broadcasts ``wanted`` only if its size allows.
+    Each key with at most ``literal_cap`` distinct values is also put into the
+    scan's filter; the folders' key always is, since an index has at most
+    ``MOST_TERM_BUCKETS`` of them. The planner broadcasts ``wanted`` only if its
+    size allows.
     """
-    few = wanted.select(*keys).distinct().limit(literal_cap + 1).collect()
-    if len(few) <= literal_cap:
-        for key in keys:
-            table = table.where(F.col(key).isin(sorted({row[key] for row in few})))
+    for key in keys:
+        few = wanted.select(key).distinct().limit(literal_cap + 1).collect()
+        if len(few) <= literal_cap:
+            table = table.where(F.col(key).isin(sorted(row[key] for row in few if row[key] is not None)))
     return table.join(wanted, keys)
-
-
-

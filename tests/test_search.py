@@ -202,3 +202,58 @@ def test_search_does_not_shuffle_postings(index, ask):
 def test_bad_settings_raise(bad):
     with pytest.raises(ValueError):
         SearchParams(**bad)
+
+
+def test_layout_is_bounded():
+    from tagseek.sources.store import layout
+
+    docs, terms = layout(100 << 40, 8)
+    assert docs <= 8192 and 1 < terms <= 256
+    assert layout(0, 8) == (8, 1)
+
+
+def test_dictionary_follows_appends(spark):
+    from tagseek.operators.spelling import build_dictionary, suggest_phrases
+    from tagseek.session import fresh_path
+    from tagseek.sources.store import load_index, save_index
+
+    path = fresh_path(spark, "appended")
+    rows = lambda *r: spark.createDataFrame(r, "doc_id bigint, text string")
+    build_dictionary(save_index(rows((1, "alpha beta")), path, doc_buckets=2))
+    save_index(rows((2, "hyperspace lane")), path, mode="append")
+    asked = spark.createDataFrame([(1, "hyperspase")], "query_id bigint, phrase string")
+    assert [r["suggestion"] for r in suggest_phrases(asked, load_index(spark, path)).collect()] == ["hyperspace"]
+
+
+def test_many_queries_still_open_their_folders_only(spark, index):
+    words = [(i, f"word{i}") for i in range(2000)] + [(2000, "hyper")]
+    asked = spark.createDataFrame(words, "query_id bigint, phrase string")
+    found = match.match_term(asked, index)
+    assert {r["query_id"] for r in found.select("query_id").distinct().collect()} == {2000}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "term_bucket" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_top_n_is_cut_before_the_exchange(spark):
+    hits = spark.createDataFrame([(1, i, float(i)) for i in range(50)], "query_id bigint, doc_id bigint, score double")
+    plan = rank.top_n(hits.repartition(4), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_fuzzy_words_are_not_capped(spark):
+    from tagseek.operators.clauses import expand_fuzzy
+
+    terms = [("a" + x + y, 0, 1) for x in "bcdefghijk" for y in "bcdefghijk"]
+    vocabulary = spark.createDataFrame(terms, "term string, term_bucket int, df int")
+    words = spark.createDataFrame([("abb",)], "word string")
+    assert expand_fuzzy(words, vocabulary, 2).count() == len(terms)
+
+
+def test_patterns_without_letters_and_many_heads(spark):
+    from tagseek.operators.clauses import expand_patterns
+
+    vocabulary = spark.createDataFrame([(f"w{i:03d}x", 0) for i in range(300)] + [("ab", 0)], "term string, n int")
+    patterns = spark.createDataFrame([("*",), ("??",)] + [(f"w{i:03d}*",) for i in range(200)] + [("*9x",)], "pattern string")
+    found = expand_patterns(patterns, vocabulary).groupBy("pattern").count()
+    counts = {r["pattern"]: r["count"] for r in found.collect()}
+    assert counts["*"] == 301 and counts["??"] == 1 and counts["*9x"] == 30 and counts["w007*"] == 1 and len(counts) == 203
