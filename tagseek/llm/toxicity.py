@@ -13,7 +13,7 @@ one pass without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,18 +53,22 @@ class Model:
         return tags, odds
 
 
-def units(piece: bw.Slice) -> tuple[bw.Runs, Iterator[np.ndarray]]:
-    """Words, and their units' hashes from the shortest beginning to the whole word."""
+LEVELS = len(PREFIXES) + 1
+
+
+def units(piece: bw.Slice) -> tuple[bw.Runs, Callable[[int], np.ndarray]]:
+    """Words, and the hashes of their units by level: the beginnings, then the whole word."""
     data = bw.LOWER[piece.data]
     words = bw.runs(piece, _WORD[data])
     sums = bw.prefix_hash(data)
 
-    def levels() -> Iterator[np.ndarray]:
-        for k in PREFIXES:
-            yield bw.span_hash(sums, words.start, np.minimum(words.start + k, words.end)) ^ np.uint64(k)
-        yield bw.span_hash(sums, words.start, words.end)
+    def level(k: int) -> np.ndarray:
+        if k == len(PREFIXES):
+            return bw.span_hash(sums, words.start, words.end)
+        ends = np.minimum(words.start + PREFIXES[k], words.end)
+        return bw.span_hash(sums, words.start, ends) ^ np.uint64(PREFIXES[k])
 
-    return words, levels()
+    return words, level
 
 
 def _place(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,10 +77,10 @@ def _place(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def token_scores(piece: bw.Slice, tags: np.ndarray, odds: np.ndarray) -> tuple[bw.Runs, np.ndarray]:
     """Log-odds of each word less the drift."""
-    words, levels = units(piece)
+    words, level = units(piece)
     found = np.zeros(len(words.start), np.float32)
-    for h in levels:
-        slot, tag = _place(h)
+    for k in range(LEVELS):
+        slot, tag = _place(level(k))
         np.copyto(found, odds[slot], where=tags[slot] == tag)
     return words, found - np.float32(DRIFT)
 
@@ -125,28 +129,24 @@ def _unit_odds(column: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """(slot, tag, log-odds) of the units that tell more than their shorter beginning."""
     none = np.zeros(0, np.int64)
     base = (y.sum() + 1) / (len(y) + 2)
-    levels_of: list[list[np.ndarray]] = [[] for _ in range(len(PREFIXES) + 1)]
-    rows_of = []
+    firsts, rows_of = [], []
     for piece in bw.slices(column):
-        words, levels = units(piece)
-        if not len(words.start):
-            continue
-        every = np.column_stack(list(levels))
+        words, level = units(piece)
         # a word counts once in a text
-        order = np.lexsort((every[:, -1], words.row))
+        whole = level(LEVELS - 1)
+        order = np.lexsort((whole, words.row))
         new = np.ones(len(order), bool)
-        new[1:] = (every[order[1:], -1] != every[order[:-1], -1]) | (words.row[order[1:]] != words.row[order[:-1]])
-        first = order[new]
-        for k in range(every.shape[1]):
-            levels_of[k].append(every[first, k])
-        rows_of.append(words.row[first] + piece.low)
-    if not rows_of:
+        new[1:] = (whole[order[1:]] != whole[order[:-1]]) | (words.row[order[1:]] != words.row[order[:-1]])
+        firsts.append(order[new].astype(np.int32))
+        rows_of.append(words.row[firsts[-1]] + piece.low)
+    toxic = y[np.concatenate(rows_of)] == 1 if rows_of else np.zeros(0, bool)
+    if not len(toxic):
         return none, none.astype(np.uint32), none.astype(np.float32)
-    toxic = y[np.concatenate(rows_of)] == 1
     parent = np.full(len(toxic), base)
     known = np.zeros(len(toxic))
     kept: dict[int, tuple[int, float, int]] = {}
-    for own in map(np.concatenate, levels_of):
+    for k in range(LEVELS):  # one level in memory at a time
+        own = np.concatenate([units(piece)[1](k)[first] for piece, first in zip(bw.slices(column), firsts)])
         ids, back, n = np.unique(own, return_inverse=True, return_counts=True)
         t = np.bincount(back, weights=toxic, minlength=len(ids))
         prior, above = np.zeros(len(ids)), np.zeros(len(ids))
