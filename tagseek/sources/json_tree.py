@@ -44,17 +44,22 @@ WITH RECURSIVE tree (filename, filepath, path, node, shape, direct, sealed) MAX
   )
   WHERE shape IN ('OBJECT', 'ARRAY')
 )
-SELECT filename, filepath, path, size(path) AS depth, direct, sealed, node AS fields FROM tree WHERE shape = 'OBJECT'
+SELECT filename, filepath, path, size(path) AS depth, direct, sealed, {own} AS fields FROM tree WHERE shape = 'OBJECT'
 """
 _DIRECT = (
     "CASE WHEN shape = 'OBJECT' AND schema_of_variant(try_variant_get(node, '$.bookmark_tag', 'variant')) = 'STRING' "
     "THEN try_variant_get(node, '$.bookmark_tag', 'string') END"
 )
+# An object without its object and array members, which are rows of their own.
+_OWN = (
+    "to_variant_object(map_filter(CAST(node AS map<string, variant>), "
+    "(k, v) -> NOT coalesce(startswith(schema_of_variant(v), 'OBJECT') OR startswith(schema_of_variant(v), 'ARRAY'), false)))"
+)
 
 
 def flatten_json(files: DataFrame, max_levels: int = 500, on_error: str = "fail") -> DataFrame:
     """Every object at any depth → (filename, filepath, path, depth, direct,
-    sealed, fields), ``fields`` being the object itself.
+    sealed, fields), ``fields`` being the object's own scalar members.
 
     A malformed file fails the job, or is left out with ``on_error="skip"``.
     Levels are worked off one after the other, each over all files at once.
@@ -63,7 +68,7 @@ def flatten_json(files: DataFrame, max_levels: int = 500, on_error: str = "fail"
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     parse = {"fail": F.parse_json, "skip": F.try_parse_json}[on_error]
     roots = files.select("filename", "filepath", parse("value").alias("node"))
-    return spark.sql(_TREE.format(levels=max_levels, direct=_DIRECT), roots=roots)
+    return spark.sql(_TREE.format(levels=max_levels, direct=_DIRECT, own=_OWN), roots=roots)
 
 
 def tag_files(nodes: DataFrame, strict: bool = False) -> DataFrame:

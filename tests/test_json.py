@@ -77,3 +77,8 @@ def test_missing_tag_and_malformed_file(spark):
     with pytest.raises(Exception, match="MALFORMED"):
         flatten_json(_files(spark, '{"a": ')).collect()
     assert flatten_json(_files(spark, '{"a": ', "{}"), on_error="skip").count() == 1
+
+
+def test_records_hold_their_own_scalars_only(spark):
+    rows = flatten_json(_files(spark, '{"a": 1, "o": {"b": "x", "l": [1, {"c": true}]}, "n": null}')).select(F.to_json("fields").alias("j"))
+    assert {r.j for r in rows.collect()} == {'{"a":1,"n":null}', '{"b":"x"}', '{"c":true}'}
