@@ -5,6 +5,7 @@ from __future__ import annotations
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,3 +89,44 @@ def sloppy_windows(slots: pa.Array, slop: pa.Array) -> pa.Array:
         tightest.append(min(widths, default=None))
     columns = [pa.array(freqs, pa.float64()), pa.array(tightest, pa.int32())]
     return pa.StructArray.from_arrays(columns, fields=_ARROW_FIELDS)
+
+
+def apart(slots: Column) -> Column:
+    """Whether two slots never name the same place of the text, so none can clash."""
+    second = F.transform(F.get(slots, 1), lambda p: p + 1)
+    return (F.size(slots) == 2) & ~F.arrays_overlap(F.get(slots, 0), second)
+
+
+def _marked(places: Column, a: bool, b: bool) -> Column:
+    return F.transform(places, lambda p: F.struct(p.alias("p"), F.lit(a).alias("a"), F.lit(b).alias("b")))
+
+
+def pair_windows(slots: Column, slop: Column) -> Column:
+    """(frequency, tightest width) of two slots that are ``apart``, without Python.
+
+    Going through all places in order, a window lies between neighbours of
+    different slots. Where both slots have a place, the slot at hand comes first.
+    """
+    first, second = F.get(slots, 0), F.get(slots, 1)
+    shared = F.array_intersect(first, second)
+    parts = ((F.array_except(first, shared), True, False), (F.array_except(second, shared), False, True), (shared, True, True))
+    marked = F.array_sort(F.concat(*[_marked(places, a, b) for places, a, b in parts]))
+    start = F.struct(
+        F.lit(None).cast("boolean").alias("at_first"), F.lit(0).alias("last"), F.lit(0.0).alias("freq"), F.lit(None).cast("int").alias("width")
+    )
+
+    def step(state: Column, x: Column) -> Column:
+        both = x["a"] & x["b"]
+        turned = state["at_first"].isNotNull() & (state["at_first"] != x["a"])
+        width = F.when(both, 0).when(turned, x["p"] - state["last"])
+        counts = width <= slop
+        return F.struct(
+            F.when(both, ~F.coalesce(state["at_first"], F.lit(True))).otherwise(x["a"]).alias("at_first"),
+            x["p"].alias("last"),
+            (state["freq"] + F.when(counts, 1.0 / (1 + width)).otherwise(0.0)).alias("freq"),
+            F.when(counts, F.least(state["width"], width)).otherwise(state["width"]).alias("width"),
+        )
+
+    empty = (F.size(first) == 0) | (F.size(second) == 0)
+    swept = F.aggregate(marked, start, step, lambda s: F.struct(s["freq"].alias("freq"), s["width"].alias("width")))
+    return F.when(~empty, swept).otherwise(F.struct(F.lit(0.0).alias("freq"), F.lit(None).cast("int").alias("width")))

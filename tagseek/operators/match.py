@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import coarse_length, saturation
-from ..functions.sweep import sloppy_windows
+from ..functions.sweep import apart, pair_windows, sloppy_windows
 from ..params import SearchParams
 from ..session import worked_out
 from ..sources.store import Index, probe
@@ -59,7 +59,11 @@ def match_terms(terms: DataFrame, index: Index, field: str, params: SearchParams
     if max(params.slop, params.wildcard_slop) > 0 or width:
         reach = F.when(F.col("clause") == "wildcard", params.wildcard_slop).otherwise(params.slop)
         swept = (kind == PHRASE) & (F.lit(True) if width else reach > 0)
-        found = found.withColumn("windows", sloppy_windows(F.when(swept, F.col("slots")), reach))
+        # two words that differ need no Python
+        pair = swept & several & F.coalesce(apart(F.col("slots")), F.lit(False))
+        found = worked_out(found, pair=F.when(pair, pair_windows(F.col("slots"), reach)))
+        swept_here = sloppy_windows(F.when(swept & F.col("pair").isNull(), F.col("slots")), reach)
+        found = found.withColumn("windows", F.coalesce("pair", swept_here))
         exact = F.when(swept, F.col("windows.freq")).otherwise(exact)
     single = F.aggregate(entries, F.lit(0), lambda a, e: a + e["freq"]).cast("double")
     freq = F.when(several, exact).when(kind != CONSTANT, single)

@@ -104,3 +104,22 @@ def test_coarse_length(spark):
     got = dict((r.n, r.c) for r in df.collect())
     assert all(got[n] == n for n in range(1, 41))
     assert got[41] == 40 and got[42] == 42 and got[100] == 96
+
+
+def test_pair_windows_equal_the_sweep(spark):
+    import random
+
+    from tagseek.functions.sweep import apart, pair_windows, sloppy_widths
+
+    r = random.Random(8)
+    rows = []
+    for i in range(400):
+        slots = [sorted(r.sample(range(25), r.randint(0, 6))) for _ in range(2)]
+        rows.append((i, slots))
+    made = spark.createDataFrame(rows, "i int, slots array<array<int>>").select("i", apart(F.col("slots")).alias("apart"), pair_windows(F.col("slots"), F.lit(3)).alias("w"))
+    found = {x.i: x for x in made.collect()}
+    for i, slots in rows:
+        assert found[i].apart == (not set(slots[0]) & {p + 1 for p in slots[1]})
+        if found[i].apart:
+            widths = sloppy_widths(slots, 3)
+            assert abs(found[i].w.freq - sum(1 / (1 + w) for w in widths)) < 1e-9 and found[i].w.width == min(widths, default=None)
