@@ -229,27 +229,29 @@ class Graph:
 
 
 def audit(graph: Graph, cosine: float, recall: float = RECALL, widest: int = WIDEST) -> tuple[int, float]:
-    """(beam, recall): the first beam that finds enough of a sample's ten nearest points and of its links.
+    """(beam, recall): the first beam that finds enough links, by brute force, of a sample.
 
-    Beam 0 means that none up to ``widest`` does: scan.
+    A sampled point is asked for as it is, and turned as far away as a link
+    reaches, which is the hardest query that must find it. Beam 0 means that no
+    beam up to ``widest`` does: scan.
     """
-    n = len(graph.points)
-    asked = np.random.default_rng(3).permutation(n)[:AUDIT]
-    exact = graph.points[asked] @ graph.points.T
-    k = min(10, n)
-    top = np.argpartition(-exact, k - 1, axis=1)[:, :k]
+    random = np.random.default_rng(3)
+    chosen = graph.points[random.permutation(len(graph.points))[:AUDIT]].astype(np.float64)
+    aside = random.normal(size=chosen.shape)
+    aside -= (aside * chosen).sum(axis=1, keepdims=True) * chosen
+    aside /= np.maximum(np.sqrt((aside * aside).sum(axis=1, keepdims=True)), 1e-12)
+    reach = min(cosine + 1e-5, 1.0)
+    turned = _unit(reach * chosen + np.sqrt(1 - reach * reach) * aside)
+    asked = np.concatenate([chosen, turned]).astype(np.float32)
+    exact = [np.flatnonzero(row >= cosine) for row in asked @ graph.points.T]
     beam = BEAM
     while beam <= widest:
-        ids, _ = graph.nearest(graph.points[asked], beam)
-        hits = sum(len(np.intersect1d(a, b)) for a, b in zip(ids, top))
-        wanted = top.size
-        for i, row in enumerate(exact):
-            near = np.flatnonzero(row >= cosine)
-            if len(near) <= beam // 2:  # more than a beam holds is for the components
-                wanted += len(near)
-                hits += len(np.intersect1d(near, ids[i]))
+        ids, _ = graph.nearest(asked, beam)
+        # a beam can hold no more; what it holds then leads to the rest through the components
+        wanted = sum(min(len(near), beam) for near in exact)
+        hits = sum(min(len(np.intersect1d(near, own)), beam) for near, own in zip(exact, ids))
         if hits >= recall * wanted:
-            return beam, hits / wanted
+            return beam, hits / max(wanted, 1)
         beam *= 2
     return 0, 1.0
 
