@@ -88,11 +88,14 @@ def tag_scores(top: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def hit_details(top: DataFrame, documents: DataFrame) -> DataFrame:
-    """Top hits with the text and its times; a missing time shows as ``?``."""
-    found = with_documents(top, documents, "start", "end", "text")
+def hit_details(top: DataFrame, documents: DataFrame, *more: str) -> DataFrame:
+    """Top hits with the text and its times; a missing time shows as ``?``.
+
+    ``more``: further columns of the records, e.g. ``filename`` or ``fields``.
+    """
+    found = with_documents(top, documents, "start", "end", "text", *more)
     shown = {c: F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in ("start", "end")}
-    return found.withColumns(shown).select("query_id", "rank", "doc_id", "score", "start", "end", "text")
+    return found.withColumns(shown).select("query_id", "rank", "doc_id", "score", "start", "end", "text", *more)
 
 
 def merge_scores(*sets: DataFrame) -> DataFrame:

@@ -26,8 +26,8 @@ class Outcome:
     totals: DataFrame  # query_id, total_hits (queries without hits included)
     index: Index
 
-    def details(self) -> DataFrame:
-        return hit_details(self.hits, self.index.documents)
+    def details(self, *more: str) -> DataFrame:
+        return hit_details(self.hits, self.index.documents, *more)
 
 
 def _search(queries: DataFrame, index: Index, field: str, params: SearchParams) -> Outcome:
@@ -53,6 +53,7 @@ class Fallback:
     tags: DataFrame  # query_id, bookmark_tag, score, source_order, first_rank
     totals: DataFrame  # query_id, total_hits
     suggestions: DataFrame  # query_id, place, suggestion
+    each: Outcome | None = None  # what each suggestion found, under it as query_id; None if there was nothing to suggest
 
 
 def fallback_search(
@@ -86,6 +87,7 @@ def fallback_search(
         tags.select("query_id", "bookmark_tag", "score", (F.col("place") + 1).alias("source_order"), "first_rank"),
         counts.groupBy("query_id").agg(F.sum("total_hits").cast("bigint").alias("total_hits")),
         suggestions,
+        found,
     )
 
 

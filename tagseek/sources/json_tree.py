@@ -10,12 +10,12 @@ from ..session import settle
 TEXT, TAG, START, END = "text", "bookmark_tag", "start", "end"
 
 
-def read_json_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(filename, filepath, value): one row per ``.json`` file (any case) that
-    lies directly in the folder. Hidden files are skipped, by Spark's own rule
+def read_json_files(spark: SparkSession, folder: str, pattern: str = "*.[jJ][sS][oO][nN]") -> DataFrame:
+    """(filename, filepath, value): one row per file that lies directly in the
+    folder and whose name fits ``pattern``, by default ``.json`` in any case. Hidden files are skipped, by Spark's own rule
     also those whose name starts with ``_``."""
     return (
-        spark.read.option("pathGlobFilter", "*.[jJ][sS][oO][nN]")
+        spark.read.option("pathGlobFilter", pattern)
         .text(folder, wholetext=True)
         .select(
             F.col("_metadata.file_name").alias("filename"),
@@ -158,11 +158,13 @@ def _number(name: str):
     return F.when(kind.isin("bigint", "double"), F.try_variant_get("fields", f"$.{name}", "double")).alias(name)
 
 
-def read_records(spark: SparkSession, folder: str, strict: bool = False, on_error: str = "fail") -> DataFrame:
+def read_records(
+    spark: SparkSession, folder: str, strict: bool = False, on_error: str = "fail", pattern: str = "*.[jJ][sS][oO][nN]", max_levels: int = 500
+) -> DataFrame:
     """A folder of JSON files → documents, ready for ``save_index``.
 
     The tree of each file is walked once and written down; tags and records
     are both taken from that table.
     """
-    nodes = settle(flatten_json(read_json_files(spark, folder), on_error=on_error), "nodes")
+    nodes = settle(flatten_json(read_json_files(spark, folder, pattern), max_levels, on_error), "nodes")
     return records(tag_files(nodes, strict))

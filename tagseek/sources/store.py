@@ -29,7 +29,7 @@ MOST_DOC_BUCKETS = 8192
 MOST_TERM_BUCKETS = 256
 
 VOCABULARY = "field string, term_bucket int, term string, df bigint, cf bigint"
-META = "build_id string, doc_buckets int, term_buckets int, columns string"
+META = "build_id string, doc_buckets int, term_buckets int, columns string, fields string"
 
 
 def total_bytes(spark: SparkSession, *paths: str) -> int:
@@ -90,17 +90,20 @@ def save_index(
     doc_buckets: int | None = None,
     term_buckets: int | None = None,
     input_bytes: int | None = None,
+    fields: tuple[str, ...] = (EXACT, SOUND),
 ) -> Index:
     """Index documents(doc_id, text, …) at ``path`` and open the result.
 
     ``overwrite`` starts a new build beside the old one, which readers may go on
     using; ``append`` adds records to the current build. Bucket counts follow
     ``input_bytes`` (see ``total_bytes``; unset, the planner's figure) unless given.
+    ``fields``: words, sounds or both; an append keeps the index's own.
     """
     spark = documents.sparkSession
     documents = with_document_columns(documents)
     if mode == "append":
-        build_id, doc_buckets, term_buckets, _ = _meta(spark, path)
+        build_id, doc_buckets, term_buckets, _, kept = _meta(spark, path)
+        fields = tuple(kept.split(","))
     elif mode == "overwrite":
         build_id = uuid.uuid4().hex[:12]
         least = spark.sparkContext.defaultParallelism
@@ -121,7 +124,7 @@ def save_index(
     # no row between tasks; an append inverts only the records it brought.
     with settings(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
         source = spark.table(docs) if mode == "overwrite" else documents
-        inverted = build_postings(source.repartition(doc_buckets, "doc_id"), (EXACT, SOUND))
+        inverted = build_postings(source.repartition(doc_buckets, "doc_id"), fields)
         columns_in_order = ["term", "doc_id", "dl", "freq", "positions", "hyphens", "field", "term_bucket"]
         inverted.withColumn("term_bucket", term_bucket(F.col("term"), term_buckets)).select(
             *columns_in_order
@@ -135,16 +138,16 @@ def save_index(
         .partitionBy("field", "term_bucket")
         .parquet(f"{path}/{build_id}/vocabulary")
     )
-    lengths = spark.table(postings).where(F.col("field") == EXACT).groupBy("doc_id", "dl").agg(F.lit(1))
+    lengths = spark.table(postings).where(F.col("field") == fields[0]).groupBy("doc_id", "dl").agg(F.lit(1))
     corpus_stats(lengths).write.mode("overwrite").parquet(f"{path}/{build_id}/stats")
-    meta = spark.createDataFrame([(build_id, doc_buckets, term_buckets, columns)], META)
+    meta = spark.createDataFrame([(build_id, doc_buckets, term_buckets, columns, ",".join(fields))], META)
     meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
     return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
     """Open a saved index; nothing is rebuilt."""
-    build_id, doc_buckets, term_buckets, columns = _meta(spark, path)
+    build_id, doc_buckets, term_buckets, columns, _ = _meta(spark, path)
     docs, postings = _tables(spark, path, build_id, doc_buckets, columns, new=False)
     stats = spark.read.parquet(f"{path}/{build_id}/stats").first()
     return Index(
@@ -168,7 +171,7 @@ def _check_ids(ids: DataFrame) -> None:
         raise ValueError(f"doc_id must be unique, these are not: {[r[0] for r in twice]}")
 
 
-def _meta(spark: SparkSession, path: str) -> tuple[str, int, int, str]:
+def _meta(spark: SparkSession, path: str) -> tuple[str, int, int, str, str]:
     try:
         return tuple(spark.read.schema(META).parquet(f"{path}/current").first())
     except AnalysisException as missing:

@@ -257,3 +257,25 @@ def test_patterns_without_letters_and_many_heads(spark):
     found = expand_patterns(patterns, vocabulary).groupBy("pattern").count()
     counts = {r["pattern"]: r["count"] for r in found.collect()}
     assert counts["*"] == 301 and counts["??"] == 1 and counts["*9x"] == 30 and counts["w007*"] == 1 and len(counts) == 203
+
+
+def test_an_index_of_sounds_only(spark, ask):
+    from tagseek.sources.store import load_index
+
+    rows = lambda *r: spark.createDataFrame(r, "doc_id bigint, text string")
+    path = fresh_path(spark, "sounds")
+    save_index(rows((1, "Knight of the night")), path, doc_buckets=2, fields=("sound",))
+    index = save_index(rows((2, "nite watch")), path, mode="append")
+    assert {r["field"] for r in load_index(spark, path).postings.select("field").distinct().collect()} == {"sound"}
+    assert set(docs(match.match_phonetic(ask("nite"), index))) == {1, 2} and index.n_docs == 2
+
+
+def test_details_and_suggestions_tell_more(spark):
+    rows = [(1, "t", "hyperspace lane", "f1"), (2, "t", "hyperspace", "f2")]
+    index = save_index(spark.createDataFrame(rows, "doc_id bigint, bookmark_tag string, text string, filename string"), fresh_path(spark, "more"), doc_buckets=2)
+    asked = spark.createDataFrame([(1, "lane"), (2, "hyperspase")], "query_id bigint, phrase string")
+    found = exact_search(asked, index)
+    assert [(r["query_id"], r["filename"]) for r in found.details("filename").collect()] == [(1, "f1")]
+    each = fallback_search(asked, found.totals, index).each
+    assert {(r["query_id"], r["total_hits"]) for r in each.totals.collect()} >= {("hyperspace", 2)}
+    assert {(r["query_id"], r["bookmark_tag"]) for r in each.tags.collect()} >= {("hyperspace", "t")}
