@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagseek.operators.postings import tokenize_queries
 from tagseek.session import fresh_path
 from tagseek.sources.store import Index, load_index, save_index, total_bytes
 
@@ -56,6 +57,14 @@ def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def benchmark_words(spark: SparkSession, sf_dir: str, step: int = 1, n: int = 1) -> DataFrame:
+    """A query for every ``step``-th run of n words of every benchmark text."""
+    tokens = tokenize_queries(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("phrase")))
+    runs = tokens.groupBy("query_id", (F.col("slot") / step).cast("int").alias("part")).agg(F.sort_array(F.collect_list(F.struct("slot", "term"))).alias("w"))
+    runs = runs.where(F.size("w") >= n).select((F.col("query_id") * 10_000 + F.col("part")).alias("query_id"), F.slice("w.term", 1, n).alias("w"))
+    return runs.select("query_id", F.array_join("w", " ").alias("phrase"))
+
+
 _saved: dict[tuple[str, str, str], str] = {}
 
 

@@ -390,6 +390,16 @@ ORACLES = {
     "vocabulary": f"WITH {tokens()}, {VOCAB} SELECT term, df, cf FROM v",
     "corpus_stats": f"WITH {tokens()}, {STATS} SELECT n AS n_docs, (SELECT count(*) FROM tok) AS n_tokens, round(avgdl, 6)::DOUBLE AS avgdl FROM st",
     "query_tokens": f"WITH {tokens('benchmark', 'item_id')} SELECT doc_id AS query_id, pos AS slot, term FROM tok",
+    "many_terms": (
+        f"WITH {tokens()}, asked AS (WITH {tokens('benchmark', 'item_id')} SELECT doc_id * 10000 + pos AS query_id, term FROM tok) "
+        "SELECT query_id, tok.doc_id, count(*) AS freq FROM asked JOIN tok ON tok.term = asked.term GROUP BY query_id, tok.doc_id"
+    ),
+    "many_phrases": (
+        f"WITH {tokens()}, asked AS (WITH {tokens('benchmark', 'item_id')} SELECT a.doc_id * 10000 + a.pos // 2 AS query_id, a.term AS one, b.term AS two "
+        "FROM tok a JOIN tok b ON b.doc_id = a.doc_id AND b.pos = a.pos + 1 WHERE a.pos % 2 = 0) "
+        "SELECT query_id, a.doc_id, count(*) AS freq FROM asked JOIN tok a ON a.term = one JOIN tok b ON b.term = two AND b.doc_id = a.doc_id AND b.pos = a.pos + 1 "
+        "GROUP BY query_id, a.doc_id"
+    ),
     "term_match": _freq("term_match"),
     "phrase_exact": _freq("phrase_exact"),
     "phrase_sloppy": _sloppy(),
