@@ -35,3 +35,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = now
     roots = stars.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return stars.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+
+
+def own_ids(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows with an id of their own each, and (key, own), its former value.
+
+    Rows whose ids are distinct keep them, and the second is None. Otherwise new
+    ids follow the order of the old ones, null ids last.
+    """
+    repeated = rows.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull())
+    if repeated.isEmpty():
+        return rows, None
+    others = [c for c in rows.columns if c != key]
+    ordered = rows.orderBy(F.col(key).asc_nulls_last(), *others).withColumnRenamed(key, "own")
+    kept = settle(ordered.select(F.monotonically_increasing_id().alias(key), "own", *others), "rows")
+    return kept.drop("own"), kept.select(key, "own")
+
+
+def former_ids(found: DataFrame, names: DataFrame | None, key: str) -> DataFrame:
+    """``found`` with its ids and component ids back in their former values; adds ``kept``."""
+    if names is not None:
+        heads = names.select(F.col(key).alias("component_id"), F.col("own").alias("head"))
+        found = found.join(names, key).join(heads, "component_id").drop(key, "component_id")
+        found = found.withColumnsRenamed({"own": key, "head": "component_id"})
+    return found.withColumn("kept", F.coalesce(F.col("component_id") == F.col(key), F.lit(False)))

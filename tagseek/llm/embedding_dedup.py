@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .components import connected_components
+from .components import connected_components, former_ids, own_ids
 
 COSINE = 0.95
 #: Vectors of a shard, queries of a task, and vectors of a compared block.
@@ -384,9 +384,16 @@ def groups(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHAR
 
     Vectors that are null, empty, zero, or hold null or non-finite components link
     with nothing; so do vectors of different lengths. Equal vectors are linked,
-    whatever their ids and labels; a repeated vec_id counts as one vector per row.
-    An empty table gives no row; further columns are ignored.
+    whatever their ids and labels. Rows that repeat a vec_id are vectors of their
+    own; a null one names a component (as null) only where no other does. An empty table gives no row; further columns are ignored.
     """
+    rows, names = own_ids(embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding"), "vec_id")
+    found = former_ids(_components(rows, cosine, shard_rows, query_rows), names, "vec_id")
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+def _components(embeddings: DataFrame, cosine: float, shard_rows: int, query_rows: int) -> DataFrame:
+    """(vec_id, n_links, component_id) of vectors with distinct ids."""
     rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = ~F.exists("vector", lambda x: x != 0)
@@ -396,7 +403,7 @@ def groups(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHAR
     sizes = {r["dim"]: r["n"] for r in classes.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each length of vector
     lone = rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     if not sizes:
-        return lone.withColumn("kept", F.lit(True))
+        return lone
     shards, total = {}, 0
     for dim, n in sorted(sizes.items()):
         shards[dim] = (total, -(-n // shard_rows))
@@ -412,5 +419,5 @@ def groups(embeddings: DataFrame, cosine: float = COSINE, shard_rows: int = SHAR
     known = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").join(counted, "rep", "left")
     known = known.select("vector", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("n", F.col("copies")) - 1).alias("n_links"))
     found = rows.join(known, "vector", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
+    component = F.coalesce("component_id", "vec_id").alias("component_id")
+    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from . import bytewords as bw
-from .components import connected_components
+from .components import connected_components, former_ids, own_ids
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -276,10 +276,17 @@ def groups(documents: DataFrame) -> DataFrame:
 
     Null and empty texts, and texts without a word, have no shingle and are linked
     with nothing; texts of fewer than five words have one, the whole sequence.
-    Rows that repeat a doc_id are documents of their own. A null doc_id never names
-    a component; such a row carries that of its class, or null, and is not kept.
-    An empty table gives no row; further columns are ignored.
+    Rows that repeat a doc_id are documents of their own. A null doc_id names a
+    component (as null) only where no other does, and is never kept. An empty table
+    gives no row; further columns are ignored.
     """
+    rows, names = own_ids(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id")
+    found = former_ids(_components(rows), names, "doc_id")
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _components(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of documents with distinct ids."""
     sketches = settle(sketch(documents), "sketches")
     full = sketches.where("n_shingles > 0")
     classes = settle(
@@ -293,7 +300,7 @@ def groups(documents: DataFrame) -> DataFrame:
     pairs = members.where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct()
     likely = settle(_likely(pairs, classes), "likely")
     wanted = members.select("rep").distinct()
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(wanted, "rep", "left_semi")
     stars = settle(_stars(likely, texts), "links")
     unsettled = settle(_unsettled(members.select("bucket", "rep"), connected_components(stars)), "unsettled")
     links = stars.unionByName(_rest_links(unsettled, texts))
@@ -301,5 +308,4 @@ def groups(documents: DataFrame) -> DataFrame:
     named = classes.select("n_shingles", "sum", "xor", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("n_shingles", "sum", "xor", F.coalesce("component", "rep").alias("component_id"))
     found = sketches.select("doc_id", "n_shingles", "sum", "xor").join(named, ["n_shingles", "sum", "xor"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

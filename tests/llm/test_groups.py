@@ -78,6 +78,18 @@ def test_near_duplicate_edges(edge_documents, no_documents):
     assert by_id[2]["component_id"] == 1 and by_id[8]["component_id"] == 7 and by_id[3]["n_shingles"] == by_id[5]["n_shingles"] == 0
 
 
+def test_rows_that_repeat_an_id(spark, prose):
+    a, b = prose(30, 1), prose(30, 2)
+    rows = [(5, a), (5, b), (7, b), (9, a), (None, a), (None, prose(30, 3)), (5, a)]
+    found = near_dedup.groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((x["doc_id"] or 0, x["component_id"] or 0, x["kept"]) for x in found) == [
+        (0, 0, False), (0, 5, False), (5, 5, True), (5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False),
+    ]
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (7, [0.0, 2.0]), (9, [3.0, 0.0])]
+    found = embedding_dedup.groups(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).collect()
+    assert sorted((x["vec_id"], x["n_links"], x["component_id"]) for x in found) == [(5, 1, 5), (5, 1, 5), (7, 1, 5), (9, 1, 5)]
+
+
 def test_similarity_estimate():
     r = np.random.default_rng(3)
     for share in (0.5, 0.75, 0.9):
