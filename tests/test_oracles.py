@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from checks.compare import differences
+from checks.compare import differences, oracle_rows
 
 # Their word lists were made for sf0.01.
 LARGER = {"phonetic_phrase", "phonetic_search", "full_search"}
@@ -20,6 +20,19 @@ def test_query(spark, name):
         assert differences(found, sf_dir, sql) == []
 
 
+def test_phonetic_postings_against_the_bundled_codec(spark):
+    """Words and places from SQL, their codes from commons-codec."""
+    sf_dir = "/root/testdata/sf0.001"
+    names, rows = oracle_rows(sf_dir, oracle_sql()["exact_postings"])
+    term, doc, pos = (names.index(c) for c in ("term", "doc_id", "pos"))
+    codec = spark._jvm.org.apache.commons.codec.language.DoubleMetaphone()
+    codes = {w: (codec.doubleMetaphone(w) or w).lower() for w in {r[term] for r in rows}}
+    expected = sorted((codes[r[term]], r[doc], r[pos]) for r in rows)
+    found = queries()["phonetic_postings"](spark, sf_dir).collect()
+    # a word without a code stands for itself, in its own case
+    assert sorted((r["term"].lower(), r["doc_id"], r["pos"]) for r in found) == expected
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
