@@ -34,13 +34,13 @@ def local_session(cores: str = "*", name: str = "tagseek", **extra: str) -> Spar
 def workspace(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a local session may leave it unset; it then gets a temporary folder.
+    Only a session of one machine may leave it unset; it then gets a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = context.applicationId
     if app not in _local_folders:
