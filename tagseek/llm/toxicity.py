@@ -25,7 +25,7 @@ from . import bytewords as bw
 from .labelled import held_out, training_rows
 from .quality import logistic
 
-MAX_ROWS = 20_000
+MAX_ROWS = 10_000
 #: Lengths in bytes of the word beginnings that count as units; the word itself is the last.
 PREFIXES = (2, 3, 4, 5, 6, 8)
 SLOTS = 21
