@@ -360,7 +360,8 @@ def oracle_sql() -> dict[str, str]:
 
 def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
     """Queries and SQL of the training-data operators, where that subpackage is installed."""
-    if importlib.util.find_spec("tagseek.llm") is None:
+    # in this order: a module's parent must be there to look for it
+    if not all(map(importlib.util.find_spec, ("tagseek.llm", "tagseek.llm.queries", "corpus_pipeline"))):
         return {}, {}
     import corpus_pipeline
     from tagseek.llm import queries as training
