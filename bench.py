@@ -59,6 +59,9 @@ def main() -> None:
         timed(f"exact_search_slop2_{name}", lambda: exact_search(asked, index).tags.collect())
         timed(f"phonetic_search_{name}", lambda: phonetic_search(asked, index, STRICT).tags.collect())
         timed(f"full_search_{name}", lambda: search(asked, index).tags.collect())
+    many = phrases(spark, 10_000)
+    timed("exact_search_10000", lambda: exact_search(many, index, STRICT).tags.collect())
+    timed("phonetic_search_slop2_100", lambda: phonetic_search(asked, index).tags.collect())
     timed("exact_search_mixed", lambda: exact_search(mixed, index, STRICT).tags.collect())
     timed("wildcard_match", lambda: match.match_wildcard(query_table(spark, "wildcard_match"), index).count())
     timed("fuzzy_match", lambda: match.match_fuzzy(query_table(spark, "fuzzy_match"), index).count())
