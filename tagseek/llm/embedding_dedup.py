@@ -4,7 +4,8 @@
   each shard's task builds a hierarchical navigable small-world graph.
 * An audit in every shard compares beam searches with brute force and widens the
   beam until the recall is met; past ``WIDEST`` that shard is scanned instead.
-* Every vector queries every shard, in blocks. Cosines of hits are verified in
+* Every vector queries every shard, in blocks. A beam full of links is doubled,
+  and past ``WIDEST`` its vector scans the shard, so no number of links is a limit. Cosines of hits are verified in
   double precision, and so are those of the graph's own edges. A task hands on
   a spanning forest of its links, not all of them.
 * Links are joined to components; within a component, blocks of vectors are
@@ -37,6 +38,8 @@ RECALL = 0.97
 AUDIT = 200
 _SLACK = 1e-4
 _STEP = 512
+#: Queries scanned at once.
+_SCAN = 128
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -228,6 +231,33 @@ class Graph:
         return cls(points, levels)
 
 
+def linked(graph: Graph, queries: np.ndarray, exact: np.ndarray, beam: int, cosine: float, widest: int = WIDEST) -> Iterator[tuple[int, np.ndarray]]:
+    """(place of a query, places of the points linked with it), for all queries.
+
+    A beam whose last entry still is linked may have left out others, and one
+    that could not be filled met a part of the graph that leads nowhere else: it
+    is doubled for that query, and past ``widest`` the query scans all points.
+    Beam 0 scans for all. Links are verified in double precision.
+    """
+    for a in range(0, len(queries), _STEP):
+        part = queries[a : a + _STEP]
+        left, width = np.arange(len(part)), beam
+        while len(left) and 0 < width <= widest and width < len(exact):
+            near, sims = graph.nearest(part[left].astype(np.float32), width)
+            full = (sims[:, -1] >= cosine - _SLACK) | (near[:, -1] < 0)
+            row, col = np.nonzero((sims >= cosine - _SLACK) & ~full[:, None])
+            at = near[row, col]
+            good = np.einsum("nd,nd->n", part[left[row]], exact[at]) >= cosine
+            row, at = row[good], at[good]
+            ends = np.searchsorted(row, np.arange(len(left) + 1))
+            for k in np.flatnonzero(~full):
+                yield a + int(left[k]), at[ends[k] : ends[k + 1]]
+            left, width = left[full], 2 * width
+        for b in range(0, len(left), _SCAN):
+            for k, row in zip(left[b : b + _SCAN], part[left[b : b + _SCAN]] @ exact.T >= cosine):
+                yield a + int(k), np.flatnonzero(row)
+
+
 def audit(graph: Graph, cosine: float, recall: float = RECALL, widest: int = WIDEST) -> tuple[int, float]:
     """(beam, recall): the first beam that finds enough links, by brute force, of a sample.
 
@@ -256,6 +286,26 @@ def audit(graph: Graph, cosine: float, recall: float = RECALL, widest: int = WID
     return 0, 1.0
 
 
+class Joined:
+    """What a task's links join, as labels of its points; hands on the links that join something.
+
+    A query hands on one link to each label that its links reach, so a dense group
+    costs its members one link each.
+    """
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def links(self, at: np.ndarray) -> np.ndarray:
+        """Those of a query's linked points that it hands on."""
+        label = self.label[at]
+        if not len(at) or (label == label[0]).all():
+            return at[:1]
+        labels, first = np.unique(label, return_index=True)
+        self.label[np.isin(self.label, labels)] = labels[0]
+        return at[first]
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     """Edges that join what all given edges join."""
     up: dict[int, int] = {}
@@ -315,27 +365,20 @@ def find_links(classes: DataFrame, graphs: DataFrame, shards: dict[int, tuple[in
         reps = left["rep"].to_numpy().astype(np.int64)
         queries = _unit(_table_vectors(left["vector"], left.num_rows))
         beam, found_a, found_b = right["beam"][0].as_py(), [], []
-        for a in range(0, len(reps), _STEP):
-            part = queries[a : a + _STEP]
-            if beam:
-                near, sims = graph.nearest(part.astype(np.float32), beam)
-                row, col = np.nonzero(sims >= cosine - _SLACK)
-                at = near[row, col]
-            else:
-                row, at = np.nonzero(part @ exact.T >= cosine - _SLACK)
-            row += a
-            linked = np.einsum("nd,nd->n", queries[row], exact[at]) >= cosine
-            found_a.append(reps[row[linked]])
-            found_b.append(ids[at[linked]])
+        joined = Joined(len(ids))
+        for k, at in linked(graph, queries, exact, beam, cosine):
+            at = joined.links(at)
+            found_a.append(np.repeat(reps[k], len(at)))
+            found_b.append(ids[at])
         if left["block"][0].as_py() == 0:  # the graph's own edges, once for each shard
             base = graph.levels[0][1]
             row, col = np.nonzero(base >= 0)
             at = base[row, col]
             for a in range(0, len(row), 1 << 16):
                 r, t = row[a : a + (1 << 16)], at[a : a + (1 << 16)]
-                linked = np.einsum("nd,nd->n", exact[r], exact[t]) >= cosine
-                found_a.append(ids[r[linked]])
-                found_b.append(ids[t[linked]])
+                near = np.einsum("nd,nd->n", exact[r], exact[t]) >= cosine
+                found_a.append(ids[r[near]])
+                found_b.append(ids[t[near]])
         x, y = forest(np.concatenate(found_a), np.concatenate(found_b))
         return pa.Table.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], schema=_EDGES)
 

@@ -139,6 +139,25 @@ def test_embeddings(spark, monkeypatch, shard, query, block):
     assert sorted(tuple(x) for x in found.collect()) == linked_vectors(rows)
 
 
+def dense_groups(n, seed=0):
+    """Two groups of n near-equal vectors; only some pairs across them just reach 0.95."""
+    r = np.random.default_rng(seed)
+    a, b = np.eye(12)[0], 0.948 * np.eye(12)[0] + np.sqrt(1 - 0.948**2) * np.eye(12)[1]
+    return np.concatenate([c + r.normal(size=(n, 12)) * 0.0015 for c in (a, b)])
+
+
+def test_links_beyond_a_full_beam(spark):
+    n = 200
+    vectors = dense_groups(n)
+    unit = embedding_dedup._unit(vectors)
+    near = unit @ unit.T >= 0.95
+    assert 0 < near[:n, n:].sum() < n * n / 2 and near[:n, :n].all() and near[n:, n:].all()
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    found = embedding_dedup.groups(frame).orderBy("vec_id").collect()
+    assert [x["n_links"] for x in found] == (near.sum(axis=1) - 1).tolist()
+    assert [x["vec_id"] for x in found if x["kept"]] == [0]
+
+
 def test_embedding_edges(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embedding_dedup.groups(empty).collect() == []
