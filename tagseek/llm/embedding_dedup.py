@@ -258,30 +258,52 @@ def linked(graph: Graph, queries: np.ndarray, exact: np.ndarray, beam: int, cosi
                 yield a + int(k), np.flatnonzero(row)
 
 
+def _recall(found: list[np.ndarray], wanted: list[np.ndarray]) -> float:
+    """Share of the wanted links that were found: of all, or the mean of the queries, whichever is lower."""
+    hits = np.array([len(np.intersect1d(f, w)) for f, w in zip(found, wanted)])
+    sizes = np.array([len(w) for w in wanted])
+    return float(min(hits.sum() / sizes.sum(), (hits / sizes).mean())) if len(sizes) else 1.0
+
+
 def audit(graph: Graph, cosine: float, recall: float = RECALL, widest: int = WIDEST) -> tuple[int, float]:
     """(beam, recall): the first beam that finds enough links, by brute force, of a sample.
 
-    A sampled point is asked for as it is, and turned as far away as a link
-    reaches, which is the hardest query that must find it. Beam 0 means that no
-    beam up to ``widest`` does: scan.
+    Asked are points that are linked with others, sought by brute force in random
+    order until there are ``AUDIT`` or no more; that a point finds itself does not
+    count. Points turned as far away as a link reaches have a recall of their own.
+    Both must be met. Beam 0 means that no beam up to ``widest`` does: scan.
     """
     random = np.random.default_rng(3)
-    chosen = graph.points[random.permutation(len(graph.points))[:AUDIT]].astype(np.float64)
+    order = random.permutation(len(graph.points))
+    chosen = graph.points[order[:AUDIT]].astype(np.float64)
     aside = random.normal(size=chosen.shape)
     aside -= (aside * chosen).sum(axis=1, keepdims=True) * chosen
     aside /= np.maximum(np.sqrt((aside * aside).sum(axis=1, keepdims=True)), 1e-12)
     reach = min(cosine + 1e-5, 1.0)
     turned = _unit(reach * chosen + np.sqrt(1 - reach * reach) * aside)
-    asked = np.concatenate([chosen, turned]).astype(np.float32)
-    exact = [np.flatnonzero(row >= cosine) for row in asked @ graph.points.T]
+    exact = graph.points.astype(np.float64)
+    own: list[int] = []
+    partners: list[np.ndarray] = []
+    for a in range(0, len(order), _SCAN):
+        block = order[a : a + _SCAN]
+        near = graph.points[block] @ graph.points.T >= cosine - _SLACK
+        near[np.arange(len(block)), block] = False
+        for k in np.flatnonzero(near.any(axis=1)):
+            at = np.flatnonzero(near[k])
+            at = at[exact[at] @ exact[block[k]] >= cosine]
+            if len(at) and len(own) < AUDIT:
+                own.append(int(block[k]))
+                partners.append(at)
+        if len(own) >= AUDIT:
+            break
+    sources = [np.flatnonzero(row >= cosine) for row in turned @ exact.T]
+    asked = np.concatenate([exact[own], turned])
     beam = BEAM
     while beam <= widest:
-        ids, _ = graph.nearest(asked, beam)
-        # a beam can hold no more; what it holds then leads to the rest through the components
-        wanted = sum(min(len(near), beam) for near in exact)
-        hits = sum(min(len(np.intersect1d(near, own)), beam) for near, own in zip(exact, ids))
-        if hits >= recall * wanted:
-            return beam, hits / max(wanted, 1)
+        found = [at for _, at in sorted(linked(graph, asked, exact, beam, cosine, widest), key=lambda x: x[0])]
+        got = min(_recall(found[: len(own)], partners), _recall(found[len(own) :], sources))
+        if got >= recall:
+            return beam, got
         beam *= 2
     return 0, 1.0
 

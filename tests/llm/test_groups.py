@@ -158,6 +158,22 @@ def test_links_beyond_a_full_beam(spark):
     assert [x["vec_id"] for x in found if x["kept"]] == [0]
 
 
+def test_audit_counts_links_and_not_selves():
+    """Twelve pairs in 3,000 points, each cut off from the graph's base: no beam finds them."""
+    r = np.random.default_rng(9)
+    points = embedding_dedup._unit(r.normal(size=(3000, 24)))
+    points[1::250] = embedding_dedup._unit(points[::250] + r.normal(size=(12, 24)) * 0.02)
+    points = points.astype(np.float32)
+    graph = embedding_dedup.Graph.build(points)
+    base = graph.levels[0][1]
+    base[np.isin(base, np.arange(1, 3000, 250))] = -1  # nothing leads to one of each pair
+    upper = [(m[~np.isin(m, np.arange(1, 3000, 250))], near) for m, near in graph.levels[1:]]
+    for _, near in upper:
+        near[np.isin(near, np.arange(1, 3000, 250))] = -1
+    graph.levels[1:] = upper
+    assert embedding_dedup.audit(graph, 0.95)[0] == 0
+
+
 def test_embedding_edges(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embedding_dedup.groups(empty).collect() == []
