@@ -228,6 +228,14 @@ def test_pages(spark):
     assert html_text.extract(docs.where("page_id < 0")).collect() == []
 
 
+def test_runs_of_all_shards_count_together(spark, prose):
+    same = "this notice of the house stands on few of the pages"
+    pages = [(i, "http://h.i/" + str(i), f"<div>{same if i % 10 == 0 else ''}</div><p>{prose(12, i)}</p>") for i in range(40)]
+    docs = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    one, many = (sorted(map(tuple, html_text.extract(docs, shard_pages=n).collect())) for n in (2000, 3))
+    assert one == many and not any(same in r[2] for r in many)
+
+
 def test_repeated_runs_equal_brute_force():
     import numpy as np
 
