@@ -236,6 +236,14 @@ def test_runs_of_all_shards_count_together(spark, prose):
     assert one == many and not any(same in r[2] for r in many)
 
 
+def test_phrases_within_paragraphs_stay(spark, prose):
+    phrase, notice = "as one of the oldest houses of the town once said", "all rights of this house are kept by its owners"
+    texts = [f"{prose(15, i)} {phrase if i % 2 else ''} {prose(15, 100 + i)}" for i in range(12)]
+    rows = [(i, "http://h.i/" + str(i), f"<p>{t}</p><div>{notice}</div>") for i, t in enumerate(texts)]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {i: " ".join(t.split()) for i, t in enumerate(texts)}
+
+
 def test_repeated_runs_equal_brute_force():
     import numpy as np
 
