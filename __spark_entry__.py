@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from checks.inputs import (  # noqa: E402
+    benchmark_pairs,
     benchmark_words,
     corpus,
     corpus_index,
@@ -147,6 +148,11 @@ def many_phrases(spark, sf_dir):
     return _freqs(match.match_phrase(benchmark_words(spark, sf_dir, step=2, n=2), corpus_index(spark, sf_dir)))
 
 
+def every_phrase(spark, sf_dir):
+    """A query for every pair of neighbours of the benchmark."""
+    return _freqs(match.match_phrase(benchmark_pairs(spark, sf_dir), corpus_index(spark, sf_dir)))
+
+
 def phrase_sloppy(spark, sf_dir):
     found = match.match_phrase(query_table(spark, "phrase_sloppy"), corpus_index(spark, sf_dir), slop=2, width=True)
     return found.select("query_id", "doc_id", F.col("width").cast("bigint").alias("width"))
@@ -333,7 +339,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             json_file_scan, json_flatten, json_file_tag, json_typed_fields, index_roundtrip, index_stats,
             exact_postings, phonetic_postings, vocabulary, corpus_stats, query_tokens,
-            many_terms, many_phrases, phrase_sloppy, boosted_scores, clause_plan, boolean_or,
+            many_terms, many_phrases, every_phrase, phrase_sloppy, boosted_scores, clause_plan, boolean_or,
             bm25_rank, top_n_hits, total_hits, tag_scores, hit_details, merge_scores, final_ranking, significant_tags,
             spell_dictionary, spell_known, spell_suggest, spell_options, spell_phrases, spell_compounds, spell_final,
             fallback_search, exact_search, phonetic_search, full_search,

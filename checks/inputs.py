@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagseek.operators.postings import tokenize_queries
@@ -65,6 +65,14 @@ def benchmark_words(spark: SparkSession, sf_dir: str, step: int = 1, n: int = 1)
     return runs.select("query_id", F.array_join("w", " ").alias("phrase"))
 
 
+def benchmark_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query for every word of every benchmark text that has a next one, with it."""
+    tokens = tokenize_queries(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("phrase")))
+    follower = F.lead("term").over(Window.partitionBy("query_id").orderBy("slot"))
+    pairs = tokens.select((F.col("query_id") * 10_000 + F.col("slot")).alias("query_id"), "term", follower.alias("follower"))
+    return pairs.where(F.col("follower").isNotNull()).select("query_id", F.concat_ws(" ", "term", "follower").alias("phrase"))
+
+
 _saved: dict[tuple[str, str, str], str] = {}
 
 

@@ -33,6 +33,26 @@ def test_phonetic_postings_against_the_bundled_codec(spark):
     assert sorted((r["term"].lower(), r["doc_id"], r["pos"]) for r in found) == expected
 
 
+def test_every_pair_is_asked(spark):
+    """Against the places of words that SQL gives, pair by pair."""
+    sf_dir = "/root/testdata/sf0.001"
+    names, words = oracle_rows(sf_dir, oracle_sql()["query_tokens"])
+    query, slot, term = (names.index(c) for c in ("query_id", "slot", "term"))
+    at = {(r[query], r[slot]): r[term] for r in words}
+    names, rows = oracle_rows(sf_dir, oracle_sql()["exact_postings"])
+    word, doc, pos = (names.index(c) for c in ("term", "doc_id", "pos"))
+    text = {(r[doc], r[pos]): r[word] for r in rows}
+    where = {}
+    for (d, p), first in text.items():
+        if (d, p + 1) in text:
+            found = where.setdefault((first, text[d, p + 1]), {})
+            found[d] = found.get(d, 0) + 1
+    pairs = {q * 10_000 + s: (w, at[q, s + 1]) for (q, s), w in at.items() if (q, s + 1) in at}
+    expected = sorted((q, d, n) for q, pair in pairs.items() for d, n in where.get(pair, {}).items())
+    assert sorted(tuple(r) for r in queries()["every_phrase"](spark, sf_dir).collect()) == expected
+    assert any(q % 2 for q, _, _ in expected)
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
