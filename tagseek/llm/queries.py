@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, html_text, langid, near_dedup, packing, pii, quality, suffix_dedup, toxicity
+from . import decontaminate, embedding_dedup, html_text, langid, merkle, near_dedup, packing, pii, quality, sharding, suffix_dedup, token_alignment, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,5 +53,23 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.groups(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontamination, op4_page_text, op5_suffix_duplicates, op6_packing, op7_personal_data, op8_toxicity, op9_near_duplicates, op10_embedding_duplicates)}
-ORACLES: dict[str, str] = {}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(_table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality, op2_language, op3_decontamination, op4_page_text, op5_suffix_duplicates, op6_packing, op7_personal_data,
+        op8_toxicity, op9_near_duplicates, op10_embedding_duplicates, op11_token_alignment, op12_merkle_manifest, op13_sharding,
+    )
+}
+ORACLES: dict[str, str] = {"op12_merkle_manifest": merkle.ORACLE}
