@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -57,18 +57,10 @@ def numbered(rows: DataFrame, group: str | None, order: list[str], label: str) -
     part, at = F.shiftright("_at", 33).alias("_part"), F.col("_at")
     mine = F.col(group) if group else F.lit(0)
     begun = placed.groupBy(mine.alias("_group"), part).agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    begun = settle(begun, f"{label}-parts")
-    listed = begun.groupBy("_group").agg(F.sort_array(F.collect_list(F.struct("_part", "_first", "_rows"))).alias("parts"))
-    # one entry per partition that a group reaches into
-    sums = F.aggregate(
-        "parts",
-        F.struct(F.lit(0).cast("bigint").alias("n"), F.array().cast("array<struct<_part:bigint,_first:bigint,_before:bigint>>").alias("out")),
-        lambda acc, p: F.struct(
-            (acc["n"] + p["_rows"]).alias("n"),
-            F.concat(acc["out"], F.array(F.struct(p["_part"], p["_first"], acc["n"].alias("_before")))).alias("out"),
-        ),
-    )
-    starts = listed.select("_group", sums.alias("s")).select("_group", F.col("s.n").alias("n"), F.inline("s.out"))
+    # one row per partition that a group reaches into
+    group_rows = Window.partitionBy("_group")
+    before = F.sum("_rows").over(group_rows.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows")
+    starts = begun.select("_group", "_part", "_first", before.alias("_before"), F.sum("_rows").over(group_rows).alias("n"))
     starts = settle(starts, f"{label}-starts")
     rows = placed.withColumns({"_group_": mine, "_part_": F.shiftright("_at", 33)})
     found = rows.join(starts, (F.col("_part_") == F.col("_part")) & F.col("_group_").eqNullSafe(F.col("_group")))
@@ -181,7 +173,8 @@ def build(leaves: DataFrame, source: str = "source", order: str = "doc_id") -> M
     order of their digests. A null source is one of its own, before all others.
     """
     spark = leaves.sparkSession
-    placed = settle(numbered(leaves, source, [order, "leaf"], "leaves"), "numbered")
+    # written first: range partitions read their input twice
+    placed = settle(numbered(settle(leaves, "digests"), source, [order, "leaf"], "leaves"), "numbered")
     # a row per source, whichever row of it comes first
     names = placed.where(F.col("i") == 0).select(F.col(source).alias("source"), "n")
     trees = settle(numbered(names.withColumnRenamed("n", "rows"), None, ["source"], "sources").select("source", F.col("i").alias("tree"), "rows", F.col("n").alias("trees")), "trees")
