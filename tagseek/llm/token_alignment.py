@@ -14,7 +14,6 @@ distinct id pairs of a chunk travel: once to be summed, once to fetch their sums
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -24,11 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .packing import CACHE, TOKENIZER, ChunkIds
+from .packing import TOKENIZER, ChunkIds
 
 PIECES = "piece_bpe_32k.model"
 #: Text whose links are worked out, and looked up, together; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
+#: Text aligned in one go.
+STEP_BYTES = 512 << 10
 #: Bits of a token id in the key of an id pair.
 ID_BITS = 20
 #: Links of one group above which equal ids are joined before pairs are formed.
@@ -45,43 +46,18 @@ _CHUNKS = (
 _RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
-class PieceIds(dict):
-    """Piece ids of texts as bytes, from ids of what stands between single spaces.
-
-    No piece holds a space mark behind another character, so nothing merges across a
-    single space; a worker keeps the ids of what follows one.
-    """
-
-    def __init__(self, path: str):
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-
-    def encode(self, text: str) -> bytes:
-        return array("I", self.model.encode(text)).tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        self[chunk] = ids = self.encode(chunk)
-        return ids
-
-    def of(self, text: str) -> bytes:
-        if text[:1] == " " or text[-1:] == " " or "  " in text or "▁" in text:
-            return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split(" ")))
-
-
 class Sides:
     """Both tokenizers, and the bytes of their ids."""
 
     def __init__(self, ranks: str, pieces: str):
-        self.a, self.b = ChunkIds(ranks), PieceIds(pieces)
-        encoding, model = self.a.encoding, self.b.model
-        self.a_bytes = [encoding.decode_single_token_bytes(i) for i in range(encoding.n_vocab)]
+        import sentencepiece
+
+        self.a = ChunkIds(ranks).encoding
+        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        self.a_bytes = [self.a.decode_single_token_bytes(i) for i in range(self.a.n_vocab)]
         self.b_bytes = [
-            bytes([int(p[1:-1], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode()
-            for i, p in enumerate(model.id_to_piece(list(range(model.get_piece_size()))))
+            bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+            for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))
         ]
         self.a_sizes = np.array([len(x) for x in self.a_bytes])
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
@@ -90,14 +66,13 @@ class Sides:
         a, b = plain[: len(self.a_bytes)], plain[: len(self.b_bytes)]
         self.written = [x + b"," for x in a] + [x + b"|" for x in a] + [x + b"," for x in b] + [x + b";" for x in b]
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of either side; none where the tokens' bytes are not the text's."""
         if text:
-            a, b = np.frombuffer(self.a.of(" " + text), np.uint32), np.frombuffer(self.b.of(text), np.uint32)
-            whole = (" " + text).encode()
-            if b"".join(map(self.a_bytes.__getitem__, a.tolist())) == whole == b"".join(map(self.b_bytes.__getitem__, b.tolist())):
-                return a.astype(np.int64), b.astype(np.int64)
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+            a, b, whole = self.a.encode_ordinary(" " + text), self.b.encode(text), (" " + text).encode()
+            if b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b)):
+                return a, b
+        return [], []
 
 
 @cache
@@ -154,7 +129,7 @@ class Aligned:
     """
 
     def __init__(self, sides: Sides, texts: Iterable[str | None]):
-        ids = [sides.encode(text) for text in texts]
+        ids = [[np.array(side, np.int64) for side in sides.encode(text)] for text in texts]
         self.sides = sides
         self.a, self.b = (np.concatenate([x[k] for x in ids] or [np.empty(0, np.int64)]) for k in (0, 1))
         self.n_a, self.n_b = (np.array([len(x[k]) for x in ids], np.int64) for k in (0, 1))
@@ -229,22 +204,26 @@ class Aligned:
         ]
 
 
-def _chunked(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[list, list]]:
-    """(doc_ids, texts) of about so much text; a batch of rows may be far larger."""
+def _portions(rows: Iterable[tuple], most: int) -> Iterator[tuple[list, list]]:
+    """(ids, texts) of about so much text each; a longer text is one of its own or ends one."""
     ids, texts, size = [], [], 0
-    for batch in batches:
-        for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-            text = text.as_py()
-            ids.append(doc)
-            texts.append(text)
-            size += 64 + len(text or "")
-            if size >= chunk_bytes:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+    for doc, text in rows:
+        ids.append(doc)
+        texts.append(text)
+        size += 64 + len(text or "")
+        if size >= most:
+            yield ids, texts
+            ids, texts, size = [], [], 0
     if ids:
         yield ids, texts
 
 
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for doc, text in zip(batch["doc_id"], batch["text"]):
+            yield doc.as_py(), text.as_py()
+
+
 def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
 
@@ -253,7 +232,7 @@ def _documents(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def groups(documents: DataFrame, ranks: str | None = None, pieces: str | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def groups(documents: DataFrame, ranks: str | None = None, pieces: str | None = None) -> DataFrame:
     """The alignment itself, one row per document: doc_id, a_ids, b_ids, groups, overlaps.
 
     A group names its first and last token on either side; ``overlaps`` has for each
@@ -265,7 +244,7 @@ def groups(documents: DataFrame, ranks: str | None = None, pieces: str | None =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _sides(ranks, pieces)
         ints = pa.int32()
-        for ids, texts in _chunked(batches, chunk_bytes):
+        for ids, texts in _portions(_rows(batches), STEP_BYTES):
             x = Aligned(sides, texts)
             n = np.bincount(x.doc, minlength=len(ids))
             a_base, b_base = np.cumsum(x.n_a) - x.n_a, np.cumsum(x.n_b) - x.n_b
@@ -288,16 +267,22 @@ def _chunks(documents: DataFrame, ranks: str | None, pieces: str | None, chunk_b
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _sides(ranks, pieces)
-        for ids, texts in _chunked(batches, chunk_bytes):
-            x = Aligned(sides, texts)
-            doc, pair, times = x.links()
+        for ids, texts in _portions(_rows(batches), chunk_bytes):
+            parts, done = [], 0
+            for _, some in _portions(enumerate(texts), STEP_BYTES):
+                x = Aligned(sides, some)
+                doc, pair, times = x.links()
+                n_groups = np.bincount(x.doc, minlength=len(some))
+                n_links = np.bincount(x.doc, x.a_n * x.b_n, len(some)).astype(np.int64)
+                parts.append((doc + done, pair, times, x.n_a, x.n_b, n_groups, n_links, x.digests()))
+                done += len(some)
+            doc, pair, times, n_a, n_b, n_groups, n_links, digests = map(np.concatenate, zip(*parts))
             distinct, at, holders = np.unique(pair, return_inverse=True, return_counts=True)
-            n_links = np.bincount(x.doc, x.a_n * x.b_n, len(ids)).astype(np.int64)
             firsts = np.searchsorted(doc, np.arange(len(ids) + 1))
             columns: dict[str, tuple] = {
                 "pairs": (distinct, pa.int64()), "holders": (holders, pa.int32()), "doc_ids": (ids, pa.int64()),
-                "n_a": (x.n_a, pa.int64()), "n_b": (x.n_b, pa.int64()), "n_groups": (np.bincount(x.doc, minlength=len(ids)), pa.int64()),
-                "n_links": (n_links, pa.int64()), "digests": (x.digests(), pa.string()), "firsts": (firsts, pa.int32()),
+                "n_a": (n_a, pa.int64()), "n_b": (n_b, pa.int64()), "n_groups": (n_groups, pa.int64()),
+                "n_links": (n_links, pa.int64()), "digests": (digests.tolist(), pa.string()), "firsts": (firsts, pa.int32()),
                 "at": (at, pa.int32()), "times": (times, pa.int64()),
             }
             rows = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, kind)) for v, kind in columns.values()]
