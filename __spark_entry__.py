@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from checks.inputs import (  # noqa: E402
-    benchmark_pairs,
+    benchmark_patterns,
+    benchmark_runs,
     benchmark_words,
     corpus,
     corpus_index,
@@ -144,13 +145,46 @@ def many_terms(spark, sf_dir):
 
 
 def many_phrases(spark, sf_dir):
-    """A query for every second pair of neighbours of the benchmark."""
-    return _freqs(match.match_phrase(benchmark_words(spark, sf_dir, step=2, n=2), corpus_index(spark, sf_dir)))
+    """A query for every three neighbours of the benchmark."""
+    return _freqs(match.match_phrase(benchmark_runs(spark, sf_dir, 3), corpus_index(spark, sf_dir)))
 
 
 def every_phrase(spark, sf_dir):
     """A query for every pair of neighbours of the benchmark."""
-    return _freqs(match.match_phrase(benchmark_pairs(spark, sf_dir), corpus_index(spark, sf_dir)))
+    return _freqs(match.match_phrase(benchmark_runs(spark, sf_dir), corpus_index(spark, sf_dir)))
+
+
+def many_prefixes(spark, sf_dir):
+    """A search for the beginning of every longer word of the benchmark."""
+    return _scores(match.match_prefix(benchmark_patterns(spark, sf_dir), corpus_index(spark, sf_dir)))
+
+
+def many_glued(spark, sf_dir):
+    """Every pair of neighbours of the benchmark, written as one word."""
+    return _freqs(match.match_glued(benchmark_runs(spark, sf_dir), corpus_index(spark, sf_dir)))
+
+
+def _benchmark_best(spark, sf_dir) -> DataFrame:
+    """The ten best records of every pair of neighbours of the benchmark."""
+    hits = match.match_phrase(benchmark_runs(spark, sf_dir), corpus_index(spark, sf_dir))
+    return settle(rank.best_hits(rank.combine(hits), 10), "best")
+
+
+def many_top_hits(spark, sf_dir):
+    best = _benchmark_best(spark, sf_dir)
+    return best.select("query_id", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"), "total_hits")
+
+
+def many_tag_scores(spark, sf_dir):
+    index = corpus_index(spark, sf_dir)
+    found = rank.tag_scores(_benchmark_best(spark, sf_dir), index.documents, index.doc_buckets)
+    return found.select("query_id", "bookmark_tag", "score", F.col("first_rank").cast("bigint").alias("first_rank"))
+
+
+def many_hit_details(spark, sf_dir):
+    index = corpus_index(spark, sf_dir)
+    found = rank.hit_details(_benchmark_best(spark, sf_dir), index.documents, buckets=index.doc_buckets)
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score", "start", "end", "text")
 
 
 def phrase_sloppy(spark, sf_dir):
@@ -204,7 +238,7 @@ def bm25_rank(spark, sf_dir):
 
 
 def top_n_hits(spark, sf_dir):
-    top = rank.top_n(_found(spark, sf_dir), 10)
+    top = rank.best_hits(_found(spark, sf_dir), 10)
     return top.select("query_id", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -213,8 +247,9 @@ def total_hits(spark, sf_dir):
 
 
 def tag_scores(spark, sf_dir):
-    top = settle(rank.top_n(_found(spark, sf_dir), 10), "top")
-    found = rank.tag_scores(top, corpus_index(spark, sf_dir).documents)
+    index = corpus_index(spark, sf_dir)
+    top = settle(rank.best_hits(_found(spark, sf_dir), 10), "top")
+    found = rank.tag_scores(top, index.documents, index.doc_buckets)
     return found.select("query_id", "bookmark_tag", "score", F.col("first_rank").cast("bigint").alias("first_rank"))
 
 
@@ -226,11 +261,11 @@ def hit_details(spark, sf_dir):
 def _tag_sets(spark, sf_dir) -> list[DataFrame]:
     """Tags of two different clauses of the same queries."""
     hits = settle(_clause_hits(spark, sf_dir), "clause_hits")
-    documents = corpus_index(spark, sf_dir).documents
+    index = corpus_index(spark, sf_dir)
     sets = []
     for name in ("phrase", "wildcard"):
-        top = settle(rank.top_n(rank.combine(hits.where(F.col("clause") == name)), 10), "top")
-        sets.append(rank.tag_scores(top, documents))
+        top = settle(rank.best_hits(rank.combine(hits.where(F.col("clause") == name)), 10), "top")
+        sets.append(rank.tag_scores(top, index.documents, index.doc_buckets))
     return sets
 
 
@@ -339,7 +374,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             json_file_scan, json_flatten, json_file_tag, json_typed_fields, index_roundtrip, index_stats,
             exact_postings, phonetic_postings, vocabulary, corpus_stats, query_tokens,
-            many_terms, many_phrases, every_phrase, phrase_sloppy, boosted_scores, clause_plan, boolean_or,
+            many_terms, many_phrases, every_phrase, many_prefixes, many_glued, many_top_hits, many_tag_scores, many_hit_details, phrase_sloppy, boosted_scores, clause_plan, boolean_or,
             bm25_rank, top_n_hits, total_hits, tag_scores, hit_details, merge_scores, final_ranking, significant_tags,
             spell_dictionary, spell_known, spell_suggest, spell_options, spell_phrases, spell_compounds, spell_final,
             fallback_search, exact_search, phonetic_search, full_search,

@@ -57,20 +57,30 @@ def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def benchmark_words(spark: SparkSession, sf_dir: str, step: int = 1, n: int = 1) -> DataFrame:
-    """A query for every ``step``-th run of n words of every benchmark text."""
-    tokens = tokenize_queries(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("phrase")))
-    runs = tokens.groupBy("query_id", (F.col("slot") / step).cast("int").alias("part")).agg(F.sort_array(F.collect_list(F.struct("slot", "term"))).alias("w"))
-    runs = runs.where(F.size("w") >= n).select((F.col("query_id") * 10_000 + F.col("part")).alias("query_id"), F.slice("w.term", 1, n).alias("w"))
-    return runs.select("query_id", F.array_join("w", " ").alias("phrase"))
-
-
-def benchmark_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query for every word of every benchmark text that has a next one, with it."""
-    tokens = tokenize_queries(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("phrase")))
-    follower = F.lead("term").over(Window.partitionBy("query_id").orderBy("slot"))
-    pairs = tokens.select((F.col("query_id") * 10_000 + F.col("slot")).alias("query_id"), "term", follower.alias("follower"))
-    return pairs.where(F.col("follower").isNotNull()).select("query_id", F.concat_ws(" ", "term", "follower").alias("phrase"))
+#: Query ids: a benchmark text's id times this, plus the place of a word in it.
+PLACES = 1 << 32
+
+
+def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query for every word of every benchmark text: query_id, phrase."""
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("phrase"))
+    return tokenize_queries(asked).select((F.col("query_id") * PLACES + F.col("slot")).alias("query_id"), F.col("term").alias("phrase"))
+
+
+def benchmark_runs(spark: SparkSession, sf_dir: str, n: int = 2) -> DataFrame:
+    """A query for every run of n neighbouring words of every benchmark text."""
+    words = benchmark_words(spark, sf_dir)
+    # a text's words stand next to each other, and are as many as it has
+    later = Window.partitionBy(F.floor(F.col("query_id") / PLACES)).orderBy("query_id")
+    runs = words.select("query_id", "phrase", *[F.lead("phrase", k).over(later).alias(f"next_{k}") for k in range(1, n)])
+    followers = [f"next_{k}" for k in range(1, n)]
+    return runs.where(F.col(followers[-1]).isNotNull()).select("query_id", F.concat_ws(" ", "phrase", *followers).alias("phrase"))
+
+
+def benchmark_patterns(spark: SparkSession, sf_dir: str, letters: int = 5) -> DataFrame:
+    """A prefix query for the first letters of every longer word of every benchmark text."""
+    longer = benchmark_words(spark, sf_dir).where(F.length("phrase") > letters)
+    return longer.select("query_id", F.concat(F.left("phrase", F.lit(letters)), F.lit("*")).alias("phrase"))
 
 
 _saved: dict[tuple[str, str, str], str] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .inputs import PHRASES
+from .inputs import PHRASES, PLACES
 
 WORD = (
     r"(?:[\p{L}\p{M}]+(?:[''’.:·][\p{L}\p{M}]+)*"
@@ -370,6 +370,28 @@ TREE_FIELDS = (
     "UNION ALL SELECT conv_id || '/' || turn, 3, 'role', 'string', role FROM conversations"
 )
 
+
+
+def followers(table: str, key: str, pos: str, term: str) -> str:
+    """Every word with the two after it."""
+    over = f"OVER (PARTITION BY {key} ORDER BY {pos})"
+    return f"SELECT *, {term} AS one, lead({term}) {over} AS two, lead({term}, 2) {over} AS three FROM {table}"
+
+
+# the benchmark's words as queries, and the records that hold one with its next
+ASKED_WORDS = (
+    f"asked AS (WITH {tokens('benchmark', 'item_id')} SELECT doc_id * {PLACES} + pos AS query_id, one, two, three "
+    f"FROM ({followers('tok', 'doc_id', 'pos', 'term')}))"
+)
+RUNS = (
+    f"runs AS (SELECT doc_id, dl, one, two, count(*) AS freq FROM ({followers('tok', 'doc_id', 'pos', 'term')}) GROUP BY doc_id, dl, one, two), "
+    "pairs AS (SELECT query_id, doc_id, dl, freq, one, two FROM asked JOIN runs USING (one, two))"
+)
+RUN_HITS = (
+    f"{BASE}, {ASKED_WORDS}, {RUNS}, hits AS (SELECT query_id, doc_id, "
+    f"round(({idf('a.df')} + {idf('b.df')}) * {damped('freq')}, 6) AS score FROM pairs JOIN v a ON a.term = one JOIN v b ON b.term = two, st), {best()}"
+)
+
 ORACLES = {
     "json_file_scan": "SELECT conv_id, turn, role, text FROM conversations",
     "json_flatten": (
@@ -391,14 +413,25 @@ ORACLES = {
     "corpus_stats": f"WITH {tokens()}, {STATS} SELECT n AS n_docs, (SELECT count(*) FROM tok) AS n_tokens, round(avgdl, 6)::DOUBLE AS avgdl FROM st",
     "query_tokens": f"WITH {tokens('benchmark', 'item_id')} SELECT doc_id AS query_id, pos AS slot, term FROM tok",
     "many_terms": (
-        f"WITH {tokens()}, asked AS (WITH {tokens('benchmark', 'item_id')} SELECT doc_id * 10000 + pos AS query_id, term FROM tok) "
-        "SELECT query_id, tok.doc_id, count(*) AS freq FROM asked JOIN tok ON tok.term = asked.term GROUP BY query_id, tok.doc_id"
+        f"WITH {tokens()}, {ASKED_WORDS} "
+        "SELECT query_id, tok.doc_id, count(*) AS freq FROM asked JOIN tok ON tok.term = one GROUP BY query_id, tok.doc_id"
     ),
+    "every_phrase": f"WITH {tokens()}, {ASKED_WORDS}, {RUNS} SELECT query_id, doc_id, freq FROM pairs",
     "many_phrases": (
-        f"WITH {tokens()}, asked AS (WITH {tokens('benchmark', 'item_id')} SELECT a.doc_id * 10000 + a.pos // 2 AS query_id, a.term AS one, b.term AS two "
-        "FROM tok a JOIN tok b ON b.doc_id = a.doc_id AND b.pos = a.pos + 1 WHERE a.pos % 2 = 0) "
-        "SELECT query_id, a.doc_id, count(*) AS freq FROM asked JOIN tok a ON a.term = one JOIN tok b ON b.term = two AND b.doc_id = a.doc_id AND b.pos = a.pos + 1 "
-        "GROUP BY query_id, a.doc_id"
+        f"WITH {tokens()}, {ASKED_WORDS}, runs AS (SELECT doc_id, one, two, three, count(*) AS freq FROM ({followers('tok', 'doc_id', 'pos', 'term')}) GROUP BY ALL) "
+        "SELECT query_id, doc_id, freq FROM asked JOIN runs USING (one, two, three)"
+    ),
+    "many_prefixes": (
+        f"WITH {tokens()}, {ASKED_WORDS} SELECT DISTINCT query_id, doc_id, 1.0::DOUBLE AS score FROM asked "
+        "JOIN (SELECT DISTINCT doc_id, left(term, 5) AS head FROM tok) ON left(one, 5) = head WHERE length(one) > 5"
+    ),
+    "many_glued": (
+        f"WITH {tokens()}, {ASKED_WORDS} SELECT query_id, tok.doc_id, count(*) AS freq FROM asked JOIN tok ON tok.term = one || two GROUP BY query_id, tok.doc_id"
+    ),
+    "many_top_hits": f"WITH {RUN_HITS} SELECT t.query_id, t.doc_id, t.score, t.rank, n.total_hits FROM top t JOIN (SELECT query_id, count(*) AS total_hits FROM hits GROUP BY query_id) n USING (query_id)",
+    "many_tag_scores": f"WITH {RUN_HITS}, {tagged()} SELECT query_id, bookmark_tag, score, first_rank FROM tags",
+    "many_hit_details": (
+        f"WITH {RUN_HITS} SELECT t.query_id, t.rank, t.doc_id, t.score, '?' AS start, '?' AS \"end\", d.text FROM top t JOIN documents d ON d.doc_id = t.doc_id"
     ),
     "term_match": _freq("term_match"),
     "phrase_exact": _freq("phrase_exact"),

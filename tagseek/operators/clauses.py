@@ -278,5 +278,5 @@ def clause_terms(clauses: DataFrame, index: Index, field: str = EXACT, params: S
         .where((F.col("kind") != PHRASE) & (F.col("kind") != HYPHEN) | (F.col("found") == F.col("n_slots")))
         .withColumn("weight", F.when(F.col("kind") == FUZZY, F.col("distance_weight") * shared).otherwise(F.lit(1.0)))
     )
-    return weighted.drop("own_idf", "most", "found", "distance_weight")
+    return settle(weighted.drop("own_idf", "most", "found", "distance_weight"), "weighted")
 

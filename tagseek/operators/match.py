@@ -14,7 +14,7 @@ from ..functions.scoring import coarse_length, saturation
 from ..functions.sweep import apart, pair_windows, sloppy_windows
 from ..params import SearchParams
 from ..session import worked_out
-from ..sources.store import Index, probe
+from ..sources.store import Index, probe_terms
 from .clauses import CONSTANT, FUZZY, HYPHEN, PHRASE, clause_terms
 from .postings import EXACT, SOUND, analyzed_queries
 
@@ -45,7 +45,7 @@ def match_terms(terms: DataFrame, index: Index, field: str, params: SearchParams
     # only ask "is it there" carry no places at all.
     inner = (F.col("kind") == HYPHEN) & (F.col("slot") < F.col("n_slots") - 1)
     places = F.when(inner, F.col("hyphens")).when((F.col("kind") != CONSTANT) & (F.col("n_slots") > 1), F.col("positions"))
-    rows = probe(postings, terms, ["term_bucket", "term"])
+    rows = probe_terms(postings, terms)
     found = rows.groupBy("query_id", "clause", "kind", "boost", "n_slots", "idf", "doc_id", "dl").agg(
         F.collect_list(F.struct("slot", "weight", "freq", places.alias("places"))).alias("entries")
     )

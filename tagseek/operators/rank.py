@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
 from ..functions.scoring import saturation
-from ..sources.store import Index, probe
+from ..sources.store import Index, lookup
 
 
 def bm25(freqs: DataFrame, stats: DataFrame, doc_lengths: DataFrame | None = None) -> DataFrame:
@@ -48,7 +49,8 @@ def top_per_key(rows: DataFrame, key: str, order: list[Column], n: int) -> DataF
 
 def top_n(hits: DataFrame, n: int) -> DataFrame:
     """Best ``n`` hits per query, ties in record order, with ``rank`` and
-    ``total_hits``, the number of hits before the cut.
+    ``total_hits``, the number of hits before the cut; for hits that are written
+    already, since it reads them twice.
 
     The planner cuts each task's rows before it shuffles them, and totals are sums
     of each task's counts, so no task holds all hits of one frequent query.
@@ -57,6 +59,19 @@ def top_n(hits: DataFrame, n: int) -> DataFrame:
     return ranked.where(F.col("rank") <= n).join(total_hits(hits), "query_id").select("query_id", "doc_id", "score", "rank", "total_hits")
 
 
+def best_hits(hits: DataFrame, n: int) -> DataFrame:
+    """What ``top_n`` gives, from one pass over hits(query_id, doc_id bigint, score).
+
+    Each task keeps a query's best ``n`` hits and its count together, so the shuffle
+    carries at most that much per task and query.
+    """
+    # the largest come first: of equal scores the smallest doc_id, whose complement is largest
+    order = F.struct("score", F.bitwise_not("doc_id").alias("behind"))
+    kept = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_hits"), InternalFunction.collect_top_k(order, n, False).alias("best"))
+    rows = kept.select("query_id", "total_hits", F.posexplode("best").alias("at", "hit"))
+    return rows.select("query_id", F.bitwise_not("hit.behind").alias("doc_id"), "hit.score", (F.col("at") + 1).alias("rank"), "total_hits")
+
+
 def total_hits(hits: DataFrame, queries: DataFrame | None = None) -> DataFrame:
     """(query_id, total_hits); with ``queries``, those without hits count 0."""
     counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_hits"))
@@ -74,26 +89,27 @@ def _all_queries(queries: DataFrame, counts: DataFrame) -> DataFrame:
     return full.select("query_id", F.coalesce("total_hits", F.lit(0)).cast("bigint").alias("total_hits"))
 
 
-def with_documents(top: DataFrame, documents: DataFrame, *columns: str) -> DataFrame:
-    """Add columns of the records hit; few hits open few buckets only."""
-    return probe(documents.select("doc_id", *columns), top, ["doc_id"])
+def with_documents(top: DataFrame, documents: DataFrame, *columns: str, buckets: int | None = None) -> DataFrame:
+    """Add columns of the records hit; few hits open few buckets only, and no record
+    moves if ``buckets`` tells how many the documents lie in."""
+    return lookup(documents.select("doc_id", *columns), top, buckets)
 
 
-def tag_scores(top: DataFrame, documents: DataFrame) -> DataFrame:
+def tag_scores(top: DataFrame, documents: DataFrame, buckets: int | None = None) -> DataFrame:
     """Top hits → (query_id, bookmark_tag, score, first_rank): the sum of scores
     per tag, and the rank of its first hit. Records without a tag are left out."""
-    tagged = with_documents(top, documents, "bookmark_tag").where(F.col("bookmark_tag").isNotNull())
+    tagged = with_documents(top, documents, "bookmark_tag", buckets=buckets).where(F.col("bookmark_tag").isNotNull())
     return tagged.groupBy("query_id", "bookmark_tag").agg(
         F.round(F.sum("score"), 6).alias("score"), F.min("rank").alias("first_rank")
     )
 
 
-def hit_details(top: DataFrame, documents: DataFrame, *more: str) -> DataFrame:
+def hit_details(top: DataFrame, documents: DataFrame, *more: str, buckets: int | None = None) -> DataFrame:
     """Top hits with the text and its times; a missing time shows as ``?``.
 
     ``more``: further columns of the records, e.g. ``filename`` or ``fields``.
     """
-    found = with_documents(top, documents, "start", "end", "text", *more)
+    found = with_documents(top, documents, "start", "end", "text", *more, buckets=buckets)
     shown = {c: F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in ("start", "end")}
     return found.withColumns(shown).select("query_id", "rank", "doc_id", "score", "start", "end", "text", *more)
 

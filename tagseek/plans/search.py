@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.clauses import expand_queries
 from ..operators.match import match_clauses
 from ..operators.postings import EXACT, SOUND
-from ..operators.rank import combine, hit_details, merge_scores, rank_tags, significant, tag_scores, top_n, totals_of
+from ..operators.rank import best_hits, combine, hit_details, merge_scores, rank_tags, significant, tag_scores, totals_of
 from ..operators.spelling import suggest_phrases
 from ..params import SearchParams
 from ..session import settle
@@ -27,15 +27,15 @@ class Outcome:
     index: Index
 
     def details(self, *more: str) -> DataFrame:
-        return hit_details(self.hits, self.index.documents, *more)
+        return hit_details(self.hits, self.index.documents, *more, buckets=self.index.doc_buckets)
 
 
 def _search(queries: DataFrame, index: Index, field: str, params: SearchParams) -> Outcome:
     clauses = expand_queries(queries, field, params)
     found = combine(match_clauses(clauses, index, field, params), params.min_should_match)
     # At most max_search rows per query: small enough to keep and reuse.
-    hits = settle(top_n(found, params.max_search), "hits")
-    return Outcome(hits, tag_scores(hits, index.documents), totals_of(hits, queries), index)
+    hits = settle(best_hits(found, params.max_search), "hits")
+    return Outcome(hits, tag_scores(hits, index.documents, index.doc_buckets), totals_of(hits, queries), index)
 
 
 def exact_search(queries: DataFrame, index: Index, params: SearchParams = SearchParams()) -> Outcome:

@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -209,16 +210,105 @@ def index_stats(index: Index) -> DataFrame:
     return docs.withColumn("row", F.lit(1)).join(held.withColumn("row", F.lit(1)), "row").select("docs", "tokens", "terms")
 
 
-def probe(table: DataFrame, wanted: DataFrame, keys: list[str], literal_cap: int = 1000) -> DataFrame:
+#: Keys that one scan filter names; more are told to it as ranges only.
+LISTED = {"doc_id": 20_000}
+LISTED_TERMS = 1_000
+#: Ranges that one scan filter holds.
+SPANS = 64
+
+
+def key_filter(wanted: DataFrame, key: str) -> Column:
+    """A scan filter that all wanted keys pass, however many they are.
+
+    Files are sorted by key, so ranges leave out the row groups between them; named
+    ids also leave out whole buckets. The join that follows is exact either way.
+    """
+    most = LISTED.get(key, LISTED_TERMS)
+    keys = wanted.where(F.col(key).isNotNull()).select(key).distinct()
+    few = sorted(row[0] for row in keys.limit(most + 1).collect())
+    if len(few) > most:
+        # as many rows as there are ranges, whatever the number of keys
+        parts = keys.repartitionByRange(SPANS, key).groupBy(F.spark_partition_id()).agg(F.min(key), F.max(key))
+        return reduce(Column.__or__, [F.col(key).between(low, high) for _, low, high in parts.collect()])
+    step = -(-len(few) // SPANS) or 1
+    spans = [(few[i], few[min(i + step, len(few)) - 1]) for i in range(0, len(few), step)]
+    named = F.expr(f"{key} IN ({', '.join(map(str, few))})") if few and isinstance(few[0], int) else F.col(key).isin(few)
+    return reduce(Column.__and__, [named, *([reduce(Column.__or__, [F.col(key).between(*span) for span in spans])] if len(few) > 10 else [])])
+
+
+def probe(table: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of a large saved ``table`` with ``wanted`` rows.
 
-    Each key with at most ``literal_cap`` distinct values is also put into the
-    scan's filter; the folders' key always is, since an index has at most
-    ``MOST_TERM_BUCKETS`` of them. The planner broadcasts ``wanted`` only if its
-    size allows.
+    Scans are told the keys, or their ranges. The planner broadcasts ``wanted`` only if
+    its size allows.
+    """
+    return reduce(DataFrame.where, [key_filter(wanted, key) for key in keys], table).join(wanted, keys)
+
+
+def lookup(records: DataFrame, wanted: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Records of an index by ``doc_id``; any number of them.
+
+    Wanted rows beyond the broadcast limit are dealt to the buckets that the records
+    lie in, so that records do not move.
+    """
+    found = records.where(key_filter(wanted, "doc_id"))
+    if buckets is None or _join_bytes(wanted, wanted.columns) <= _broadcast_limit(records.sparkSession):
+        return found.join(wanted, "doc_id")
+    return found.join(wanted.repartition(buckets, "doc_id"), "doc_id")
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    """Bytes that may be broadcast; 0 or less: none."""
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")))
+
+
+def _row_bytes(columns: list[tuple[str, str]]) -> Column:
+    """About what a row takes in a broadcast table."""
+    text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in columns if kind == "string"]
+    return reduce(Column.__add__, text, F.lit(32 + 16 * len(columns)))
+
+
+def _join_bytes(rows: DataFrame, columns: list[str]) -> int:
+    return rows.agg(F.sum(_row_bytes(rows.select(*columns).dtypes))).first()[0] or 0
+
+
+def term_blocks(terms: DataFrame, limit: int) -> list[tuple[Column, Column]]:
+    """(filter of postings, filter of terms) for parts of ``terms`` of at most ``limit`` bytes.
+
+    Parts are term folders, or ranges of terms within one folder, so that all parts
+    together read the postings once. Only the rows of one single term that exceed the
+    limit are split by query, and read that term's postings again.
+    """
+    size = _row_bytes(terms.dtypes).alias("size")
+    folders = terms.groupBy("term_bucket").agg(F.sum(size).alias("size")).orderBy("term_bucket").collect()
+    blocks, packed, room = [], [], 0
+    for bucket, total in folders:
+        mine = F.col("term_bucket") == bucket
+        if total > limit:
+            inside = terms.where(mine).repartitionByRange(-(-total // limit), "term")
+            for _, low, high, own in inside.groupBy(F.spark_partition_id()).agg(F.min("term"), F.max("term"), F.sum(size)).collect():
+                span, parts = mine & F.col("term").between(low, high), -(-own // (2 * limit))
+                blocks += [(span, span & (F.pmod(F.xxhash64("query_id"), F.lit(parts)) == k)) for k in range(parts)]
+        elif packed and total <= room:
+            packed[-1].append(bucket)
+            room -= total
+        else:
+            packed.append([bucket])
+            room = limit - total
+    return blocks + [(F.col("term_bucket").isin(b), F.col("term_bucket").isin(b)) for b in packed]
+
+
+def probe_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings of the wanted terms(term_bucket, term, query_id, …); no posting moves.
+
+    Terms beyond the broadcast limit go in blocks below it, each over its own part of
+    the postings; of those, only rows found travel on.
     """
-    for key in keys:
-        few = wanted.select(key).distinct().limit(literal_cap + 1).collect()
-        if len(few) <= literal_cap:
-            table = table.where(F.col(key).isin(sorted(row[key] for row in few if row[key] is not None)))
-    return table.join(wanted, keys)
+    limit = _broadcast_limit(postings.sparkSession)
+    if limit <= 0 or _join_bytes(terms, terms.columns) <= limit:
+        return probe(postings, terms, ["term_bucket", "term"])
+    parts = [
+        probe(postings.where(of_postings), F.broadcast(terms.where(of_terms)), ["term_bucket", "term"])
+        for of_postings, of_terms in term_blocks(terms, limit)
+    ]
+    return reduce(DataFrame.unionByName, parts)

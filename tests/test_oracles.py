@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import differences, oracle_rows
+from checks.inputs import PLACES
 
 # Their word lists were made for sf0.01.
 LARGER = {"phonetic_phrase", "phonetic_search", "full_search"}
@@ -47,7 +48,7 @@ def test_every_pair_is_asked(spark):
         if (d, p + 1) in text:
             found = where.setdefault((first, text[d, p + 1]), {})
             found[d] = found.get(d, 0) + 1
-    pairs = {q * 10_000 + s: (w, at[q, s + 1]) for (q, s), w in at.items() if (q, s + 1) in at}
+    pairs = {q * PLACES + s: (w, at[q, s + 1]) for (q, s), w in at.items() if (q, s + 1) in at}
     expected = sorted((q, d, n) for q, pair in pairs.items() for d, n in where.get(pair, {}).items())
     assert sorted(tuple(r) for r in queries()["every_phrase"](spark, sf_dir).collect()) == expected
     assert any(q % 2 for q, _, _ in expected)

@@ -5,8 +5,9 @@ from tagseek.operators import match, rank, spelling
 from tagseek.operators.clauses import expand_queries
 from tagseek.params import SearchParams
 from tagseek.plans.search import exact_search, fallback_search, phonetic_search, search
-from tagseek.session import fresh_path
-from tagseek.sources.store import index_stats, load_index, save_index
+from tagseek.session import fresh_path, settings, settle
+from tagseek.sources import store
+from tagseek.sources.store import index_stats, load_index, save_index, term_blocks
 
 STRICT = SearchParams(slop=0)
 
@@ -279,3 +280,79 @@ def test_details_and_suggestions_tell_more(spark):
     each = fallback_search(asked, found.totals, index).each
     assert {(r["query_id"], r["total_hits"]) for r in each.totals.collect()} >= {("hyperspace", 2)}
     assert {(r["query_id"], r["bookmark_tag"]) for r in each.tags.collect()} >= {("hyperspace", "t")}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_beyond_the_broadcast_limit_move_no_postings(spark, index, ask):
+    phrases = ["hyper space", "to be", "of the", "hyper", "night", "be", "space", "the"] + ["hyper"] * 40
+    expected = sorted(match.match_phrase(ask(*phrases), index, slop=1).collect())
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1000"):
+        found = match.match_phrase(ask(*phrases), index, slop=1)
+        plan = plan_of(found)
+        assert sorted(found.collect()) == expected and len(expected) > 80
+    assert plan.count("tagseek_postings") > 3 and "Exchange hashpartitioning(term" not in plan and "SortMergeJoin" not in plan
+
+
+def test_blocks_of_terms_hold_each_row_once(spark):
+    rows = [(q, f"w{q % 50:02d}" if q % 3 else "hot", q % 4) for q in range(600)]
+    terms = spark.createDataFrame(rows, "query_id bigint, term string, term_bucket int")
+    blocks = term_blocks(terms, 2000)
+    parts = [terms.where(of_terms).collect() for _, of_terms in blocks]
+    assert sorted(r for part in parts for r in part) == sorted(tuple(r) for r in rows)
+    assert len(parts) > 20 and max(map(len, parts)) < 150
+    for (of_postings, _), part in zip(blocks, parts):
+        asked = {(r["term_bucket"], r["term"]) for r in part}
+        assert asked <= {(r["term_bucket"], r["term"]) for r in terms.where(of_postings).collect()}
+
+
+@pytest.fixture(scope="module")
+def many_records(spark):
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("t").alias("bookmark_tag"), F.concat(F.lit("text "), "id").alias("text"))
+    return save_index(rows, fresh_path(spark, "many"), doc_buckets=32, fields=("exact",))
+
+
+def test_lookups_of_many_records_open_their_buckets_only(spark, many_records):
+    ids = many_records.documents.where(F.pmod(F.hash("doc_id"), F.lit(32)) < 27).select("doc_id")
+    top = settle(ids.select(F.lit(1).alias("query_id"), "doc_id", F.lit(1.0).alias("score"), F.col("doc_id").cast("int").alias("rank")))
+    assert top.count() > 4800
+    found = rank.hit_details(top, many_records.documents, buckets=many_records.doc_buckets)
+    with settings(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):  # the plan then tells
+        told = rank.hit_details(top, many_records.documents, buckets=many_records.doc_buckets)
+        assert "SelectedBucketsCount: 27 out of 32" in plan_of(told)
+    assert found.where(F.col("text") == F.concat(F.lit("text "), "doc_id")).count() == top.count()
+
+
+def test_lookups_beyond_all_lists_move_no_records(spark, many_records, monkeypatch):
+    monkeypatch.setitem(store.LISTED, "doc_id", 100)
+    top = settle(many_records.documents.where("doc_id % 3 = 0").select(F.lit(1).alias("query_id"), "doc_id", F.lit(1.0).alias("score"), F.lit(1).alias("rank")))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1000"):
+        found = rank.hit_details(top, many_records.documents, buckets=many_records.doc_buckets)
+        plan = plan_of(found)
+        assert found.count() == 2000
+    records = plan[: plan.index("tagseek_documents")].split("SortMergeJoin")[1]
+    assert "Bucketed: true" in plan and "Exchange" not in records[: records.index("FileScan")]
+
+
+def test_ranges_of_keys_let_all_of_them_pass(spark, monkeypatch):
+    monkeypatch.setattr(store, "LISTED_TERMS", 20)
+    wanted = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("term"))
+    assert wanted.where(store.key_filter(wanted, "term")).count() == 3000
+    few = wanted.where("term < 'w1010'")
+    assert wanted.where(store.key_filter(few, "term")).count() == few.count()
+    assert wanted.where(store.key_filter(few.where("false"), "term")).count() == 0
+
+
+def test_best_hits_in_one_pass(spark):
+    rows = [(q, d, float((d * 7 + q) % 11)) for q in range(30) for d in range(-40, 40 + q)]
+    hits = spark.createDataFrame(rows, "query_id bigint, doc_id bigint, score double").repartition(6)
+    found = rank.best_hits(hits, 7)
+    assert "partial_collect_top_k" in plan_of(found) and plan_of(found).count("Scan ExistingRDD") == 1
+    assert sorted(found.collect()) == sorted(rank.top_n(hits, 7).collect())
+
+
+def test_a_search_scans_postings_once(index, ask):
+    found = rank.best_hits(rank.combine(match.match_phrase(ask("hyper space"), index)), 10)
+    assert plan_of(found).count("tagseek_postings") == 1
