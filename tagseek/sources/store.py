@@ -1,18 +1,23 @@
 """Saved indexes: parquet tables laid out so that searches need no shuffle.
 
-* ``documents``: bucketed and sorted by ``doc_id``;
-* ``postings``: one folder per (field, term bucket), bucketed by ``doc_id`` and
+* ``documents``: a folder per batch, bucketed and sorted by ``doc_id``;
+* ``postings``: a folder per (batch, field, term bucket), bucketed by ``doc_id`` and
   sorted by term. A search opens only its terms' folders, and all rows of one
   record share a bucket, so phrases and clause sums are worked out without an
   exchange. A term found everywhere is spread over all buckets alike;
 * ``vocabulary``: one folder per (field, term bucket), sorted by term;
-* ``dictionary``: n-grams for spelling, made when first asked for.
+* ``dictionary``: n-grams for spelling, made when first asked for;
+* ``manifest``: a row per published state of the index, which names its batches.
+
+A batch is written in full before one small write publishes it. Whoever opened the
+index earlier goes on reading the batches and the vocabulary of that state; what a
+failed writer left is named by no state, so it is never read and a retry starts anew.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -29,8 +34,14 @@ BYTES_PER_BUCKET = 256 << 20
 MOST_DOC_BUCKETS = 8192
 MOST_TERM_BUCKETS = 256
 
+#: The folder column of a batch, and the columns of a posting in the order of its table.
+BATCH = "_batch"
+POSTING = ("term", "doc_id", "dl", "freq", "positions", "hyphens")
 VOCABULARY = "field string, term_bucket int, term string, df bigint, cf bigint"
-META = "build_id string, doc_buckets int, term_buckets int, columns string, fields string"
+MANIFEST = (
+    "version int, writer string, build_id string, batches string, words string, doc_buckets int, term_buckets int, "
+    "columns string, fields string, n_docs bigint, n_tokens bigint"
+)
 
 
 def total_bytes(spark: SparkSession, *paths: str) -> int:
@@ -68,6 +79,8 @@ class Index:
     vocabulary: DataFrame
     n_docs: int
     n_tokens: int
+    version: int = 0
+    batches: tuple[str, ...] = ()
     opened: dict = field(default_factory=dict)
 
     @property
@@ -96,75 +109,147 @@ def save_index(
     """Index documents(doc_id, text, …) at ``path`` and open the result.
 
     ``overwrite`` starts a new build beside the old one, which readers may go on
-    using; ``append`` adds records to the current build. Bucket counts follow
+    using; ``append`` adds a batch to the current build. Bucket counts follow
     ``input_bytes`` (see ``total_bytes``; unset, the planner's figure) unless given.
     ``fields``: words, sounds or both; an append keeps the index's own.
     """
     spark = documents.sparkSession
     documents = with_document_columns(documents)
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode must be overwrite or append, got {mode!r}")
+    last = _published(spark, path, must=mode == "append")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     if mode == "append":
-        build_id, doc_buckets, term_buckets, _, kept = _meta(spark, path)
-        fields = tuple(kept.split(","))
-    elif mode == "overwrite":
-        build_id = uuid.uuid4().hex[:12]
+        state = last
+        fields = tuple(state.fields.split(","))
+    else:
         least = spark.sparkContext.defaultParallelism
         sized = layout(planned_bytes(documents) if input_bytes is None else input_bytes, least)
-        doc_buckets, term_buckets = doc_buckets or sized[0], term_buckets or sized[1]
-    else:
-        raise ValueError(f"mode must be overwrite or append, got {mode!r}")
+        state = State(0, "", uuid.uuid4().hex[:12], "", "", doc_buckets or sized[0], term_buckets or sized[1], columns, ",".join(fields), 0, 0)
+    batch, before = uuid.uuid4().hex[:12], state.names
+    docs, postings = _tables(spark, path, state)
+    if before:
+        _check_ids(spark.table(docs).where(F.col(BATCH).isin(before)).select("doc_id").unionAll(documents.select("doc_id")))
+    documents.withColumn(BATCH, F.lit(batch)).repartition(state.doc_buckets, "doc_id").write.insertInto(docs)
+    written = spark.table(docs).where(F.col(BATCH) == batch).drop(BATCH)
+    if not before:
+        _check_ids(written.select("doc_id"))
+
+    # The batch is laid out by doc_id already, so inverting it moves no row between tasks.
+    with settings(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
+        inverted = build_postings(written.repartition(state.doc_buckets, "doc_id"), fields)
+        inverted = inverted.withColumns({BATCH: F.lit(batch), "term_bucket": term_bucket(F.col("term"), state.term_buckets)})
+        inverted.select(*POSTING, BATCH, "field", "term_bucket").write.insertInto(postings)
+    own = spark.table(postings).where(F.col(BATCH) == batch)
+    words = vocabulary(own)
+    if before:
+        known = spark.read.schema(VOCABULARY).parquet(f"{path}/{state.build_id}/{state.words}")
+        united = known.select("field", "term", "df", "cf").unionByName(words)
+        words = united.groupBy("field", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    folder = f"vocabulary-{batch}"
+    _write_words(words, f"{path}/{state.build_id}/{folder}", state.term_buckets)
+    lengths = own.where(F.col("field") == fields[0]).groupBy("doc_id", "dl").agg(F.lit(1))
+    n_docs, n_tokens, _ = corpus_stats(lengths).first()
+    version = (last.version if last else 0) + 1
+    _publish(
+        spark, path,
+        state.but(version=version, writer=batch, batches=",".join([*before, batch]), words=folder, n_docs=state.n_docs + n_docs, n_tokens=state.n_tokens + n_tokens),
+    )
+    return load_index(spark, path)
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    docs, postings = _tables(spark, path, build_id, doc_buckets, columns, new=mode == "overwrite")
-    if mode == "append":
-        _check_ids(spark.table(docs).select("doc_id").unionAll(documents.select("doc_id")))
-    documents.repartition(doc_buckets, "doc_id").write.insertInto(docs)
-    if mode == "overwrite":
-        _check_ids(spark.table(docs).select("doc_id"))
 
-    # The document table is laid out by doc_id already, so inverting it moves
-    # no row between tasks; an append inverts only the records it brought.
+def compact_index(spark: SparkSession, path: str) -> Index:
+    """Put an index's batches together into one, beside them; results stay the same.
+
+    Rows stay in their buckets: each is read, merged by key and written by one task.
+    """
+    state = _published(spark, path)
+    if len(state.names) < 2:
+        return load_index(spark, path)
+    batch = uuid.uuid4().hex[:12]
+    docs, postings = _tables(spark, path, state)
     with settings(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
-        source = spark.table(docs) if mode == "overwrite" else documents
-        inverted = build_postings(source.repartition(doc_buckets, "doc_id"), fields)
-        columns_in_order = ["term", "doc_id", "dl", "freq", "positions", "hyphens", "field", "term_bucket"]
-        inverted.withColumn("term_bucket", term_bucket(F.col("term"), term_buckets)).select(
-            *columns_in_order
-        ).write.insertInto(postings)
-
-    words = vocabulary(spark.table(postings)).withColumn("term_bucket", term_bucket(F.col("term"), term_buckets))
-    (
-        words.hint("rebalance", "field", "term_bucket")
-        .sortWithinPartitions("field", "term_bucket", "term")
-        .write.mode("overwrite")
-        .partitionBy("field", "term_bucket")
-        .parquet(f"{path}/{build_id}/vocabulary")
-    )
-    lengths = spark.table(postings).where(F.col("field") == fields[0]).groupBy("doc_id", "dl").agg(F.lit(1))
-    corpus_stats(lengths).write.mode("overwrite").parquet(f"{path}/{build_id}/stats")
-    meta = spark.createDataFrame([(build_id, doc_buckets, term_buckets, columns, ",".join(fields))], META)
-    meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+        for table, order in ((docs, []), (postings, ["field", "term_bucket"])):
+            rows = spark.table(table).where(F.col(BATCH).isin(state.names))
+            kept = [c for c in rows.columns if c not in (BATCH, *order)]
+            rows.select(*kept, F.lit(batch).alias(BATCH), *order).repartition(state.doc_buckets, "doc_id").write.insertInto(table)
+    _publish(spark, path, state.but(version=state.version + 1, writer=batch, batches=batch))
     return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
-    """Open a saved index; nothing is rebuilt."""
-    build_id, doc_buckets, term_buckets, columns, _ = _meta(spark, path)
-    docs, postings = _tables(spark, path, build_id, doc_buckets, columns, new=False)
-    stats = spark.read.parquet(f"{path}/{build_id}/stats").first()
+    """Open the last published state of a saved index; nothing is rebuilt."""
+    state = _published(spark, path)
+    docs, postings = _tables(spark, path, state)
+    mine = F.col(BATCH).isin(state.names)
     return Index(
         spark,
         path,
-        build_id,
-        doc_buckets,
-        term_buckets,
-        spark.table(docs),
-        spark.table(postings),
-        spark.read.schema(VOCABULARY).parquet(f"{path}/{build_id}/vocabulary"),
-        stats["n_docs"],
-        stats["n_tokens"],
+        state.build_id,
+        state.doc_buckets,
+        state.term_buckets,
+        spark.table(docs).where(mine).drop(BATCH),
+        spark.table(postings).where(mine).drop(BATCH),
+        spark.read.schema(VOCABULARY).parquet(f"{path}/{state.build_id}/{state.words}"),
+        state.n_docs,
+        state.n_tokens,
+        state.version,
+        tuple(state.names),
     )
 
 
+@dataclass(frozen=True)
+class State:
+    """A row of the manifest."""
+
+    version: int
+    writer: str
+    build_id: str
+    batches: str
+    words: str
+    doc_buckets: int
+    term_buckets: int
+    columns: str
+    fields: str
+    n_docs: int
+    n_tokens: int
+
+    @property
+    def names(self) -> list[str]:
+        return self.batches.split(",") if self.batches else []
+
+    def but(self, **changes) -> State:
+        return replace(self, **changes)
+
+
+def _write_words(words: DataFrame, path: str, term_buckets: int) -> None:
+    (
+        words.withColumn("term_bucket", term_bucket(F.col("term"), term_buckets))
+        .hint("rebalance", "field", "term_bucket")
+        .sortWithinPartitions("field", "term_bucket", "term")
+        .write.partitionBy("field", "term_bucket")
+        .parquet(path)
+    )
+
+
+def _published(spark: SparkSession, path: str, must: bool = True) -> State | None:
+    """The newest state; of several under one version the first writer's by name."""
+    try:
+        rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").orderBy(F.col("version").desc(), "writer").take(1)
+    except AnalysisException:
+        rows = []
+    if not rows and must:
+        raise FileNotFoundError(f"no index at {path}")
+    return State(*rows[0]) if rows else None
+
+
+def _publish(spark: SparkSession, path: str, state: State) -> None:
+    """One small file makes a state known; nothing is taken away or changed."""
+    spark.createDataFrame([astuple(state)], MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    if _published(spark, path).writer != state.writer:
+        raise RuntimeError(f"another writer published version {state.version} of {path} first; write again")
+
+
 def _check_ids(ids: DataFrame) -> None:
     """Two records under one id would be searched as one; refuse them."""
     twice = ids.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id").limit(3).collect()
@@ -172,32 +257,32 @@ def _check_ids(ids: DataFrame) -> None:
         raise ValueError(f"doc_id must be unique, these are not: {[r[0] for r in twice]}")
 
 
-def _meta(spark: SparkSession, path: str) -> tuple[str, int, int, str, str]:
-    try:
-        return tuple(spark.read.schema(META).parquet(f"{path}/current").first())
-    except AnalysisException as missing:
-        raise FileNotFoundError(f"no index at {path}") from missing
+_known: dict[tuple[str, str], set[str]] = {}
 
 
-def _tables(spark: SparkSession, path: str, build_id: str, doc_buckets: int, columns: str, new: bool) -> tuple[str, str]:
+def _tables(spark: SparkSession, path: str, state: State) -> tuple[str, str]:
     """Register the bucketed tables of one build with this session's catalog."""
-    docs, postings = f"tagseek_documents_{build_id}", f"tagseek_postings_{build_id}"
+    docs, postings = f"tagseek_documents_{state.build_id}", f"tagseek_postings_{state.build_id}"
     if not spark.catalog.tableExists(docs):
         spark.sql(
-            f"CREATE TABLE {docs} ({columns}) USING parquet "
-            f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {doc_buckets} BUCKETS "
-            f"LOCATION '{path}/{build_id}/documents'"
+            f"CREATE TABLE {docs} ({state.columns}, {BATCH} string) USING parquet PARTITIONED BY ({BATCH}) "
+            f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {state.doc_buckets} BUCKETS "
+            f"LOCATION '{path}/{state.build_id}/documents'"
         )
     if not spark.catalog.tableExists(postings):
         spark.sql(
             f"CREATE TABLE {postings} (term string, doc_id bigint, dl int, freq int, positions array<int>, "
-            f"hyphens array<int>, field string, term_bucket int) USING parquet "
-            f"PARTITIONED BY (field, term_bucket) "
-            f"CLUSTERED BY (doc_id) SORTED BY (term, doc_id) INTO {doc_buckets} BUCKETS "
-            f"LOCATION '{path}/{build_id}/postings'"
+            f"hyphens array<int>, {BATCH} string, field string, term_bucket int) USING parquet "
+            f"PARTITIONED BY ({BATCH}, field, term_bucket) "
+            f"CLUSTERED BY (doc_id) SORTED BY (term, doc_id) INTO {state.doc_buckets} BUCKETS "
+            f"LOCATION '{path}/{state.build_id}/postings'"
         )
-        if not new:
-            spark.sql(f"ALTER TABLE {postings} RECOVER PARTITIONS")
+    # batches that other sessions wrote are folders this catalog has not seen
+    known = _known.setdefault((spark.sparkContext.applicationId, docs), set())
+    if not known.issuperset(state.names):
+        for table in (docs, postings):
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        known.update(state.names)
     return docs, postings
 
 

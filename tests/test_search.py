@@ -356,3 +356,65 @@ def test_best_hits_in_one_pass(spark):
 def test_a_search_scans_postings_once(index, ask):
     found = rank.best_hits(rank.combine(match.match_phrase(ask("hyper space"), index)), 10)
     assert plan_of(found).count("tagseek_postings") == 1
+
+
+def test_failed_appends_are_never_read(spark, ask, monkeypatch):
+    """A writer that dies between records and postings, readers beside it, and its retry."""
+    rows = lambda *r: spark.createDataFrame(r, "doc_id bigint, text string")
+    path = fresh_path(spark, "batches")
+    first = save_index(rows((1, "alpha beta")), path, doc_buckets=2)
+    made = store.build_postings
+
+    def dies(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(store, "build_postings", dies)
+    with pytest.raises(OSError):
+        save_index(rows((2, "alpha beta gamma")), path, mode="append")
+    monkeypatch.setattr(store, "build_postings", made)
+    for opened in (first, load_index(spark, path)):
+        assert opened.documents.count() == 1 and set(docs(match.match_phrase(ask("alpha beta"), opened))) == {1}
+    again = save_index(rows((2, "alpha beta gamma")), path, mode="append")
+    assert again.documents.count() == 2 and set(docs(match.match_phrase(ask("alpha beta"), again))) == {1, 2}
+    # whoever opened the index before still reads that state
+    assert first.documents.count() == 1 and set(docs(match.match_phrase(ask("alpha beta"), first))) == {1}
+    assert tuple(index_stats(first).first()) == (1, 2, 2) and tuple(index_stats(again).first()) == (2, 5, 3)
+
+
+def test_compaction_keeps_every_result(spark, ask):
+    rows = lambda *r: spark.createDataFrame(r, "doc_id bigint, text string")
+    path = fresh_path(spark, "compacted")
+    save_index(rows((1, "alpha beta"), (2, "beta")), path, doc_buckets=2, term_buckets=3)
+    save_index(rows((3, "beta gamma")), path, mode="append")
+    loose = save_index(rows((4, "alpha beta beta")), path, mode="append")
+    whole = store.compact_index(spark, path)
+    assert len(loose.batches) == 3 and len(whole.batches) == 1 and whole.version == loose.version + 1
+    for ours, theirs in ((whole.documents, loose.documents), (whole.postings, loose.postings), (whole.vocabulary, loose.vocabulary)):
+        columns = sorted(set(theirs.columns))
+        assert sorted(ours.select(columns).collect(), key=str) == sorted(theirs.select(columns).collect(), key=str)
+    assert match.match_phrase(ask("beta"), whole).count() == 4 and store.compact_index(spark, path).version == whole.version
+    grown = save_index(rows((5, "beta")), path, mode="append")
+    assert match.match_phrase(ask("beta"), grown).count() == 5
+
+
+def test_two_writers_of_one_version(spark):
+    rows = spark.createDataFrame([(1, "alpha")], "doc_id bigint, text string")
+    path = fresh_path(spark, "writers")
+    save_index(rows, path, doc_buckets=2)
+    state = store._published(spark, path)
+    store._publish(spark, path, state.but(version=9, writer="a"))
+    with pytest.raises(RuntimeError):
+        store._publish(spark, path, state.but(version=9, writer="b"))
+    assert load_index(spark, path).version == 9
+
+
+def test_another_session_reads_every_batch(spark, ask):
+    rows = lambda *r: spark.createDataFrame(r, "doc_id bigint, text string")
+    path = fresh_path(spark, "sessions")
+    save_index(rows((1, "alpha")), path, doc_buckets=2)
+    index = save_index(rows((2, "alpha")), path, mode="append")
+    # a catalog that has never seen the tables, as another application's
+    for table in ("documents", "postings"):
+        spark.sql(f"DROP TABLE tagseek_{table}_{index.build_id}")
+    store._known.clear()
+    assert match.match_phrase(ask("alpha"), load_index(spark, path)).count() == 2
