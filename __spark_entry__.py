@@ -89,6 +89,12 @@ def index_roundtrip(spark, sf_dir):
     return index.vocabulary.where(F.col("field") == "exact").select("term", "df", "cf")
 
 
+def index_postings(spark, sf_dir):
+    """Every posting of the index that was saved in two batches."""
+    words = transcript_index(spark, sf_dir).postings.where(F.col("field") == "exact")
+    return words.select("term", "doc_id", F.col("dl").cast("bigint").alias("dl"), F.array_join("positions", " ").alias("places"))
+
+
 def index_stats(spark, sf_dir):
     return store.index_stats(corpus_index(spark, sf_dir))
 
@@ -372,7 +378,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {
         f.__name__: f
         for f in (
-            json_file_scan, json_flatten, json_file_tag, json_typed_fields, index_roundtrip, index_stats,
+            json_file_scan, json_flatten, json_file_tag, json_typed_fields, index_roundtrip, index_postings, index_stats,
             exact_postings, phonetic_postings, vocabulary, corpus_stats, query_tokens,
             many_terms, many_phrases, every_phrase, many_prefixes, many_glued, many_top_hits, many_tag_scores, many_hit_details, phrase_sloppy, boosted_scores, clause_plan, boolean_or,
             bm25_rank, top_n_hits, total_hits, tag_scores, hit_details, merge_scores, final_ranking, significant_tags,

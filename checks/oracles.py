@@ -407,6 +407,7 @@ ORACLES = {
         f"json_extract_string(props, '$.' || unnest(json_keys(props))) AS value FROM events UNION ALL {TREE_FIELDS}"
     ),
     "index_roundtrip": f"WITH {T_BASE} SELECT term, df, cf FROM v",
+    "index_postings": f"WITH {T_BASE} SELECT term, doc_id, dl, string_agg(pos, ' ' ORDER BY pos) AS places FROM tok GROUP BY term, doc_id, dl",
     "index_stats": f"WITH {tokens()} SELECT (SELECT count(*) FROM documents) AS docs, count(*) AS tokens, count(DISTINCT term) AS terms FROM tok",
     "exact_postings": f"WITH {tokens()} SELECT term, doc_id, pos FROM tok",
     "vocabulary": f"WITH {tokens()}, {VOCAB} SELECT term, df, cf FROM v",

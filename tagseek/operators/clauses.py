@@ -12,6 +12,7 @@ from ..functions.scoring import idf
 from ..params import SearchParams
 from ..session import settle
 from ..sources.store import Index, probe
+from .lexicon import run_grams, words_of
 from .postings import EXACT, analyzed_queries, term_bucket
 from .rank import top_per_key
 
@@ -182,12 +183,16 @@ def _starts(keyed: DataFrame) -> Column:
         length //= 2
 
 
-def expand_patterns(patterns: DataFrame, vocabulary: DataFrame, max_expansions: int | None = None) -> DataFrame:
+def expand_patterns(
+    patterns: DataFrame, vocabulary: DataFrame, max_expansions: int | None = None, index: Index | None = None, field: str = EXACT
+) -> DataFrame:
     """patterns(pattern) × vocabulary(term, …) → the words each pattern accepts.
 
     An equi-join on the patterns' literal parts, then the full test on what is
     left; the distinct (side, length) pairs are at most a few per word length.
-    Patterns without a letter are met in shares of the vocabulary.
+    Patterns without a letter are met in shares of the vocabulary. With ``index``,
+    words that end in or hold a run of letters come from its saved n-grams: they are
+    those that have all grams of the run.
     """
     distinct = patterns.select("pattern").distinct()
     keyed = distinct.select("pattern", _anchors(F.col("pattern")).alias("a")).select(
@@ -195,52 +200,84 @@ def expand_patterns(patterns: DataFrame, vocabulary: DataFrame, max_expansions:
     )
     keys = F.when(F.col("side") == "any", F.array(*[F.lit(str(i)) for i in range(ANY_KEYS)])).otherwise(F.array("key"))
     spread = keyed.select("pattern", "regex", "side", F.explode(keys).alias("key"))
+    if index is not None:
+        runs = keyed.where(F.col("side").isin("tail", "inner"))
+        keyed = keyed.where(~F.col("side").isin("tail", "inner"))
     kinds = [tuple(r) for r in keyed.select("side", F.length("key")).distinct().orderBy("side", F.length("key")).collect()]
     found = None
     for of_head in (True, False):
         own = [k for k in kinds if (k[0] == "head") == of_head]
-        if own or (found is None and not of_head):
+        if own or (index is None and found is None and not of_head):
             narrowed = vocabulary.where(_starts(keyed)) if of_head else vocabulary
             candidates = narrowed.withColumn("a", F.explode(_term_anchors(F.col("term"), own or [("any", 0)])))
             part = candidates.select(*vocabulary.columns, "a.side", "a.key").join(spread, ["side", "key"])
             part = part.where(F.expr("term rlike regex")).drop("side", "key", "regex")
             found = part if found is None else found.unionByName(part)
+    if index is not None:
+        part = _by_grams(runs, vocabulary, index, field)
+        found = part if found is None else found.unionByName(part)
     if max_expansions is not None:
         found = top_per_key(found, "pattern", [F.col("term").asc()], max_expansions)
     return found
 
 
-def expand_fuzzy(words: DataFrame, vocabulary: DataFrame, edits: int, keep: int | None = None) -> DataFrame:
+def _by_grams(runs: DataFrame, vocabulary: DataFrame, index: Index, field: str) -> DataFrame:
+    """Words of the vocabulary that hold the runs of runs(pattern, regex, key), by saved n-grams."""
+    grams = runs.select("pattern", "regex", run_grams(F.col("key")).alias("grams"))
+    asked = settle(grams.select("pattern", "regex", F.size("grams").alias("needed"), F.explode("grams").alias("key")), "grams")
+    met = words_of(index, field, "grams", asked).groupBy("pattern", "regex", "needed", "term").agg(F.count(F.lit(1)).alias("held"))
+    held = met.where((F.col("held") == F.col("needed")) & F.expr("term rlike regex")).select("pattern", "term")
+    return _with_words(held, vocabulary, index).select(*vocabulary.columns, "pattern")
+
+
+def _with_words(found: DataFrame, vocabulary: DataFrame, index: Index) -> DataFrame:
+    """found(term, …) with the vocabulary's columns; words of later states drop out."""
+    found = settle(found.withColumn("term_bucket", term_bucket(F.col("term"), index.term_buckets)), "found")
+    return probe(vocabulary, found, ["term_bucket", "term"])
+
+
+def expand_fuzzy(
+    words: DataFrame, vocabulary: DataFrame, edits: int, keep: int | None = None, index: Index | None = None, field: str = EXACT
+) -> DataFrame:
     """words(word) × vocabulary(term, …) → similar terms with ``weight``.
 
     Candidates share what is left after dropping up to ``edits`` letters, so
     only plausible pairs meet. Spark's own bounded distance then drops most of
     them, and the swap-aware distance is worked out for the rest. ``keep``
-    bounds the terms one word may stand for: best first, then in byte order.
+    bounds the terms one word may stand for: best first, then in byte order. With
+    ``index``, its saved keys are looked up, and the vocabulary only for what is near.
     """
     left = words.select("word").distinct()
+    if index is not None:
+        asked = settle(left.withColumn("key", F.explode(deletion_keys(F.col("word"), edits))), "deletions")
+        near = _near(words_of(index, field, "deletions", asked).drop("key"), edits)
+        return _kept(_with_words(near, vocabulary, index), keep)
     sizes = left.agg(F.min(F.length("word")), F.max(F.length("word"))).first()
     low, high = (sizes[0] or 0) - edits, (sizes[1] or 0) + edits
     left = left.withColumn("key", F.explode(deletion_keys(F.col("word"), edits)))
     right = vocabulary.where(F.length("term").between(low, high)).withColumn(
         "key", F.explode_outer(deletion_keys(F.col("term"), edits))
     )
+    return _kept(_near(right.join(left, "key").drop("key"), edits), keep)
+
+
+def _near(pairs: DataFrame, edits: int) -> DataFrame:
+    """Pairs (word, term, …) at most ``edits`` apart, each once, with distance and weight."""
     shorter = F.least(F.length("word"), F.length("term"))
-    pairs = (
-        right.join(left, "key")
-        .drop("key")
-        .where(F.abs(F.length("word") - F.length("term")) <= edits)
+    close = (
+        pairs.where(F.abs(F.length("word") - F.length("term")) <= edits)
         .where(F.levenshtein("word", "term", 2 * edits) >= 0)
         .dropDuplicates(["word", "term"])
     )
-    close = (
-        pairs.withColumn("distance", swap_distances("word", "term"))
+    return (
+        close.withColumn("distance", swap_distances("word", "term"))
         .where((F.col("distance") <= edits) & (F.col("distance") < shorter))
         .withColumn("weight", 1 - F.col("distance") / shorter)
     )
-    if keep is not None:
-        close = top_per_key(close, "word", [F.col("weight").desc(), F.col("term").asc()], keep)
-    return close
+
+
+def _kept(close: DataFrame, keep: int | None) -> DataFrame:
+    return close if keep is None else top_per_key(close, "word", [F.col("weight").desc(), F.col("term").asc()], keep)
 
 
 def clause_terms(clauses: DataFrame, index: Index, field: str = EXACT, params: SearchParams = SearchParams()) -> DataFrame:
@@ -258,11 +295,11 @@ def clause_terms(clauses: DataFrame, index: Index, field: str = EXACT, params: S
     parts = [plain]
     if "pattern" in readings:
         wanted = slots.where(F.col("reading") == "pattern").withColumnRenamed("word", "pattern")
-        accepted = expand_patterns(wanted, vocabulary, params.max_expansions)
+        accepted = expand_patterns(wanted, vocabulary, params.max_expansions, index, field)
         parts.append(accepted.join(wanted, "pattern").withColumn("distance_weight", F.lit(1.0)))
     if "fuzzy" in readings:
         wanted = slots.where(F.col("reading") == "fuzzy")
-        similar = expand_fuzzy(wanted, vocabulary, params.fuzzy_edits, params.fuzzy_terms)
+        similar = expand_fuzzy(wanted, vocabulary, params.fuzzy_edits, params.fuzzy_terms, index, field)
         parts.append(similar.join(wanted, "word").withColumnRenamed("weight", "distance_weight"))
     columns = ["query_id", "clause", "kind", "boost", "n_slots", "slot", "term_bucket", "term", "df", "distance_weight"]
     united = parts[0].select(*columns)

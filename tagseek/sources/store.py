@@ -81,6 +81,7 @@ class Index:
     n_tokens: int
     version: int = 0
     batches: tuple[str, ...] = ()
+    words: str = ""
     opened: dict = field(default_factory=dict)
 
     @property
@@ -195,6 +196,7 @@ def load_index(spark: SparkSession, path: str) -> Index:
         state.n_tokens,
         state.version,
         tuple(state.names),
+        state.words,
     )
 
 

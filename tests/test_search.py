@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagseek.operators import match, rank, spelling
-from tagseek.operators.clauses import expand_queries
+from tagseek.operators.clauses import expand_fuzzy, expand_patterns, expand_queries
+from tagseek.operators.lexicon import lexicon, words_of
 from tagseek.params import SearchParams
 from tagseek.plans.search import exact_search, fallback_search, phonetic_search, search
 from tagseek.session import fresh_path, settings, settle
@@ -418,3 +419,34 @@ def test_another_session_reads_every_batch(spark, ask):
         spark.sql(f"DROP TABLE tagseek_{table}_{index.build_id}")
     store._known.clear()
     assert match.match_phrase(ask("alpha"), load_index(spark, path)).count() == 2
+
+
+def test_similar_words_and_patterns_read_saved_keys(spark, ask):
+    """Saved keys give what the vocabulary gives; an append adds the keys of new words only."""
+    rows = lambda *r: spark.createDataFrame(r, "doc_id bigint, text string")
+    path = fresh_path(spark, "lexicon")
+    texts = ["thousand thou hour shout keitel", "nichts nicht licht dicht", "a ab abc éclair", "schönheit freiheit hhou"]
+    first = save_index(rows(*enumerate(texts)), path, doc_buckets=2, term_buckets=3)
+    patterns = spark.createDataFrame([(p,) for p in ("*hou*", "*heit", "t?ou*", "*o*", "??", "*", "*b", "*é*r", "*hh*", "*zz*")], "pattern string")
+    words = spark.createDataFrame([(w,) for w in ("nihcts", "tohu", "a", "abcd", "freihet", "zzzzz")], "word string")
+
+    def both(index):
+        vocabulary = index.vocabulary.where(F.col("field") == "exact").drop("field")
+        for made, kept, columns in (
+            (expand_patterns(patterns, vocabulary), expand_patterns(patterns, vocabulary, index=index), ("pattern", "term", "df")),
+            (expand_fuzzy(words, vocabulary, 2), expand_fuzzy(words, vocabulary, 2, index=index), ("word", "term", "df", "distance", "weight")),
+            (expand_fuzzy(words, vocabulary, 1), expand_fuzzy(words, vocabulary, 1, index=index), ("word", "term", "df", "distance", "weight")),
+        ):
+            assert sorted(made.select(*columns).collect()) == sorted(kept.select(*columns).collect()) != []
+
+    both(first)
+    before = lexicon(first, "deletions").count()
+    grown = save_index(rows((9, "nichts thouless")), path, mode="append")
+    both(grown)
+    both(first)
+    added = lexicon(grown, "deletions").where("field = 'exact'").select("term").distinct().count()
+    assert added == first.vocabulary.where("field = 'exact'").count() + 1
+    assert lexicon(grown, "deletions").count() > before
+    asked = spark.createDataFrame([("p", "(?s)^.*hou.*$", "hou", "inner")], "pattern string, regex string, key string, side string")
+    plan = plan_of(words_of(grown, "exact", "grams", asked))
+    assert "key_bucket" in plan.split("PartitionFilters:")[1].split("]")[0] and "EqualTo(key,hou)" in plan and "vocabulary" not in plan
