@@ -86,26 +86,35 @@ def _blocks(df: DataFrame, key: str, block: int) -> list[DataFrame]:
     return [df] if parts == 1 else [df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == i) for i in range(parts)]
 
 
+def own_rows(documents: DataFrame) -> DataFrame:
+    """Add ``row``, which tells the rows apart: the doc_id, or a number where ids repeat or are null."""
+    unclear = documents.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
+    if unclear.isEmpty():
+        return documents.withColumn("row", F.col("doc_id"))
+    # written, so that every later reading finds the same numbers
+    return settle(documents.withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
 def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     ``items_sha256`` digests the ids of the items with an occurring window, as
     sorted strings joined by commas. Null texts have no words; texts and items
     without words neither hit nor are hit; items shorter than a window are one
-    window. Repeated rows of one doc_id get the hits of all its texts. Further
-    columns are ignored.
+    window. Rows without a doc_id, or that share one, are documents of their own.
+    Further columns are ignored.
     """
-    documents = documents.select("doc_id", "text")
+    documents = own_rows(documents.select("doc_id", "text"))
     windows = settle(_windows(items.select(F.col("item_id").cast("string").alias("item_id"), "text"), window).distinct(), "windows")
     sizes = [r["n"] for r in windows.select("n").distinct().collect()]  # at most as many as a window has words
     occurring = settle(reduce(DataFrame.unionByName, [_occurring(documents, windows.where(F.col("n") == n), n, min(gram, n), block) for n in sorted(sizes)]), "hits") if sizes else None
-    counted = documents.select("doc_id", word_count(F.col("text")).alias("n_words"))
+    counted = documents.select("doc_id", "row", word_count(F.col("text")).alias("n_words"))
     if occurring is None:
         none = {"n_hit": F.lit(0).cast("bigint"), "n_items": F.lit(0).cast("bigint"), "items_sha256": F.sha2(F.lit(""), 256), "contaminated": F.lit(False)}
-        return counted.withColumns(none)
+        return counted.drop("row").withColumns(none)
 
     # each document's windows are few and bounded by its own length
-    spans = occurring.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("spans"))
+    spans = occurring.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("spans"))
     ends = F.aggregate(
         "spans",
         F.struct(F.lit(0).cast("bigint").alias("hit"), F.lit(0).alias("end")),
@@ -114,16 +123,15 @@ def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW,
             F.greatest(acc["end"], s["at"] + s["n"]).alias("end"),
         ),
     )
-    hit_words = spans.select("doc_id", ends["hit"].alias("n_hit"))
+    hit_words = spans.select("row", ends["hit"].alias("n_hit"))
     hit_items = (
-        occurring.select("doc_id", "words").distinct()
+        occurring.select("row", "words").distinct()
         .join(windows.select("words", "item_id"), "words")
-        .groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
-        .select("doc_id", F.size("ids").cast("bigint").alias("n_items"), F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
+        .groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+        .select("row", F.size("ids").cast("bigint").alias("n_items"), F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
     )
-    found = hit_words.join(hit_items, hit_words["doc_id"].eqNullSafe(hit_items["doc_id"])).drop(hit_items["doc_id"])
-    return counted.join(found, counted["doc_id"].eqNullSafe(found["doc_id"]), "left").select(
-        counted["doc_id"],
+    return counted.join(hit_words.join(hit_items, "row"), "row", "left").select(
+        "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
@@ -133,22 +141,24 @@ def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW,
 
 
 def _occurring(documents: DataFrame, windows: DataFrame, n: int, gram: int, block: int) -> DataFrame:
-    """(doc_id, at, words, n): where windows of n words occur in documents."""
+    """(row, at, words, n): where windows of n words occur in documents."""
     span = n - gram + 1
     each = windows.select("words").distinct()
     marks = with_grams(each.select(F.split("words", " ").alias("words")), gram)
     prints = settle(marks.select(F.array_min("grams").alias("print")).distinct(), "prints")
     lists = worked_out(documents.where(F.col("text").isNotNull()), words=word_list(F.col("text"))).drop("text")
     hashed = with_grams(lists.where(F.size("words") >= n), gram)
-    keyed = hashed.select("doc_id", "words", "grams", F.explode(fingerprints(F.col("grams"), span)).alias("print"))
+    keyed = hashed.select("row", "words", "grams", F.explode(fingerprints(F.col("grams"), span)).alias("print"))
     found = []
     for part in _blocks(prints, "print", block):
         met = keyed.join(F.broadcast(part), "print")
         places = F.filter(F.sequence(F.lit(0), F.size("grams") - 1), lambda i: F.get(F.col("grams"), i) == F.col("print"))
-        met = met.select("doc_id", "words", F.explode(places).alias("place"))
+        met = met.select("row", "words", F.explode(places).alias("place"))
         low, high = F.greatest(F.col("place") - span + 1, F.lit(0)), F.least(F.col("place"), F.size("words") - n)
-        around = met.select("doc_id", "words", F.explode(F.sequence(low, high)).alias("at"))
-        found.append(around.select("doc_id", "at", F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("words")))
-    spread = reduce(DataFrame.unionByName, found)
-    kept = [spread.join(F.broadcast(part), "words", "left_semi") for part in _blocks(each, "words", block)]
+        around = met.select("row", "words", F.explode(F.sequence(low, high)).alias("at"))
+        found.append(around.select("row", "at", F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("words")))
+    spread, parts = reduce(DataFrame.unionByName, found), _blocks(each, "words", block)
+    if len(parts) > 1:  # texts are read once, however many blocks meet their windows
+        spread = settle(spread, "spread")
+    kept = [spread.join(F.broadcast(part), "words", "left_semi") for part in parts]
     return reduce(DataFrame.unionByName, kept).distinct().withColumn("n", F.lit(n))

@@ -18,10 +18,11 @@ def training_rows(documents: DataFrame, labels: DataFrame, target: str, max_rows
 
     At most ``max_rows`` labels are taken, in the order of a hash of the id, so
     the sample is the same in every run and its broadcast is bounded. Labels
-    repeated for one id vote; an even vote counts as 0, null labels do not count.
+    repeated for one id vote; an even vote counts as 0, null labels do not count. Of
+    rows that share an id one is learned from, the first by its text.
     """
     votes = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     votes = votes.groupBy("doc_id").agg((F.avg(F.col(target)) > 0.5).cast("int").alias("y"))
     chosen = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))

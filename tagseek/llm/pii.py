@@ -16,6 +16,7 @@ members, however often a value repeats.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -123,16 +124,14 @@ def nodes(text: str, base: list[tuple[int, int, int]]) -> list[Node]:
 
 
 def shape(token: str) -> int:
-    """Bucket of a token's shape: runs of digits by length, other runs as one mark."""
-    marks = []
-    for m in _SHAPE.finditer(token[:256]):
-        marks.append("9" * len(m[1]) if m[1] else "a" if m[2] else "u" if m[3] else " " if m[4] else m[5])
-    code = np.frombuffer("".join(marks)[:48].encode().ljust(192, b"\0")[:192], "<u8")
-    with np.errstate(over="ignore"):
-        h = np.uint64(len(marks))
-        for x in code:
-            h = mix(np.array([h + x], np.uint64))[0]
-    return int(h % np.uint64(BUCKETS))
+    """Bucket of a token's shape: runs of digits by length, other runs as one mark.
+
+    A running hash takes in the marks of the whole token one by one.
+    """
+    h = 0
+    for m in _SHAPE.finditer(token):
+        h = zlib.crc32(b"9%d" % len(m[1]) if m[1] else b"a" if m[2] else b"u" if m[3] else b" " if m[4] else m[5].encode(errors="replace"), h)
+    return int(mix(np.array([h], np.uint64))[0] % np.uint64(BUCKETS))
 
 
 def keys(token: str) -> set[str]:

@@ -25,7 +25,9 @@ from . import bytewords as bw
 from .labelled import held_out, training_rows
 from .quality import logistic
 
-MAX_ROWS = 10_000
+MAX_ROWS = 20_000
+#: Distinct words of slices that are held before equal ones are joined.
+WORDS = 2_000_000
 #: Lengths in bytes of the word beginnings that count as units; the word itself is the last.
 PREFIXES = (2, 3, 4, 5, 6, 8)
 SLOTS = 21
@@ -91,19 +93,20 @@ def segments(scores: list[float], places: list[int], n: int) -> list[tuple[int,
     ``scores`` are running sums given sparsely: ``places`` are the words with a
     positive score, ``scores`` holds for each the sum before it and after it.
     """
-    kept: list[list[float]] = []  # first, end, sum before, sum after
+    kept: list[list[float]] = []  # first, end, sum before, sum after, the nearest earlier one with a smaller sum before
     for at, before, after in zip(places, scores[::2], scores[1::2], strict=True):
-        new = [at, at + 1, before, after]
+        new = [at, at + 1, before, after, -1]
         while True:
             j = len(kept) - 1
             while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= new[3]:
+                new[4] = j
                 kept.append(new)
                 break
-            new = [kept[j][0], new[1], kept[j][2], new[3]]
+            new = [kept[j][0], new[1], kept[j][2], new[3], -1]
             del kept[j:]
-    return [(int(a), int(b), float(y - x)) for a, b, x, y in kept]
+    return [(int(a), int(b), float(y - x)) for a, b, x, y, _ in kept]
 
 
 def passages(words: bw.Runs, scores: np.ndarray, rows: int) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
@@ -125,11 +128,12 @@ def evidence(found: list[tuple[int, int, float]], n_words: int, decay: float, sc
     return float(sum(x[3] for x in strong)), strong
 
 
-def _unit_odds(column: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(slot, tag, log-odds) of the units that tell more than their shorter beginning."""
-    none = np.zeros(0, np.int64)
-    base = (y.sum() + 1) / (len(y) + 2)
-    firsts, rows_of = [], []
+def _distinct_words(column: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct words: (levels, words) unit hashes, texts that hold each, toxic ones of these.
+
+    Every slice is reduced before the next is read, so memory follows the vocabulary.
+    """
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for piece in bw.slices(column):
         words, level = units(piece)
         # a word counts once in a text
@@ -137,18 +141,35 @@ def _unit_odds(column: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         order = np.lexsort((whole, words.row))
         new = np.ones(len(order), bool)
         new[1:] = (whole[order[1:]] != whole[order[:-1]]) | (words.row[order[1:]] != words.row[order[:-1]])
-        firsts.append(order[new].astype(np.int32))
-        rows_of.append(words.row[firsts[-1]] + piece.low)
-    toxic = y[np.concatenate(rows_of)] == 1 if rows_of else np.zeros(0, bool)
-    if not len(toxic):
+        first = order[new]
+        _, at, back, n = np.unique(whole[first], return_index=True, return_inverse=True, return_counts=True)
+        toxic = np.bincount(back, weights=y[words.row[first] + piece.low] == 1, minlength=len(at))
+        held.append((np.stack([level(k)[first[at]] for k in range(LEVELS)]), n, toxic))
+        if sum(len(x[1]) for x in held) > WORDS:
+            held = [_joined(held)]
+    return _joined(held) if held else (np.zeros((LEVELS, 0), np.uint64), np.zeros(0), np.zeros(0))
+
+
+def _joined(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    each = np.concatenate([x[0] for x in held], axis=1)
+    _, at, back = np.unique(each[-1], return_index=True, return_inverse=True)
+    n, toxic = (np.bincount(back, weights=np.concatenate([x[k] for x in held]), minlength=len(at)) for k in (1, 2))
+    return each[:, at], n, toxic
+
+
+def _unit_odds(column: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(slot, tag, log-odds) of the units that tell more than their shorter beginning."""
+    none = np.zeros(0, np.int64)
+    base = (y.sum() + 1) / (len(y) + 2)
+    each, texts, toxic = _distinct_words(column, y)
+    if not len(texts):
         return none, none.astype(np.uint32), none.astype(np.float32)
-    parent = np.full(len(toxic), base)
-    known = np.zeros(len(toxic))
+    parent = np.full(len(texts), base)
+    known = np.zeros(len(texts))
     kept: dict[int, tuple[int, float, int]] = {}
-    for k in range(LEVELS):  # one level in memory at a time
-        own = np.concatenate([units(piece)[1](k)[first] for piece, first in zip(bw.slices(column), firsts)])
-        ids, back, n = np.unique(own, return_inverse=True, return_counts=True)
-        t = np.bincount(back, weights=toxic, minlength=len(ids))
+    for own in each:
+        ids, back = np.unique(own, return_inverse=True)
+        n, t = (np.bincount(back, weights=w, minlength=len(ids)) for w in (texts, toxic))
         prior, above = np.zeros(len(ids)), np.zeros(len(ids))
         prior[back], above[back] = parent, known
         rate = (t + PRIOR * prior) / (n + PRIOR)

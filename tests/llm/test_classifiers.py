@@ -127,3 +127,43 @@ def test_viterbi_shortcut_equals_full_search():
         own = langid.viterbi(scores, 5.0).tolist()
         worth = lambda p: sum(scores[i, k] for i, k in enumerate(p)) - 5.0 * sum(a != b for a, b in zip(p, p[1:]))
         assert abs(worth(own) - worth(full(scores, 5.0))) < 1e-9
+
+
+def test_segments_of_a_very_long_text_in_linear_time():
+    import random
+    import time
+
+    r = random.Random(4)
+    scores, sums = [], [0.0]
+    for _ in range(100_000):
+        scores += [r.random(), -1.0 - r.random()]  # sums fall all along
+    for x in scores:
+        sums.append(sums[-1] + x)
+    at = list(range(0, len(scores), 2))
+    began = time.process_time()
+    found = segments([x for i in at for x in (sums[i], sums[i + 1])], at, len(scores))
+    assert time.process_time() - began < 2 and len(found) == 100_000
+
+
+def test_one_row_of_an_id_is_learned_from(spark):
+    from tagseek.llm.labelled import training_rows
+
+    documents = spark.createDataFrame([(3, f"text {i}") for i in range(500)] + [(4, "own")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(3, 1), (4, 0)], "doc_id bigint, toxic int")
+    rows = sorted(tuple(r) for r in training_rows(documents, labels, "toxic", 10).collect())
+    assert rows == [(3, "text 0", 1), (4, "own", 0)] or len(rows) < 2  # ids of the held-out fold are never learned from
+
+
+def test_unit_odds_do_not_depend_on_slices(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tagseek.llm import toxicity
+
+    r = np.random.default_rng(5)
+    texts = [" ".join(r.choice(["vile", "vilest", "good", "goods", "stone", "river", "x"], 3)) for _ in range(300)]
+    y = np.array([int("vile" in t) for t in texts])
+    whole = toxicity._unit_odds(pa.array(texts, pa.large_string()), y)
+    monkeypatch.setattr(toxicity, "WORDS", 3)
+    parts = toxicity._unit_odds(pa.array(texts, pa.large_string()), y)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts)) and len(whole[0])

@@ -54,6 +54,22 @@ def test_decontamination_in_blocks(spark, prose):
     assert {x["doc_id"]: tuple(x) for x in found.collect()} == contaminated(docs, items)
 
 
+def test_rows_that_share_an_id_are_apart(spark, prose):
+    items = [(1, prose(12, 1)), (2, prose(15, 2))]
+    texts = [items[0][1], "clean", None, prose(9, 3) + " " + items[1][1], "clean too", items[0][1]]
+    docs = list(zip([None, None, None, 7, 7, 8], texts))
+    found = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    alone = contaminated(list(enumerate(texts)), items)
+    expected = [(docs[i][0], *alone[i][1:]) for i in range(len(docs))]
+    assert sorted((tuple(r) for r in found.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_shapes_take_in_whole_tokens():
+    token = "https://example.org/" + "ab1-" * 200
+    assert len({pii.shape(token + end) for end in ("7", "77", "777", "x7x", "#7")}) == 5
+    assert pii.shape("1234") == pii.shape("5678") != pii.shape("123")
+
+
 def test_decontamination_edges(spark, edge_documents, no_documents):
     none = spark.createDataFrame([], "item_id bigint, text string")
     item = spark.createDataFrame([(1, "one two")], "item_id bigint, text string")
