@@ -7,7 +7,6 @@ session, as a user would.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -407,11 +406,10 @@ def oracle_sql() -> dict[str, str]:
 
 def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
     """Queries and SQL of the training-data operators, where that subpackage is installed."""
-    # in this order: a module's parent must be there to look for it
-    if not all(map(importlib.util.find_spec, ("tagseek.llm", "tagseek.llm.queries", "corpus_pipeline"))):
+    try:
+        import corpus_pipeline
+        from tagseek.llm import queries as training
+    except ImportError:
         return {}, {}
-    import corpus_pipeline
-    from tagseek.llm import queries as training
-
     sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
     return training.QUERIES | {"pipeline": corpus_pipeline.run}, training.ORACLES | sql
