@@ -51,11 +51,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def json_file_scan(spark, sf_dir):
-    nodes = settle(json_tree.flatten_json(json_tree.read_json_files(spark, transcript_files(spark, sf_dir))), "nodes")
+    nodes = json_tree.flatten_json(json_tree.read_json_files(spark, transcript_files(spark, sf_dir)))
     typed = json_tree.typed_fields(
         nodes, {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"}
     )
-    return typed.where(F.col("text").isNotNull()).select("conv_id", "turn", "role", "text")
+    # where a record came from: the file's own name, and how many turns that file holds
+    said = typed.where(F.col("text").isNotNull())
+    named = F.col("filename").endswith(".json") & F.col("filepath").endswith(F.concat(F.lit("/"), "filename"))
+    held = said.groupBy("filepath").agg(F.count(F.lit(1)).alias("file_turns"))
+    return said.join(held, "filepath").select("conv_id", "turn", "role", "text", named.alias("named"), "file_turns")
 
 
 def json_flatten(spark, sf_dir):
@@ -197,6 +201,11 @@ def phrase_sloppy(spark, sf_dir):
     return found.select("query_id", "doc_id", F.col("width").cast("bigint").alias("width"))
 
 
+def sloppy_scores(spark, sf_dir):
+    found = match.match_phrase(query_table(spark, "phrase_sloppy"), corpus_index(spark, sf_dir), slop=2, width=True)
+    return found.select("query_id", "doc_id", F.col("width").cast("bigint").alias("width"), F.round("freq", 6).alias("freq"), F.round("score", 6).alias("score"))
+
+
 def boosted_scores(spark, sf_dir):
     index = corpus_index(spark, sf_dir)
     exact = match.match_phrase(query_table(spark, "phrase_exact"), index).withColumn("kind", F.lit("exact"))
@@ -233,8 +242,10 @@ def _found(spark, sf_dir) -> DataFrame:
 def bm25_rank(spark, sf_dir):
     """From raw tables, without an index: every word of every text scored."""
     docs = corpus(spark, sf_dir)
-    inverted = postings.build_postings(docs)
-    stats = settle(postings.corpus_stats(postings.doc_lengths(docs)), "stats")
+    # split and inverted once; of a record's postings, one holds place 0
+    entries = postings.build_postings(docs).select("field", "term", "doc_id", "dl", "freq", (F.get("positions", F.lit(0)) == 0).alias("first"))
+    inverted = settle(entries, "inverted")
+    stats = settle(postings.corpus_stats(inverted.where("first")), "stats")
     asked = postings.tokenize_queries(query_table(spark, "term_match"))
     df = postings.vocabulary(inverted).join(asked, "term").select("term", "df", "query_id")
     wanted = settle(df.withColumn("idf", idf(stats.first()["n_docs"], F.col("df"))), "wanted")
@@ -357,11 +368,20 @@ def exact_search(spark, sf_dir):
     return _with_totals(found)
 
 
+def exact_search_slop2(spark, sf_dir):
+    """At the default settings: words may stand two moves apart."""
+    return _with_totals(plans.exact_search(query_table(spark, "exact"), corpus_index(spark, sf_dir)))
+
+
 def phonetic_search(spark, sf_dir):
     found = plans.phonetic_search(query_table(spark, "phonetic"), corpus_index(spark, sf_dir), STRICT)
     return _with_totals(found)
 
 
+def phonetic_search_slop2(spark, sf_dir):
+    return _with_totals(plans.phonetic_search(query_table(spark, "phonetic"), corpus_index(spark, sf_dir)))
+
+
 def _with_totals(found: plans.Outcome) -> DataFrame:
     tags = found.tags.select("query_id", "bookmark_tag", "score", F.col("first_rank").cast("bigint").alias("first_rank"))
     return tags.join(found.totals, "query_id")
@@ -372,6 +392,11 @@ def full_search(spark, sf_dir):
     return report.tags.withColumn("place", F.col("place").cast("bigint"))
 
 
+def full_search_slop2(spark, sf_dir):
+    report = plans.search(query_table(spark, "full"), corpus_index(spark, sf_dir))
+    return report.tags.withColumn("place", F.col("place").cast("bigint"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir)."""
     named = {
@@ -379,10 +404,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             json_file_scan, json_flatten, json_file_tag, json_typed_fields, index_roundtrip, index_postings, index_stats,
             exact_postings, phonetic_postings, vocabulary, corpus_stats, query_tokens,
-            many_terms, many_phrases, every_phrase, many_prefixes, many_glued, many_top_hits, many_tag_scores, many_hit_details, phrase_sloppy, boosted_scores, clause_plan, boolean_or,
+            many_terms, many_phrases, every_phrase, many_prefixes, many_glued, many_top_hits, many_tag_scores, many_hit_details, phrase_sloppy, sloppy_scores, boosted_scores, clause_plan, boolean_or,
             bm25_rank, top_n_hits, total_hits, tag_scores, hit_details, merge_scores, final_ranking, significant_tags,
             spell_dictionary, spell_known, spell_suggest, spell_options, spell_phrases, spell_compounds, spell_final,
-            fallback_search, exact_search, phonetic_search, full_search,
+            fallback_search, exact_search, exact_search_slop2, phonetic_search, phonetic_search_slop2, full_search, full_search_slop2,
         )
     }
     matchers = {

@@ -121,13 +121,17 @@ def transcript_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(place.alias("filename"), place.alias("filepath"), F.to_json(tree).alias("value"))
 
 
-def transcript_files(spark: SparkSession, sf_dir: str, turns_per_file: int = 200) -> str:
+#: About how many turns a file holds; a turn is dealt to file (conv_id + turn) mod the number of files.
+TURNS_PER_FILE = 200
+
+
+def transcript_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder of JSON files made from ``conversations``, a few hundred turns
     each whatever the length of any one conversation."""
     turns = table(spark, sf_dir, "conversations")
-    n = max(1, turns.count() // turns_per_file)
+    n = max(1, turns.count() // TURNS_PER_FILE)
     entry = F.struct(F.col("conv_id"), "turn", "role", "text")
-    grouped = turns.groupBy(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(n)).alias("part")).agg(
+    grouped = turns.groupBy(((F.col("conv_id") + F.col("turn")) % n).alias("part")).agg(
         F.sort_array(F.collect_list(entry)).alias("results")
     )
     folder = fresh_path(spark, "json")

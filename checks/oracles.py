@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .inputs import PHRASES, PLACES
+from .inputs import PHRASES, PLACES, TURNS_PER_FILE
 
 WORD = (
     r"(?:[\p{L}\p{M}]+(?:[''’.:·][\p{L}\p{M}]+)*"
@@ -84,10 +84,37 @@ def phrase_freq(qt: str = "qt", tok: str = "tok") -> str:
     )
 
 
-def phrase_score(qt: str = "qt", boost: float = 1.0) -> str:
+# Two different words within ``slop`` moves of each other: a window lies between
+# neighbours of different slots, or where both have a place; ``state`` is the slot
+# (1: the first) the sweep stands on after a place. One word counts as in phrase_freq.
+def sloppy_freq(qt: str, slop: int, tok: str = "tok", width: bool = False) -> str:
+    by = "PARTITION BY query_id, doc_id"
+    pairs = (
+        f"SELECT query_id, doc_id, any_value(dl) AS dl, sum(CASE WHEN gap <= {slop} THEN 1.0 / (1 + gap) ELSE 0 END)::DOUBLE AS freq, "
+        f"min(CASE WHEN gap <= {slop} THEN gap END)::BIGINT AS width FROM ("
+        "SELECT *, CASE WHEN a AND b THEN 0 WHEN before IS NOT NULL AND before <> a::INT THEN spot - last END AS gap FROM ("
+        f"SELECT *, lag(state) OVER ({by} ORDER BY spot) AS before, lag(spot) OVER ({by} ORDER BY spot) AS last FROM ("
+        "SELECT *, (coalesce(max(CASE WHEN NOT (a AND b) THEN a::INT END) OVER (PARTITION BY query_id, doc_id, grp), 1) "
+        "+ sum((a AND b)::INT) OVER (PARTITION BY query_id, doc_id, grp ORDER BY spot)) % 2 AS state FROM ("
+        f"SELECT *, sum((NOT (a AND b))::INT) OVER ({by} ORDER BY spot) AS grp FROM ("
+        "SELECT x.query_id, t.doc_id, any_value(t.dl) AS dl, t.pos - x.slot AS spot, bool_or(x.slot = 0) AS a, bool_or(x.slot = 1) AS b "
+        f"FROM {tok} t JOIN {qt} x ON t.term = x.term WHERE x.n = 2 GROUP BY x.query_id, t.doc_id, t.pos - x.slot))))) "
+        "GROUP BY query_id, doc_id HAVING count(gap) FILTER (gap <= "
+        f"{slop}) > 0"
+    )
+    if width:
+        return pairs
+    return f"SELECT query_id, doc_id, dl, freq FROM ({pairs}) UNION ALL {phrase_freq(f'(SELECT * FROM {qt} WHERE n = 1)', tok)}"
+
+
+def freq_within(qt: str, slop: int) -> str:
+    return sloppy_freq(qt, slop) if slop else phrase_freq(qt)
+
+
+def phrase_score(qt: str = "qt", boost: float = 1.0, slop: int = 0) -> str:
     return (
         f"SELECT f.query_id, f.doc_id, {boost} * i.idf * {damped('f.freq', 'f.dl')} AS score "
-        f"FROM ({phrase_freq(qt)}) f JOIN (SELECT x.query_id, sum({idf('v.df')}) AS idf FROM {qt} x JOIN v ON v.term = x.term, st "
+        f"FROM ({freq_within(qt, slop)}) f JOIN (SELECT x.query_id, sum({idf('v.df')}) AS idf FROM {qt} x JOIN v ON v.term = x.term, st "
         "GROUP BY x.query_id) i ON i.query_id = f.query_id, st"
     )
 
@@ -102,7 +129,7 @@ def flat(term: str) -> str:
     return f"translate({term}, 'ßäçèéêíñóöü', 'ABCDEFGHIJK')"
 
 
-def exact_clauses(q: str = "q", p: str = "") -> str:
+def exact_clauses(q: str = "q", p: str = "", slop: int = 0) -> str:
     """CTEs giving every clause's hits (query_id, clause, doc_id, score)."""
     parts = [
         slots(q, f"{p}qt"),
@@ -125,7 +152,7 @@ def exact_clauses(q: str = "q", p: str = "") -> str:
         f"{p}most AS (SELECT query_id, max(df) AS df FROM {p}near GROUP BY query_id)",
         f"{p}tf AS (SELECT doc_id, term, dl, count(*) AS freq FROM tok GROUP BY doc_id, term, dl)",
         f"{p}ch AS ("
-        f"SELECT query_id, 'phrase' AS clause, doc_id, score FROM ({phrase_score(f'{p}qt', 2.0)}) UNION ALL "
+        f"SELECT query_id, 'phrase' AS clause, doc_id, score FROM ({phrase_score(f'{p}qt', 2.0, slop)}) UNION ALL "
         f"SELECT query_id, 'glued', doc_id, score FROM ({phrase_score(f'{p}glue', 1.5)}) UNION ALL "
         f"SELECT f.query_id, 'hyphen', f.doc_id, 1.5 * i.idf * {damped('f.freq', 'f.dl')} FROM {p}hyph f "
         f"JOIN (SELECT x.query_id, sum({idf('v.df')}) AS idf FROM {p}qt x JOIN v ON v.term = x.term, st GROUP BY x.query_id) i "
@@ -178,11 +205,11 @@ def counted(q: str = "q", p: str = "") -> str:
     )
 
 
-def exact_flow(q: str = "q", p: str = "") -> str:
-    return ", ".join([exact_clauses(q, p), combined(p), best(p), tagged(p), counted(q, p)])
+def exact_flow(q: str = "q", p: str = "", slop: int = 0) -> str:
+    return ", ".join([exact_clauses(q, p, slop), combined(p), best(p), tagged(p), counted(q, p)])
 
 
-def phonetic_flow(q: str, p: str) -> str:
+def phonetic_flow(q: str, p: str, slop: int = 0) -> str:
     """Words sharing a query word's code stand for it; its df counts them all."""
     rows = ", ".join(f"('{word}', '{alike}')" for word, alikes in SOUND_ALIKE.items() for alike in alikes.split())
     return ", ".join(
@@ -193,7 +220,7 @@ def phonetic_flow(q: str, p: str) -> str:
             f"{p}cdf AS (SELECT l.word, count(DISTINCT t.doc_id) AS df FROM {p}alike l JOIN tok t ON t.term = l.term GROUP BY l.word)",
             f"{p}cidf AS (SELECT a.query_id, sum({idf('c.df')}) AS idf FROM {p}asked a JOIN {p}cdf c ON c.word = a.term, st "
             "GROUP BY a.query_id)",
-            f"{p}freq AS ({phrase_freq(f'{p}qt')})",
+            f"{p}freq AS ({freq_within(f'{p}qt', slop)})",
             f"{p}ch AS (SELECT f.query_id, f.doc_id, i.idf * {damped('f.freq', 'f.dl')} AS score FROM {p}freq f "
             f"JOIN {p}cidf i ON i.query_id = f.query_id, st)",
             combined(p),
@@ -255,14 +282,14 @@ def spelling(q: str = "q") -> str:
     )
 
 
-def fallback(q: str, totals: str) -> str:
+def fallback(q: str, totals: str, slop: int = 0) -> str:
     """CTEs ending in ``ftags``, ``ftotals`` per original query."""
     return ", ".join(
         [
             f"scarce AS (SELECT a.* FROM {q} a JOIN {totals} c ON c.query_id = a.query_id WHERE c.total_hits < 2)",
             spelling("scarce"),
             "fq AS (SELECT DISTINCT suggestion AS query_id, suggestion AS phrase FROM spelled)",
-            exact_flow("fq", "s_"),
+            exact_flow("fq", "s_", slop),
             "ftags AS (SELECT p.query_id, t.bookmark_tag, t.score, p.place + 1 AS source_order, t.first_rank FROM s_tags t "
             "JOIN spelled p ON p.suggestion = t.query_id)",
             "ftotals AS (SELECT p.query_id, sum(t.total_hits) AS total_hits FROM s_totals t JOIN spelled p "
@@ -320,6 +347,31 @@ def _sloppy() -> str:
     )
 
 
+def _exact_search(slop: int) -> str:
+    return (
+        f"WITH {BASE}, {asked('exact')}, {exact_flow(slop=slop)} SELECT t.query_id, t.bookmark_tag, t.score, t.first_rank, c.total_hits "
+        "FROM tags t JOIN totals c ON c.query_id = t.query_id"
+    )
+
+
+def _phonetic_search(slop: int) -> str:
+    return (
+        f"WITH {BASE}, {asked('phonetic')}, {phonetic_flow('q', 'f_', slop)} SELECT t.query_id, t.bookmark_tag, t.score, t.first_rank, c.total_hits "
+        "FROM f_tags t JOIN f_totals c ON c.query_id = t.query_id"
+    )
+
+
+def _full_search(slop: int) -> str:
+    return (
+        f"WITH RECURSIVE {BASE}, {asked('full')}, {exact_flow('q', 'e_', slop)}, {phonetic_flow('q', 'f_', slop)}, "
+        "first AS (SELECT e.query_id, e.total_hits + f.total_hits AS total_hits FROM e_totals e JOIN f_totals f ON f.query_id = e.query_id), "
+        f"{fallback('q', 'first', slop)}, alltotals AS (SELECT a.query_id, (a.total_hits + coalesce(b.total_hits, 0))::BIGINT AS total_hits FROM first a "
+        "LEFT JOIN ftotals b ON b.query_id = a.query_id), "
+        f"r AS ({ranked(merged(part('e_tags', 0), part('f_tags', 1), 'SELECT * FROM ftags'))}) "
+        "SELECT r.query_id, r.place, r.bookmark_tag, r.score, c.total_hits FROM r JOIN alltotals c ON c.query_id = r.query_id WHERE c.total_hits > 2"
+    )
+
+
 def _clause_plan() -> str:
     q = (
         f"{asked('clauses', 'q1')}, q AS (SELECT * FROM q1 UNION ALL SELECT item_id + 1000, text FROM benchmark), "
@@ -393,7 +445,10 @@ RUN_HITS = (
 )
 
 ORACLES = {
-    "json_file_scan": "SELECT conv_id, turn, role, text FROM conversations",
+    "json_file_scan": (
+        "SELECT conv_id, turn, role, text, true AS named, count(*) OVER (PARTITION BY (conv_id + turn) % n) AS file_turns "
+        f"FROM conversations, (SELECT greatest(1, count(*) // {TURNS_PER_FILE}) AS n FROM conversations)"
+    ),
     "json_flatten": (
         "SELECT conv_id || '/' || turn AS filename, n.depth, n.path, CASE WHEN n.path = '1.0' THEN text END AS text, "
         "CASE WHEN n.path = '1.0.2' THEN role END AS role FROM conversations, (VALUES (0, ''), (1, '0'), (2, '0.0'), (2, '1.0'), "
@@ -437,6 +492,10 @@ ORACLES = {
     "term_match": _freq("term_match"),
     "phrase_exact": _freq("phrase_exact"),
     "phrase_sloppy": _sloppy(),
+    "sloppy_scores": (
+        f"WITH {BASE}, {asked('phrase_sloppy')}, {slots()} SELECT f.query_id, f.doc_id, f.width, round(f.freq, 6) AS freq, round(s.score, 6) AS score "
+        f"FROM ({sloppy_freq('qt', 2, width=True)}) f JOIN ({phrase_score(slop=2)}) s ON s.query_id = f.query_id AND s.doc_id = f.doc_id"
+    ),
     "phonetic_phrase": f"WITH {BASE}, {asked('phonetic_phrase')}, {phonetic_flow('q', 'f_')} SELECT query_id, doc_id, freq FROM f_freq",
     "prefix_match": _pattern("prefix_match"),
     "wildcard_match": _pattern("wildcard_match"),
@@ -492,20 +551,10 @@ ORACLES = {
         f"WITH RECURSIVE {BASE}, {asked('spelling')}, {exact_flow('q', 'e_')}, {fallback('q', 'e_totals')} "
         f"SELECT query_id, bookmark_tag, score FROM ({merged('SELECT * FROM ftags')})"
     ),
-    "exact_search": (
-        f"WITH {BASE}, {asked('exact')}, {exact_flow()} SELECT t.query_id, t.bookmark_tag, t.score, t.first_rank, c.total_hits "
-        "FROM tags t JOIN totals c ON c.query_id = t.query_id"
-    ),
-    "phonetic_search": (
-        f"WITH {BASE}, {asked('phonetic')}, {phonetic_flow('q', 'f_')} SELECT t.query_id, t.bookmark_tag, t.score, t.first_rank, c.total_hits "
-        "FROM f_tags t JOIN f_totals c ON c.query_id = t.query_id"
-    ),
-    "full_search": (
-        f"WITH RECURSIVE {BASE}, {asked('full')}, {exact_flow('q', 'e_')}, {phonetic_flow('q', 'f_')}, "
-        "first AS (SELECT e.query_id, e.total_hits + f.total_hits AS total_hits FROM e_totals e JOIN f_totals f ON f.query_id = e.query_id), "
-        f"{fallback('q', 'first')}, alltotals AS (SELECT a.query_id, (a.total_hits + coalesce(b.total_hits, 0))::BIGINT AS total_hits FROM first a "
-        "LEFT JOIN ftotals b ON b.query_id = a.query_id), "
-        f"r AS ({ranked(merged(part('e_tags', 0), part('f_tags', 1), 'SELECT * FROM ftags'))}) "
-        "SELECT r.query_id, r.place, r.bookmark_tag, r.score, c.total_hits FROM r JOIN alltotals c ON c.query_id = r.query_id WHERE c.total_hits > 2"
-    ),
+    "exact_search": _exact_search(0),
+    "exact_search_slop2": _exact_search(2),
+    "phonetic_search": _phonetic_search(0),
+    "phonetic_search_slop2": _phonetic_search(2),
+    "full_search": _full_search(0),
+    "full_search_slop2": _full_search(2),
 }

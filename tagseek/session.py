@@ -61,7 +61,8 @@ def settle(df: DataFrame, label: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    with kept_types(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -82,6 +83,12 @@ def settings(spark: SparkSession, **values: str):
                 spark.conf.set(key, value)
 
 
+def kept_types(spark: SparkSession):
+    """Writes of variants keep every value's own type. Split into typed columns, a
+    whole number beside a real one of the same name would come back as a real one."""
+    return settings(spark, spark__sql__variant__writeShredding__enabled="false", spark__sql__variant__inferShreddingSchema="false")
+
+
 def worked_out(df: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns that later filters must not recompute.
 

@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import settings, settle
 
 TEXT, TAG, START, END = "text", "bookmark_tag", "start", "end"
 
 
-def read_json_files(spark: SparkSession, folder: str, pattern: str = "*.[jJ][sS][oO][nN]") -> DataFrame:
+def read_json_files(spark: SparkSession, folder: str, pattern: str = "*.[jJ][sS][oO][nN]", underscored: str = "fail") -> DataFrame:
     """(filename, filepath, value): one row per file that lies directly in the
-    folder and whose name fits ``pattern``, by default ``.json`` in any case. Hidden files are skipped, by Spark's own rule
-    also those whose name starts with ``_``."""
+    folder and whose name fits ``pattern``, by default ``.json`` in any case. Hidden files are skipped.
+
+    Spark's readers never open a file whose name starts with ``_``. Such files are
+    not left out unseen: they are an error, unless ``underscored="skip"``.
+    """
+    if underscored not in ("fail", "skip"):
+        raise ValueError(f"underscored must be 'fail' or 'skip', got {underscored!r}")
+    if underscored == "fail" and (unread := _underscored(spark, folder, pattern)):
+        raise ValueError(f"{len(unread)} files start with '_' and cannot be read, such as {unread[0]}; rename them or pass underscored='skip'")
     return (
         spark.read.option("pathGlobFilter", pattern)
         .text(folder, wholetext=True)
@@ -25,6 +32,16 @@ def read_json_files(spark: SparkSession, folder: str, pattern: str = "*.[jJ][sS]
     )
 
 
+def _underscored(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Names of the folder's files that fit ``pattern`` and start with ``_``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    # the pattern itself must fit too, as in a_*.json
+    fits = hadoop.GlobFilter(pattern)
+    found = files.globStatus(hadoop.Path(folder, "_*")) or []
+    return [f.getPath().getName() for f in found if f.isFile() and fits.accept(f.getPath())]
+
+
 # path: the node's position at each level, which sorts parents first.
 # shape: first word of the node's type. direct: the object's own tag, if a string.
 # sealed: an object above the node has a tag of its own, which ends the search
@@ -62,13 +79,14 @@ def flatten_json(files: DataFrame, max_levels: int = 500, on_error: str = "fail"
     sealed, fields), ``fields`` being the object's own scalar members.
 
     A malformed file fails the job, or is left out with ``on_error="skip"``.
-    Levels are worked off one after the other, each over all files at once.
+    Levels are worked off one after the other, each over all files at once, and the
+    result is written down: the session's limit on recursive rows is lifted for it alone.
     """
     spark = files.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     parse = {"fail": F.parse_json, "skip": F.try_parse_json}[on_error]
     roots = files.select("filename", "filepath", parse("value").alias("node"))
-    return spark.sql(_TREE.format(levels=max_levels, direct=_DIRECT, own=_OWN), roots=roots)
+    with settings(spark, spark__sql__cteRecursionRowLimit="-1"):
+        return settle(spark.sql(_TREE.format(levels=max_levels, direct=_DIRECT, own=_OWN), roots=roots), "nodes")
 
 
 def tag_files(nodes: DataFrame, strict: bool = False) -> DataFrame:
@@ -159,12 +177,18 @@ def _number(name: str):
 
 
 def read_records(
-    spark: SparkSession, folder: str, strict: bool = False, on_error: str = "fail", pattern: str = "*.[jJ][sS][oO][nN]", max_levels: int = 500
+    spark: SparkSession,
+    folder: str,
+    strict: bool = False,
+    on_error: str = "fail",
+    pattern: str = "*.[jJ][sS][oO][nN]",
+    max_levels: int = 500,
+    underscored: str = "fail",
 ) -> DataFrame:
     """A folder of JSON files → documents, ready for ``save_index``.
 
     The tree of each file is walked once and written down; tags and records
     are both taken from that table.
     """
-    nodes = settle(flatten_json(read_json_files(spark, folder, pattern), max_levels, on_error), "nodes")
+    nodes = flatten_json(read_json_files(spark, folder, pattern, underscored), max_levels, on_error)
     return records(tag_files(nodes, strict))

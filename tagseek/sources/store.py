@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 
 from ..operators.postings import EXACT, SOUND, build_postings, corpus_stats, term_bucket, vocabulary
-from ..session import settings
+from ..session import kept_types, settings
 
 BYTES_PER_BUCKET = 256 << 20
 
@@ -131,7 +131,8 @@ def save_index(
     docs, postings = _tables(spark, path, state)
     if before:
         _check_ids(spark.table(docs).where(F.col(BATCH).isin(before)).select("doc_id").unionAll(documents.select("doc_id")))
-    documents.withColumn(BATCH, F.lit(batch)).repartition(state.doc_buckets, "doc_id").write.insertInto(docs)
+    with kept_types(spark):
+        documents.withColumn(BATCH, F.lit(batch)).repartition(state.doc_buckets, "doc_id").write.insertInto(docs)
     written = spark.table(docs).where(F.col(BATCH) == batch).drop(BATCH)
     if not before:
         _check_ids(written.select("doc_id"))
@@ -169,7 +170,7 @@ def compact_index(spark: SparkSession, path: str) -> Index:
         return load_index(spark, path)
     batch = uuid.uuid4().hex[:12]
     docs, postings = _tables(spark, path, state)
-    with settings(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
+    with kept_types(spark), settings(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
         for table, order in ((docs, []), (postings, ["field", "term_bucket"])):
             rows = spark.table(table).where(F.col(BATCH).isin(state.names))
             kept = [c for c in rows.columns if c not in (BATCH, *order)]

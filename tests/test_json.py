@@ -3,7 +3,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tagseek.session import fresh_path
 from tagseek.sources.json_tree import flatten_json, read_json_files, read_records, tag_files, typed_fields
+from tagseek.sources.store import save_index
 
 SAMPLE = """{"bookmark_tag": "ep1",
  "results": [
@@ -30,7 +32,25 @@ def test_which_files_are_read(spark, folder):
     path = folder(A__JSON="{}", __hidden__json="{}", _x__json="{}", x__txt="{}", b__json="{}")
     os.mkdir(f"{path}/sub")
     (open(f"{path}/sub/c.json", "w")).close()
-    assert {r.filename for r in read_json_files(spark, path).collect()} == {"A.JSON", "b.json"}
+    assert {r.filename for r in read_json_files(spark, path, underscored="skip").collect()} == {"A.JSON", "b.json"}
+    with pytest.raises(ValueError, match="_x.json"):
+        read_json_files(spark, path)
+    assert read_json_files(spark, path, pattern="b*").count() == 1
+
+
+def test_saved_records_keep_the_types_of_their_values(spark, folder):
+    path = folder(a__json='{"text": "one", "v": 1}', b__json='{"text": "two", "v": 1.5}')
+    docs = save_index(read_records(spark, path), fresh_path(spark, "types"), doc_buckets=1, term_buckets=1).documents
+    kinds = docs.select(F.schema_of_variant(F.try_variant_get("fields", "$.v", "variant")).alias("kind"))
+    assert sorted(r.kind for r in kinds.collect()) == ["BIGINT", "DECIMAL(2,1)"]
+
+
+def test_the_session_is_left_as_it_was(spark):
+    name = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(name)
+    many = ",".join("{}" for _ in range(int(before) // 400))
+    assert flatten_json(_files(spark, *[f"[{many}]"] * 410)).count() == 410 * (int(before) // 400)
+    assert spark.conf.get(name) == before
 
 
 def test_records_of_a_transcript(spark, folder):

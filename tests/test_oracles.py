@@ -7,7 +7,7 @@ from checks.compare import differences, oracle_rows
 from checks.inputs import PLACES
 
 # Their word lists were made for sf0.01.
-LARGER = {"phonetic_phrase", "phonetic_search", "full_search"}
+LARGER = {"phonetic_phrase", "phonetic_search", "phonetic_search_slop2", "full_search", "full_search_slop2"}
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
