@@ -248,7 +248,7 @@ def test_runs_of_all_shards_count_together(spark, prose):
     same = "this notice of the house stands on few of the pages"
     pages = [(i, "http://h.i/" + str(i), f"<div>{same if i % 10 == 0 else ''}</div><p>{prose(12, i)}</p>") for i in range(40)]
     docs = spark.createDataFrame(pages, "page_id bigint, url string, html string")
-    one, many = (sorted(map(tuple, html_text.extract(docs, shard_pages=n).collect())) for n in (2000, 3))
+    one, many = (sorted(map(tuple, html_text.extract(docs, shard_bytes=n).collect())) for n in (1 << 20, 400))
     assert one == many and not any(same in r[2] for r in many)
 
 
@@ -260,6 +260,53 @@ def test_phrases_within_paragraphs_stay(spark, prose):
     assert {r["page_id"]: r["text"] for r in found} == {i: " ".join(t.split()) for i, t in enumerate(texts)}
 
 
+def _shown(spark, rows, **more):
+    docs = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_text.extract(docs, **more).collect()}
+
+
+def test_names_alone_take_nothing_from_an_article(spark, prose):
+    own = [f'<p class="related-work">{prose(9, i)}</p><div class="share-price">{prose(9, 50 + i)}</div><p id="notice-of-meeting">{prose(9, 90 + i)}</p>' for i in range(4)]
+    widget = "<section id='widget'>read all the news of this house by mail</section>"
+    found = _shown(spark, [(i, "http://h.i/" + str(i), f"<article>{t}{widget}</article>") for i, t in enumerate(own)])
+    assert all(len(t.split("\n")) == 3 and "by mail" not in t for t in found.values())
+    alone = _shown(spark, [(1, "http://h.i/1", f"<article>{own[0]}{widget}</article>")])
+    assert len(alone[1].split("\n")) == 4 and "by mail" in alone[1]
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 60])
+def test_articles_repeat_each_other_but_not_what_stands_outside(spark, prose, shard_bytes):
+    license, notice = prose(20, 1), prose(20, 2)
+    page = "<div>{2}</div><article><p>{0}</p><p>{1}</p><p>{3}</p></article>"
+    rows = [(i, "http://h.i/" + str(i), page.format(license, prose(12, 10 + i), notice if i < 3 else prose(9, 70 + i), notice if i == 5 else "")) for i in range(6)]
+    found = _shown(spark, rows, shard_bytes=shard_bytes)
+    assert found == {i: f"{license}\n{prose(12, 10 + i)}" for i in range(6)}
+
+
+def test_copies_of_a_page_count_once(spark, prose):
+    page = f"<p>{prose(30, 1)}</p>"
+    assert set(_shown(spark, [(i, f"http://h.i/{i}", page) for i in range(9)]).values()) == {prose(30, 1)}
+
+
+def test_very_long_pages_words_and_blocks(spark, prose):
+    words = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, "http://h.i/1", "<article>" + "<p>a</p>" * 20_000 + "</article>"), (2, "http://h.i/2", f"<p>{words}</p>"), (3, "http://h.i/3", f"<p>{'x' * 1_000_000} y</p>")]
+    found = _shown(spark, rows)
+    assert found[1] == "\n".join("a" * 20_000) and found[2] == words and len(found[3]) == 1_000_002
+
+
+def test_given_pages_with_marks_ignored(spark):
+    """What the suffix arrays leave and take where no element marks an article."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    marked = {r["page_id"]: r["text"].split() for r in html_text.extract(pages).collect()}
+    found = {r["page_id"]: r["text"].split() for r in html_text.extract(pages, marks=False).collect()}
+    lost = sum((collections.Counter(marked[k]) - collections.Counter(found[k])).total() for k in marked)
+    left = sum((collections.Counter(found[k]) - collections.Counter(marked[k])).total() for k in marked)
+    total = sum(map(len, marked.values()))
+    print("article tokens", total, "lost", lost, "boilerplate tokens left", left)
+    assert lost <= 0.02 * total and left == 0
+
+
 def test_repeated_runs_equal_brute_force():
     import numpy as np
 
