@@ -10,8 +10,8 @@ Every page's blocks outside marked articles are a token stream. The streams of a
 host are concatenated, a suffix array puts equal runs of tokens next to each
 other, and a run that distinct pages repeat is boilerplate. OPEN and HINT blocks
 go where such runs cover them for the most part; a phrase is not cut out of a
-paragraph. An article's own block goes only if, as a whole, distinct pages of the
-host show it outside their articles: articles may rightly repeat each other.
+paragraph. KEEP blocks stay: articles rightly repeat each other, and the lines that
+adverts beside them show.
 
 A token lies in a repeated substring of ``RUN`` tokens or more exactly if it lies in
 a repeated run of ``RUN`` tokens, so suffixes need their order by that many only.
@@ -26,7 +26,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from hashlib import blake2b, md5
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -269,10 +269,6 @@ def _digest(words: list[str]) -> bytes:
     return blake2b(" ".join(words).encode(), digest_size=16).digest()
 
 
-def _whole(text: str) -> bytes:
-    return md5(text.encode()).digest()
-
-
 def covered_blocks(blocks: np.ndarray, gone: np.ndarray, cover: float = COVER) -> np.ndarray:
     """Which tokens stand in a block that covered tokens make up to ``cover`` at least; ``blocks``: number of each token's block."""
     return (np.bincount(blocks, gone) >= cover * np.bincount(blocks))[blocks] if len(blocks) else gone
@@ -282,13 +278,11 @@ def boilerplate(cut: DataFrame, run: int = RUN, pages: int = PAGES, shard_bytes:
     """(host, digest, gone): places of the blocks that distinct pages of a host repeat, for each page that has some."""
     block = F.arrays_zip("states", "texts")
     streams = F.transform(block, lambda b: F.when(b["states"] != KEEP, b["texts"]))
-    # of an article's blocks, only the longer ones' digests are looked up
-    long = F.transform(block, lambda b: F.when((b["states"] == KEEP) & (F.size(F.split(b["texts"], " ")) >= run), F.unhex(F.md5(b["texts"]))))
     size = F.aggregate("streams", F.lit(0).cast("bigint"), lambda a, t: a + F.coalesce(F.octet_length(t), F.lit(0)))
 
     repeats = cut.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("one")).where("n > 1")
     copies = settle(cut.select("row", "host", "digest").join(repeats, ["host", "digest"]).where("row <> one").select("row"), "copies")
-    read = cut.select("row", "host", "digest", "states", streams.alias("streams"), long.alias("wholes")).withColumn("bytes", size)
+    read = cut.select("row", "host", "digest", "states", streams.alias("streams")).withColumn("bytes", size)
     once = read.join(copies, "row", "left_anti")
     shards = F.greatest(F.ceil(F.sum("bytes") / shard_bytes), F.lit(1)).cast("int")
     sizes = settle(once.groupBy("host").agg(shards.alias("shards")), "hosts")
@@ -301,14 +295,9 @@ def boilerplate(cut: DataFrame, run: int = RUN, pages: int = PAGES, shard_bytes:
             at, kind, distinct = run_counts(pd.factorize(np.array(words, object))[0], row, run, part)
             kinds, first = np.unique(kind, return_index=True)
             found = {_digest(words[a : a + run]): int(distinct[k]) for k, a in zip(kinds, at[first])}
-        for texts in frame["streams"]:
-            for whole in {_whole(t) for t in texts if t is not None and t.count(" ") >= run - 1}:
-                found[whole] = found.get(whole, 0) + 1
         if frame["shards"].iloc[0] == 1:
             # the counts are whole already
             found = {k: n for k, n in found.items() if n >= pages}
-        else:
-            found |= {w: 0 for wholes in frame["wholes"] for w in wholes if w is not None and w not in found}
         host, shard = frame["host"].iloc[0], frame["shard"].iloc[0]
         return pd.DataFrame(
             {"host": pd.Series([host] * len(found), dtype=object), "shard": np.full(len(found), shard, np.int32), "run": pd.Series(list(found), dtype=object), "n": np.array(list(found.values()), np.int64)}
@@ -332,9 +321,6 @@ def boilerplate(cut: DataFrame, run: int = RUN, pages: int = PAGES, shard_bytes:
                 for k in np.flatnonzero(starts & covered).tolist():
                     if states[row[k]][place[k]] != DROP:
                         gone.setdefault(int(row[k]), []).append(int(place[k]))
-            for r, wholes in zip(frame["row"], frame["wholes"]):
-                if own := [k for k, w in enumerate(wholes) if w is not None and bytes(w) in known]:
-                    gone.setdefault(int(r), []).extend(own)
         kept = frame[frame["row"].isin(list(gone))]
         return kept[["host", "digest"]].assign(gone=pd.Series([gone[r] for r in kept["row"]], index=kept.index, dtype=object))
 

@@ -275,9 +275,9 @@ def test_names_alone_take_nothing_from_an_article(spark, prose):
 
 
 @pytest.mark.parametrize("shard_bytes", [1 << 20, 60])
-def test_articles_repeat_each_other_but_not_what_stands_outside(spark, prose, shard_bytes):
+def test_articles_repeat_each_other_and_lose_what_pages_show_beside_them(spark, prose, shard_bytes):
     license, notice = prose(20, 1), prose(20, 2)
-    page = "<div>{2}</div><article><p>{0}</p><p>{1}</p><p>{3}</p></article>"
+    page = "<div>{2}</div><article><p>{0}</p><p>{1}</p><p class='notice-bar'>{3}</p></article>"
     rows = [(i, "http://h.i/" + str(i), page.format(license, prose(12, 10 + i), notice if i < 3 else prose(9, 70 + i), notice if i == 5 else "")) for i in range(6)]
     found = _shown(spark, rows, shard_bytes=shard_bytes)
     assert found == {i: f"{license}\n{prose(12, 10 + i)}" for i in range(6)}
