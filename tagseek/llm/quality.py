@@ -34,9 +34,11 @@ _UPPER, _SMALL, _DIGIT = (bw.byte_class(x).astype(np.int32) for x in ((65, 90),
 
 @dataclass
 class Model:
-    """score = 1 / (1 + exp(-(slope * margin + offset)))."""
+    """score = 1 / (1 + exp(-(slope * margin + offset))), the margin being that of the fitted plane:
+    a row's ratios, scaled to length 1 where they are longer, times the plane's normal, plus the bias."""
 
-    weights: np.ndarray
+    weights: np.ndarray  # normal times ratio, per feature
+    squares: np.ndarray  # ratio squared
     bias: float
     slope: float
     offset: float
@@ -85,13 +87,18 @@ def _log_ratios(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return (np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())).astype(np.float32)
 
 
+def _length(squares: np.ndarray) -> float:
+    return max(1.0, float(np.sqrt(squares.sum(dtype=float))))
+
+
 def _descend(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, cost: float, rounds: int) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the hinge loss; each class weighs the same."""
     weights, bias = np.zeros(1 << BITS, np.float32), 0.0
     sign = np.where(y == 1, 1.0, -1.0)
     ceiling = np.where(y == 1, len(y) / max(1, 2 * (y == 1).sum()), len(y) / max(1, 2 * (y == 0).sum())) * cost
     alpha = np.zeros(len(y))
-    values = [ratios[f] / max(1.0, float(np.sqrt((ratios[f] ** 2).sum()))) for f in rows]
+    squares = ratios**2
+    values = [ratios[f] / np.float32(_length(squares[f])) for f in rows]
     norms = np.array([float((v * v).sum()) + 1.0 for v in values])
     order = np.random.default_rng(0)
     for _ in range(rounds):
@@ -127,32 +134,29 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, cost: float = 1.0, rounds: i
     """Fit on four fifths, learn the score's scale on the rest, then fit on all."""
     if not len(y) or y.min() == y.max():
         p = (y.sum() + 1) / (len(y) + 2)
-        return Model(np.zeros(1 << BITS, np.float32), 0.0, 0.0, float(np.log(p / (1 - p))))
+        return Model(np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), 0.0, 0.0, float(np.log(p / (1 - p))))
 
-    def fit(part: np.ndarray) -> tuple[np.ndarray, float]:
+    def fit(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         own = [rows[i] for i in part]
         ratios = _log_ratios(own, y[part])
         weights, bias = _descend(own, y[part], ratios, cost, rounds)
-        return weights * ratios, bias
+        return weights * ratios, ratios**2, bias
 
     every = np.arange(len(y))
     rest = every[every % 5 == 4]
     if len(rest) >= 20 and y[rest].min() < y[rest].max() and y[every % 5 != 4].min() < y[every % 5 != 4].max():
-        weights, bias = fit(every[every % 5 != 4])
-        slope, offset = logistic(_margins(rows, rest, weights, bias), y[rest])
-        weights, bias = fit(every)
+        plane = fit(every[every % 5 != 4])
+        slope, offset = logistic(_margins(rows, rest, *plane), y[rest])
+        plane = fit(every)
     else:
-        weights, bias = fit(every)
-        slope, offset = logistic(_margins(rows, every, weights, bias), y)
-    return Model(weights.astype(np.float32), bias, slope, offset)
-
-
-def _margins(rows, part, weights, bias) -> np.ndarray:
-    return np.array([_margin(weights[rows[i]], bias, len(rows[i])) for i in part])
+        plane = fit(every)
+        slope, offset = logistic(_margins(rows, every, *plane), y)
+    weights, squares, bias = plane
+    return Model(weights.astype(np.float32), squares.astype(np.float32), bias, slope, offset)
 
 
-def _margin(products: np.ndarray, bias: float, n: int) -> float:
-    return float(products.sum()) / np.sqrt(max(1, n)) + bias
+def _margins(rows, part, weights, squares, bias) -> np.ndarray:
+    return np.array([float(weights[rows[i]].sum(dtype=float)) / _length(squares[rows[i]]) + bias for i in part])
 
 
 def fit(documents: DataFrame, labels: DataFrame, target: str = "quality", max_rows: int = MAX_ROWS) -> Model:
@@ -173,27 +177,27 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality", max_ro
             seen += [(d, y, np.frombuffer(f, "<u4").astype(np.int32)) for d, y, f in zip(*(batch[c].to_pylist() for c in ("doc_id", "y", "feats")))]
         seen.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))
         model = fit_rows([x[2] for x in seen], np.array([x[1] for x in seen], np.int64))
-        yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "rest": [[model.bias, model.slope, model.offset]]})
+        yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "squares": [model.squares.tobytes()], "rest": [[model.bias, model.slope, model.offset]]})
 
     rows = training_rows(documents, labels, target, max_rows).mapInArrow(extract, "doc_id bigint, y int, feats binary")
-    found = rows.repartition(1).mapInArrow(learn, "weights binary, rest array<double>").first()
+    found = rows.repartition(1).mapInArrow(learn, "weights binary, squares binary, rest array<double>").first()
     if found is None:  # not even an empty task ran
         return fit_rows([], np.zeros(0, np.int64))
-    return Model(np.frombuffer(found["weights"], np.float32), *found["rest"])
+    return Model(np.frombuffer(found["weights"], np.float32), np.frombuffer(found["squares"], np.float32), *found["rest"])
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """documents(doc_id, text, …) -> doc_id, score; null and empty texts get the bias alone."""
-    weights, bias, slope, offset = model.weights, model.bias, model.slope, model.offset
+    weights, squares, bias, slope, offset = model.weights, model.squares, model.bias, model.slope, model.offset
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             for piece in bw.slices(batch["text"]):
                 row, feats = features(piece)
-                n = np.bincount(row, minlength=len(piece))
                 total = np.bincount(row, weights=weights[feats], minlength=len(piece))
-                margin = total / np.sqrt(np.maximum(n, 1)) + bias
+                length = np.sqrt(np.bincount(row, weights=squares[feats], minlength=len(piece)))
+                margin = total / np.maximum(length, 1.0) + bias
                 scores[piece.low : piece.high] = 1 / (1 + np.exp(-np.clip(slope * margin + offset, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores)], ["doc_id", "score"])
 

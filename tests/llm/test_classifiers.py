@@ -1,5 +1,6 @@
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,36 @@ def test_edges(work, edge_documents, no_documents, no_labels, labelled):
     assert work(no_documents, labelled[1]).collect() == []
 
 
+def test_descent_against_a_plain_solver(spark, prose):
+    """Dual coordinate descent reaches the optimum that projected gradient steps on the whole matrix reach, and scores are its plane's."""
+    import numpy as np
+
+    texts = [prose(12, i) + (" ### !!" if i % 3 == 0 else "") + (" ##" if i % 7 == 0 else "") for i in range(50)]
+    y = np.array([int(i % 3 != 0 or i % 10 == 9) for i in range(50)])
+    rows = [quality.features(p)[1] for t in texts for p in quality.bw.slices(pa.array([t]))]
+    ratios = quality._log_ratios(rows, y)
+    weights, bias = quality._descend(rows, y, ratios, 1.0, 2000)
+
+    dense = np.zeros((50, 1 << quality.BITS), np.float32)
+    for k, f in enumerate(rows):
+        dense[k, f] = ratios[f] / max(1.0, np.sqrt((ratios[f].astype(float) ** 2).sum()))
+    sign = np.where(y == 1, 1.0, -1.0)
+    gram = (dense @ dense.T + 1.0) * np.outer(sign, sign)
+    ceiling = 50 / (2 * np.where(y == 1, (y == 1).sum(), (y == 0).sum()))
+    alpha, step = np.zeros(50), 1 / np.linalg.eigvalsh(gram.astype(float)).max()
+    for _ in range(50_000):
+        alpha = np.clip(alpha + step * (1 - gram @ alpha), 0, ceiling)
+    plain = (dense @ dense.T + 1.0) @ (alpha * sign)
+    ours = dense @ weights + bias
+    assert np.abs(ours - plain).max() < 0.02
+    margins = quality._margins(rows, range(50), weights * ratios, ratios**2, bias)
+    assert np.abs(margins - ours).max() < 1e-3
+    model = quality.Model((weights * ratios).astype(np.float32), (ratios**2).astype(np.float32), bias, 1.0, 0.0)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    scores = np.array([r["score"] for r in quality.score(docs, model).orderBy("doc_id").collect()])
+    assert np.abs(scores - 1 / (1 + np.exp(-margins))).max() < 1e-4
+
+
 def test_passages_are_found(labelled):
     docs, labels = labelled
     by_id = {r["doc_id"]: r for r in toxicity.classify(docs, labels).join(docs, "doc_id").collect()}
