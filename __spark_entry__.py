@@ -327,7 +327,7 @@ def spell_known(spark, sf_dir):
 
 def spell_suggest(spark, sf_dir):
     index = corpus_index(spark, sf_dir)
-    found = spelling.suggest_similar(_words(spark), spelling.build_dictionary(index), 2, index.term_buckets)
+    found = spelling.suggest_similar(_words(spark), spelling.build_dictionary(index), 2, index.term_buckets, index)
     return found.withColumn("place", F.col("place").cast("bigint"))
 
 

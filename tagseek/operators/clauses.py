@@ -116,7 +116,7 @@ def clause_weights(params: SearchParams) -> dict[str, float]:
 
 def _slots(clauses: DataFrame) -> DataFrame:
     """One row per word of each clause, with how the word is to be read."""
-    rows = clauses.select("query_id", "clause", "kind", "boost", F.size("words").alias("n_slots"), F.posexplode("words").alias("slot", "word"))
+    rows = clauses.select("query_id", "field", "clause", "kind", "boost", F.size("words").alias("n_slots"), F.posexplode("words").alias("slot", "word"))
     reading = (
         F.when(F.col("kind") == FUZZY, "fuzzy")
         .when(F.col("clause").isin("wildcard", "prefix") & _is_pattern(F.col("word")), "pattern")
@@ -285,35 +285,37 @@ def clause_terms(clauses: DataFrame, index: Index, field: str = EXACT, params: S
 
     All expansion happens on the vocabulary; postings see only plain terms.
     ``weight`` is the factor of one term's own score (fuzzy clauses), ``idf``
-    the factor of the whole clause's (phrases).
+    the factor of the whole clause's (phrases). Clauses of several fields carry
+    theirs as ``field``; all others are of the field given.
     """
-    slots = settle(_slots(clauses), "slots")
-    vocabulary = index.vocabulary.where(F.col("field") == field).drop("field")
-    readings = {r[0] for r in slots.select("reading").distinct().collect()}
+    fielded = clauses if "field" in clauses.columns else clauses.withColumn("field", F.lit(field))
+    slots = settle(_slots(fielded), "slots")
+    readings = {tuple(r) for r in slots.select("field", "reading").distinct().collect()}
     terms = slots.where(F.col("reading") == "term").withColumn("term_bucket", term_bucket(F.col("word"), index.term_buckets))
-    plain = probe(vocabulary, terms.withColumnRenamed("word", "term"), ["term_bucket", "term"]).withColumn("distance_weight", F.lit(1.0))
-    parts = [plain]
-    if "pattern" in readings:
-        wanted = slots.where(F.col("reading") == "pattern").withColumnRenamed("word", "pattern")
-        accepted = expand_patterns(wanted, vocabulary, params.max_expansions, index, field)
-        parts.append(accepted.join(wanted, "pattern").withColumn("distance_weight", F.lit(1.0)))
-    if "fuzzy" in readings:
-        wanted = slots.where(F.col("reading") == "fuzzy")
-        similar = expand_fuzzy(wanted, vocabulary, params.fuzzy_edits, params.fuzzy_terms, index, field)
-        parts.append(similar.join(wanted, "word").withColumnRenamed("weight", "distance_weight"))
-    columns = ["query_id", "clause", "kind", "boost", "n_slots", "slot", "term_bucket", "term", "df", "distance_weight"]
+    plain = probe(index.vocabulary, terms.withColumnRenamed("word", "term"), ["field", "term_bucket", "term"])
+    parts = [plain.withColumn("distance_weight", F.lit(1.0))]
+    for name, reading in sorted(readings):
+        vocabulary = index.vocabulary.where(F.col("field") == name).drop("field")
+        wanted = slots.where((F.col("field") == name) & (F.col("reading") == reading))
+        if reading == "pattern":
+            wanted = wanted.withColumnRenamed("word", "pattern")
+            accepted = expand_patterns(wanted, vocabulary, params.max_expansions, index, name)
+            parts.append(accepted.join(wanted, "pattern").withColumn("distance_weight", F.lit(1.0)))
+        elif reading == "fuzzy":
+            similar = expand_fuzzy(wanted, vocabulary, params.fuzzy_edits, params.fuzzy_terms, index, name)
+            parts.append(similar.join(wanted, "word").withColumnRenamed("weight", "distance_weight"))
+    columns = ["query_id", "field", "clause", "kind", "boost", "n_slots", "slot", "term_bucket", "term", "df", "distance_weight"]
     united = parts[0].select(*columns)
     for part in parts[1:]:
         united = united.unionByName(part.select(*columns))
     united = settle(united.withColumn("own_idf", idf(index.n_docs, F.col("df"))), "terms")
-    whole = united.groupBy("query_id", "clause").agg(
+    whole = united.groupBy("query_id", "field", "clause").agg(
         F.sum("own_idf").alias("idf"), F.max("df").alias("most"), F.countDistinct("slot").alias("found")
     )
     shared = idf(index.n_docs, F.col("most"))
     weighted = (
-        united.join(whole, ["query_id", "clause"])
+        united.join(whole, ["query_id", "field", "clause"])
         .where((F.col("kind") != PHRASE) & (F.col("kind") != HYPHEN) | (F.col("found") == F.col("n_slots")))
         .withColumn("weight", F.when(F.col("kind") == FUZZY, F.col("distance_weight") * shared).otherwise(F.lit(1.0)))
     )
     return settle(weighted.drop("own_idf", "most", "found", "distance_weight"), "weighted")
-

@@ -34,19 +34,18 @@ def _common(slots: Column) -> Column:
     return F.size(F.aggregate(slots, F.element_at(slots, 1), lambda a, b: F.array_intersect(a, b)))
 
 
-def match_terms(terms: DataFrame, index: Index, field: str, params: SearchParams, width: bool = False) -> DataFrame:
+def match_terms(terms: DataFrame, index: Index, params: SearchParams, width: bool = False) -> DataFrame:
     """Clause terms → (query_id, clause, doc_id, dl, freq, score[, width]).
 
     ``freq`` is the clause's frequency in the record (NULL for clauses that only
     ask "is it there"), ``width`` the tightest sloppy window.
     """
-    postings = index.postings.where(F.col("field") == field).drop("field")
     # A hyphenated form needs a hyphen after each word but the last. Clauses that
     # only ask "is it there" carry no places at all.
     inner = (F.col("kind") == HYPHEN) & (F.col("slot") < F.col("n_slots") - 1)
     places = F.when(inner, F.col("hyphens")).when((F.col("kind") != CONSTANT) & (F.col("n_slots") > 1), F.col("positions"))
-    rows = probe_terms(postings, terms)
-    found = rows.groupBy("query_id", "clause", "kind", "boost", "n_slots", "idf", "doc_id", "dl").agg(
+    rows = probe_terms(index.postings, terms)
+    found = rows.groupBy("query_id", "field", "clause", "kind", "boost", "n_slots", "idf", "doc_id", "dl").agg(
         F.collect_list(F.struct("slot", "weight", "freq", places.alias("places"))).alias("entries")
     )
     kind, n, entries = F.col("kind"), F.col("n_slots"), F.col("entries")
@@ -86,8 +85,11 @@ def match_terms(terms: DataFrame, index: Index, field: str, params: SearchParams
 
 
 def match_clauses(clauses: DataFrame, index: Index, field: str = EXACT, params: SearchParams = SearchParams(), width: bool = False) -> DataFrame:
-    """Clauses of any kinds → clause hits, in one pass over the postings."""
-    return match_terms(clause_terms(clauses, index, field, params), index, field, params, width)
+    """Clauses of any kinds → clause hits, in one pass over the postings.
+
+    Clauses of several fields carry theirs as ``field``; a query id then tells them apart.
+    """
+    return match_terms(clause_terms(clauses, index, field, params), index, params, width)
 
 
 def _single(queries: DataFrame, clause: str, kind: str, words: Column, boost: float = 1.0) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.distance import deletion_keys
 from ..params import GRAM_SIZES, MIN_SIMILARITY, MIN_WORD, SearchParams
 from ..session import settle
 from ..sources.store import Index, probe
+from .lexicon import EDITS, words_of
 from .postings import EXACT, analyzed_queries, term_bucket
 
 DICTIONARY = "gram_bucket int, gram string, term string, df bigint"
@@ -86,40 +88,77 @@ def known_words(words: DataFrame, index: Index, min_word: int = MIN_WORD) -> Dat
     return wanted.join(held, "word", "left").select("word", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-def suggest_similar(words: DataFrame, dictionary: DataFrame, per_term: int = 2, term_buckets: int | None = None) -> DataFrame:
-    """words(word) → (word, suggestion, similarity, place), best first.
+def _gram_pairs(words: DataFrame, dictionary: DataFrame, term_buckets: int | None = None) -> DataFrame:
+    """words(word) → (word, term): every two that share an n-gram of equal size, each once.
 
-    Candidates share an n-gram of equal size with the word. Similarity is one
-    minus the edit distance over the longer length; at least one half counts.
+    Two words meet in the first n-gram of the one that the other holds, and nowhere
+    else, so pairs need not be made distinct.
     """
-    keyed = words.select("word").distinct().select("word", F.explode(grams(F.col("word"))).alias("gram"))
+    listed = words.select("word").distinct().withColumn("own", grams(F.col("word")))
+    keyed = listed.select("word", "own", F.explode("own").alias("gram"))
     keys = ["gram"]
     if term_buckets is not None:
         keyed = keyed.withColumn("gram_bucket", term_bucket(F.col("gram"), term_buckets))
         keys = ["gram_bucket", "gram"]
+    low, high = _sizes(F.col("term"))
+    shared = F.filter("own", lambda g: F.contains(F.col("term"), g) & F.length(g).between(low, high))
     longer = F.greatest(F.length("word"), F.length("term"))
-    pairs = (
-        probe(dictionary, keyed, keys)
-        .where((F.col("term") != F.col("word")) & (F.abs(F.length("word") - F.length("term")) * 2 <= longer))
-        .select("word", "term")
-        .distinct()
-        .withColumn("similarity", 1 - F.levenshtein("word", "term") / longer)
-        .where(F.col("similarity") >= MIN_SIMILARITY)
-    )
+    pairs = probe(dictionary, keyed, keys)
+    pairs = pairs.where((F.col("term") != F.col("word")) & (F.abs(F.length("word") - F.length("term")) * 2 <= longer))
+    return pairs.where(F.get(shared, F.lit(0)) == F.col("gram")).select("word", "term")
+
+
+def _close_pairs(words: DataFrame, index: Index, min_word: int = MIN_WORD) -> DataFrame:
+    """words(word) → (word, term): those of ``_gram_pairs`` within ``EDITS`` edits, from the saved deletion keys."""
+    asked = settle(words.select("word", F.explode(deletion_keys(F.col("word"), EDITS)).alias("key")), "deletions")
+    met = words_of(index, EXACT, "deletions", asked)
+    met = met.where((F.length("term") >= min_word) & (F.col("term") != F.col("word")) & (F.levenshtein("word", "term", EDITS) >= 0))
+    met = met.where(F.arrays_overlap(grams(F.col("word")), grams(F.col("term")))).select("word", "term").distinct()
+    found = settle(met.withColumn("term_bucket", term_bucket(F.col("term"), index.term_buckets)), "close")
+    # keys may be of words that this state of the index lacks
+    return probe(index.vocabulary.where(F.col("field") == EXACT), found, ["term_bucket", "term"]).select("word", "term")
+
+
+def _similar(pairs: DataFrame) -> DataFrame:
+    """Pairs that are similar enough, with ``similarity`` and ``place`` among their word's, best first."""
+    longer = F.greatest(F.length("word"), F.length("term"))
+    scored = pairs.withColumn("similarity", 1 - F.levenshtein("word", "term") / longer).where(F.col("similarity") >= MIN_SIMILARITY)
     best = [F.col("similarity").desc(), F.col("term").asc()]
-    place = F.row_number().over(Window.partitionBy("word").orderBy(*best))
-    return (
-        pairs.withColumn("place", place)
-        .where(F.col("place") <= per_term)
-        .select("word", F.col("term").alias("suggestion"), F.round("similarity", 6).alias("similarity"), "place")
-    )
+    return scored.withColumn("place", F.row_number().over(Window.partitionBy("word").orderBy(*best)))
+
+
+def suggest_similar(
+    words: DataFrame, dictionary: DataFrame, per_term: int = 2, term_buckets: int | None = None, index: Index | None = None
+) -> DataFrame:
+    """words(word) → (word, suggestion, similarity, place), best first.
+
+    Candidates share an n-gram of equal size with the word. Similarity is one
+    minus the edit distance over the longer length; at least one half counts.
+
+    With ``index``, words first meet those within ``EDITS`` edits. Whatever is further
+    away is at most ``n / (n + EDITS + 1)`` similar to a word of n letters, so words with
+    enough suggestions above that are done; only the others meet all their n-grams.
+    """
+    wanted = words.select("word").distinct()
+    if index is None:
+        found = _similar(_gram_pairs(wanted, dictionary, term_buckets)).where(F.col("place") <= per_term)
+    else:
+        wanted = settle(wanted, "wanted")
+        close = settle(_similar(_close_pairs(wanted, index)).where(F.col("place") <= per_term), "near")
+        # the most similar that a word of one edit more can be
+        beyond = F.length("word") / (F.length("word") + EDITS + 1)
+        done = close.where((F.col("place") == per_term) & (F.col("similarity") > beyond)).select("word")
+        rest = settle(wanted.join(done, "word", "left_anti"), "rest")
+        others = _similar(_gram_pairs(rest, dictionary, term_buckets)).where(F.col("place") <= per_term)
+        found = close.join(done, "word", "left_semi").unionByName(others)
+    return found.select("word", F.col("term").alias("suggestion"), F.round("similarity", 6).alias("similarity"), "place")
 
 
 def word_options(words: DataFrame, index: Index, dictionary: DataFrame, per_term: int = 2) -> DataFrame:
     """words(word) → (word, known, similar): similar is the ordered suggestions
     of an unknown word, empty for a known one. At most ``per_term`` each."""
     known = settle(known_words(words, index), "known")
-    found = suggest_similar(known.where(~F.col("known")), dictionary, per_term, index.term_buckets)
+    found = suggest_similar(known.where(~F.col("known")), dictionary, per_term, index.term_buckets, index)
     listed = found.groupBy("word").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("place", "suggestion"))), lambda s: s["suggestion"]).alias("similar")
     )

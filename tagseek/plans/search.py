@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,22 +31,36 @@ class Outcome:
         return hit_details(self.hits, self.index.documents, *more, buckets=self.index.doc_buckets)
 
 
-def _search(queries: DataFrame, index: Index, field: str, params: SearchParams) -> Outcome:
-    clauses = expand_queries(queries, field, params)
-    found = combine(match_clauses(clauses, index, field, params), params.min_should_match)
+def _search(queries: DataFrame, index: Index, fields: tuple[str, ...], params: SearchParams) -> list[Outcome]:
+    """An outcome per field, from one pass over the postings of all of them.
+
+    Until its hits are known, a query goes by its field and its id.
+    """
+    parts = [expand_queries(queries, field, params).withColumn("field", F.lit(field)) for field in fields]
+    clauses = reduce(DataFrame.unionByName, parts).withColumn("query_id", F.struct("field", "query_id"))
+    found = combine(match_clauses(clauses, index, params=params), params.min_should_match)
     # At most max_search rows per query: small enough to keep and reuse.
     hits = settle(best_hits(found, params.max_search), "hits")
-    return Outcome(hits, tag_scores(hits, index.documents, index.doc_buckets), totals_of(hits, queries), index)
+    tags = tag_scores(hits, index.documents, index.doc_buckets)
+    if len(fields) > 1:  # records are looked up once for all fields
+        tags = settle(tags, "tags")
+    outcomes = []
+    for field in fields:
+        own_hits, own_tags = (
+            t.where(F.col("query_id.field") == field).withColumn("query_id", F.col("query_id.query_id")) for t in (hits, tags)
+        )
+        outcomes.append(Outcome(own_hits, own_tags, totals_of(own_hits, queries), index))
+    return outcomes
 
 
 def exact_search(queries: DataFrame, index: Index, params: SearchParams = SearchParams()) -> Outcome:
     """queries(query_id, phrase) against the words as written."""
-    return _search(queries, index, EXACT, params)
+    return _search(queries, index, (EXACT,), params)[0]
 
 
 def phonetic_search(queries: DataFrame, index: Index, params: SearchParams = SearchParams()) -> Outcome:
     """queries(query_id, phrase) against the words' sounds."""
-    return _search(queries, index, SOUND, params)
+    return _search(queries, index, (SOUND,), params)[0]
 
 
 @dataclass
@@ -106,8 +121,7 @@ def search(queries: DataFrame, index: Index, params: SearchParams = SearchParams
     """Exact and phonetic results added up, suggestions where hits are scarce,
     tags ranked by total score for queries with enough hits."""
     queries = settle(queries.select("query_id", "phrase"), "queries")
-    exact = exact_search(queries, index, params)
-    phonetic = phonetic_search(queries, index, params)
+    exact, phonetic = _search(queries, index, (EXACT, SOUND), params)
     first = _added(exact.totals, phonetic.totals)
     fallback = fallback_search(queries, first, index, params)
     totals = _added(first, fallback.totals)

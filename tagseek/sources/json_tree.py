@@ -45,23 +45,23 @@ def _underscored(spark: SparkSession, folder: str, pattern: str) -> list[str]:
 # path: the node's position at each level, which sorts parents first.
 # shape: first word of the node's type. direct: the object's own tag, if a string.
 # sealed: an object above the node has a tag of its own, which ends the search
-# for the file's tag there.
+# for the file's tag there. root_tag: what the file's root has as direct.
 _TREE = """
-WITH RECURSIVE tree (filename, filepath, path, node, shape, direct, sealed) MAX RECURSION LEVEL {levels} AS (
-  SELECT filename, filepath, CAST(array() AS array<int>), node, shape, {direct}, false
+WITH RECURSIVE tree (filename, filepath, path, node, shape, direct, sealed, root_tag) MAX RECURSION LEVEL {levels} AS (
+  SELECT filename, filepath, CAST(array() AS array<int>), node, shape, {direct}, false, {direct}
   FROM (SELECT *, substring_index(substring_index(schema_of_variant(node), '<', 1), '(', 1) AS shape FROM {{roots}})
   WHERE shape IN ('OBJECT', 'ARRAY')
   UNION ALL
-  SELECT filename, filepath, path, node, shape, {direct}, sealed
+  SELECT filename, filepath, path, node, shape, {direct}, sealed, root_tag
   FROM (
     SELECT t.filename, t.filepath, array_append(t.path, c.pos) AS path, c.value AS node,
-           t.sealed OR t.direct IS NOT NULL AS sealed,
+           t.sealed OR t.direct IS NOT NULL AS sealed, t.root_tag,
            substring_index(substring_index(schema_of_variant(c.value), '<', 1), '(', 1) AS shape
     FROM tree AS t, LATERAL variant_explode(t.node) AS c
   )
   WHERE shape IN ('OBJECT', 'ARRAY')
 )
-SELECT filename, filepath, path, size(path) AS depth, direct, sealed, {own} AS fields FROM tree WHERE shape = 'OBJECT'
+SELECT filename, filepath, path, size(path) AS depth, direct, sealed, root_tag, {own} AS fields FROM tree WHERE shape = 'OBJECT'
 """
 _DIRECT = (
     "CASE WHEN shape = 'OBJECT' AND schema_of_variant(try_variant_get(node, '$.bookmark_tag', 'variant')) = 'STRING' "
@@ -76,7 +76,7 @@ _OWN = (
 
 def flatten_json(files: DataFrame, max_levels: int = 500, on_error: str = "fail") -> DataFrame:
     """Every object at any depth → (filename, filepath, path, depth, direct,
-    sealed, fields), ``fields`` being the object's own scalar members.
+    sealed, root_tag, fields), ``fields`` being the object's own scalar members.
 
     A malformed file fails the job, or is left out with ``on_error="skip"``.
     Levels are worked off one after the other, each over all files at once, and the
@@ -96,15 +96,16 @@ def tag_files(nodes: DataFrame, strict: bool = False) -> DataFrame:
     non-empty one in reading order (members by name, parents first). A file
     without any gets the empty string, or fails with ``strict``.
     """
-    root = F.size("path") == 0
-    candidate = F.col("direct").isNotNull() & (root | (F.col("direct") != "") & ~F.col("sealed"))
+    named = nodes.where(F.col("root_tag").isNotNull()).withColumn("bookmark_tag", F.col("root_tag"))
+    rest = nodes.where(F.col("root_tag").isNull())
+    candidate = (F.col("direct") != "") & ~F.col("sealed")
     # One partial result per task and file, so one huge file does no harm.
-    tags = nodes.groupBy("filepath").agg(
+    tags = rest.groupBy("filepath").agg(
         F.min_by(F.when(candidate, F.col("direct")), F.when(candidate, F.col("path"))).alias("bookmark_tag")
     )
     missing = F.raise_error(F.concat(F.lit("no bookmark_tag in "), F.col("filepath"))) if strict else F.lit("")
     tags = tags.select("filepath", F.coalesce("bookmark_tag", missing).alias("bookmark_tag"))
-    return nodes.join(tags, "filepath")
+    return named.unionByName(rest.join(settle(tags, "tags"), "filepath"))
 
 
 def typed_fields(nodes: DataFrame, types: dict[str, str] | None = None) -> DataFrame:

@@ -386,17 +386,21 @@ def term_blocks(terms: DataFrame, limit: int) -> list[tuple[Column, Column]]:
     return blocks + [(F.col("term_bucket").isin(b), F.col("term_bucket").isin(b)) for b in packed]
 
 
+#: What names the postings of a term.
+TERM_KEYS = ["field", "term_bucket", "term"]
+
+
 def probe_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings of the wanted terms(term_bucket, term, query_id, …); no posting moves.
+    """Postings of the wanted terms(field, term_bucket, term, query_id, …); no posting moves.
 
     Terms beyond the broadcast limit go in blocks below it, each over its own part of
     the postings; of those, only rows found travel on.
     """
     limit = _broadcast_limit(postings.sparkSession)
     if limit <= 0 or _join_bytes(terms, terms.columns) <= limit:
-        return probe(postings, terms, ["term_bucket", "term"])
+        return probe(postings, terms, TERM_KEYS)
     parts = [
-        probe(postings.where(of_postings), F.broadcast(terms.where(of_terms)), ["term_bucket", "term"])
+        probe(postings.where(of_postings), F.broadcast(terms.where(of_terms)), TERM_KEYS)
         for of_postings, of_terms in term_blocks(terms, limit)
     ]
     return reduce(DataFrame.unionByName, parts)

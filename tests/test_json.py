@@ -102,3 +102,14 @@ def test_missing_tag_and_malformed_file(spark):
 def test_records_hold_their_own_scalars_only(spark):
     rows = flatten_json(_files(spark, '{"a": 1, "o": {"b": "x", "l": [1, {"c": true}]}, "n": null}')).select(F.to_json("fields").alias("j"))
     assert {r.j for r in rows.collect()} == {'{"a":1,"n":null}', '{"b":"x"}', '{"c":true}'}
+
+
+def test_files_tagged_at_their_root_join_nothing(spark):
+    nodes = flatten_json(_files(spark, '{"bookmark_tag": "a", "x": [{"y": 1}]}', '{"z": {"bookmark_tag": "b"}}', "[{}]"))
+    tagged = tag_files(nodes)
+    assert sorted((r.filename, r.depth, r.bookmark_tag) for r in tagged.collect()) == [
+        ("0", 0, "a"), ("0", 2, "a"), ("1", 0, "b"), ("1", 1, "b"), ("2", 1, "")
+    ]
+    plan = tagged.where("filename = '0'")._jdf.queryExecution().optimizedPlan().toString()
+    named, rest = plan.split("isnull(root_tag")[0], plan.split("isnull(root_tag")[1]
+    assert plan.count("Join") == 1 and "isnotnull(root_tag" in named and "bookmark_tag" in rest

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -359,6 +361,54 @@ def test_a_search_scans_postings_once(index, ask):
     assert plan_of(found).count("tagseek_postings") == 1
 
 
+def test_both_fields_in_one_pass(index, ask, monkeypatch):
+    """A full search matches words and sounds together, and finds what two searches find."""
+    from tagseek.plans import search as plans
+
+    matched = []
+
+    def spied(*args, **kwargs):
+        matched.append(match.match_clauses(*args, **kwargs))
+        return matched[-1]
+
+    asked = ask("hyper space", "nite", "knight of the night", "to be", "thou*", "space~", "zzz")
+    apart = exact_search(asked, index), phonetic_search(asked, index)
+    monkeypatch.setattr(plans, "match_clauses", spied)
+    report = plans.search(asked, index, SearchParams(fallback_below=0))
+    assert len(matched) == 1 and plan_of(matched[0]).count("tagseek_postings") == 1
+    for ours, theirs in zip((report.exact, report.phonetic), apart):
+        for name in ("hits", "tags", "totals"):
+            columns = sorted(getattr(theirs, name).columns)
+            assert sorted(getattr(ours, name).select(columns).collect()) == sorted(getattr(theirs, name).select(columns).collect())
+    assert report.exact.hits.count() > 0 < report.phonetic.hits.count()
+
+
+def test_words_with_enough_suggestions_meet_no_ngrams(spark):
+    """Suggestions by saved keys are those of all n-grams, from far fewer pairs."""
+    rng = random.Random(5)
+    stems = ["".join(rng.choice("aeiorstlnm") for _ in range(n)) for n in (3, 4, 5, 6, 7, 8, 9) for _ in range(40)]
+    bent = [w[:k] + rng.choice("aeiorstlnm") + w[k + 1 :] for w in stems for k in (0, 1, 2)]
+    documents = spark.createDataFrame([(i, w) for i, w in enumerate(stems + bent)], "doc_id bigint, text string")
+    index = save_index(documents, fresh_path(spark, "spelled"), doc_buckets=2, term_buckets=3)
+    dictionary = spelling.build_dictionary(index)
+    words = spark.createDataFrame([(w[:-1] + "x",) for w in stems[::2]] + [("zzzzz",), ("ab",), ("x",)], "word string")
+    plain = spelling.suggest_similar(words, dictionary, 2, index.term_buckets)
+    kept = spelling.suggest_similar(words, dictionary, 2, index.term_buckets, index)
+    assert sorted(plain.collect()) == sorted(kept.collect()) != []
+    every = spelling._gram_pairs(words, dictionary, index.term_buckets)
+    met = {(r["word"], r["term"]) for r in every.collect()}
+    assert len(met) == every.count()
+    gram_sets = dictionary.groupBy("term").agg(F.collect_set("gram").alias("grams")).collect()
+    own = {r["word"]: set(r["g"]) for r in words.select("word", spelling.grams(F.col("word")).alias("g")).collect()}
+    near = lambda a, b: a != b and abs(len(a) - len(b)) * 2 <= max(len(a), len(b))
+    assert met == {(w, r["term"]) for w, g in own.items() for r in gram_sets if g & set(r["grams"]) and near(w, r["term"])}
+    close = spelling._close_pairs(words, index)
+    counts = {r["word"]: r["count"] for r in close.groupBy("word").count().collect()}
+    longest = [w for w in counts if len(w) >= 8 and counts[w] >= 2]
+    # 151 pairs in place of 988; the larger the vocabulary, the further apart
+    assert longest and 5 * sum(counts[w] for w in longest) <= sum(w in longest for w, _ in met)
+
+
 def test_failed_appends_are_never_read(spark, ask, monkeypatch):
     """A writer that dies between records and postings, readers beside it, and its retry."""
     rows = lambda *r: spark.createDataFrame(r, "doc_id bigint, text string")
