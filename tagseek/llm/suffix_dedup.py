@@ -14,7 +14,8 @@ the place of suffixes:
    shuffle, so a passage in a third of all texts costs a row per task.
 2. Different runs of one anchor may share windows. Their bytes are fetched, their
    windows sorted in suffix order, and longest previous factors decide. Anchors
-   with more than ``HOT`` different runs are split by the windows' hashes.
+   with more than ``HOT`` different runs are split by the windows' own bytes, so
+   bytes decide either way.
 3. What the windows cover is cut out of each text.
 """
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -237,30 +239,31 @@ def settle_equal(found: DataFrame) -> DataFrame:
 
 
 _SLICES = "hot boolean, anchor bigint, doc_id bigint, row int, start int, bytes binary"
+#: Slices handed on at a time.
+_ROWS = 50_000
 
 
 def _fetch(wanted: DataFrame, documents: DataFrame) -> DataFrame:
-    """Bytes of the wanted runs; of hot ones a row per window, keyed by its hash."""
+    """Bytes of the wanted runs; of hot ones a row per window."""
     asked = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("anchor", "start", "n", "hot")).alias("asked"))
+    types = [pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = [c.split()[0] for c in _SLICES.split(", ")]
+
+    def slices(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for doc, row, text, asks in zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), batch["text"], batch["asked"].to_pylist()):
+            data = text.as_py().encode()
+            for x in asks:
+                a, n = x["start"], x["n"]
+                if x["hot"]:
+                    yield from ((True, x["anchor"], doc, row, k, data[k : k + LENGTH]) for k in range(a, a + n))
+                else:
+                    yield False, x["anchor"], doc, row, a, data[a : a + n + LENGTH - 1]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        names = [c.split()[0] for c in _SLICES.split(", ")]
         for batch in batches:
-            out: list[tuple] = []
-            for doc, row, text, asks in zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), batch["text"], batch["asked"].to_pylist()):
-                data = text.as_py().encode()
-                for x in asks:
-                    a = x["start"]
-                    if x["hot"]:
-                        for k in range(a, a + x["n"]):
-                            key = int.from_bytes(hashlib.blake2b(data[k : k + LENGTH], digest_size=8).digest(), "little", signed=True)
-                            out.append((True, key, doc, row, k, b""))
-                    else:
-                        out.append((False, x["anchor"], doc, row, a, data[a : a + x["n"] + LENGTH - 1]))
-            for a in range(0, len(out), 50_000):
-                part = list(zip(*out[a : a + 50_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, types)], names)
+            found = slices(batch)
+            while part := list(islice(found, _ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types)], names)
 
     return documents.join(asked, ["doc_id", "row"]).mapInArrow(cut, _SLICES)
 
@@ -333,9 +336,9 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
     wanted = first.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     slices = settle(_fetch(wanted, documents), "slices")
     by_order = previous_factors(slices.where(~F.col("hot")).drop("hot"))
-    windows = slices.where("hot").select("anchor", "doc_id", "row", "start")
-    least = windows.groupBy("anchor").agg(F.min(F.struct("doc_id", "row", "start")).alias("least"), F.count(F.lit(1)).alias("several")).where("several > 1")
-    later = windows.join(least, "anchor").where(F.struct("doc_id", "row", "start") != F.col("least"))
+    windows = slices.where("hot").select("bytes", "doc_id", "row", "start")
+    least = windows.groupBy("bytes").agg(F.min(F.struct("doc_id", "row", "start")).alias("least"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    later = windows.join(least, "bytes").where(F.struct("doc_id", "row", "start") != F.col("least"))
     split = later.select("doc_id", "row", "start", F.lit(1).alias("n"))
     return found.where(F.col("kind") == COPY).select("doc_id", "row", "start", "n").unionByName(by_order).unionByName(split)
 
