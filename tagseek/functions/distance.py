@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,17 +29,6 @@ def swap_distances(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([swap_distance(x, y) for x, y in pairs], pa.int32())
 
 
-def _without_one(text: Column) -> Column:
-    """Every text made by dropping one character."""
-    return F.when(
-        F.length(text) > 0,
-        F.transform(
-            F.sequence(F.lit(1), F.length(text)),
-            lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-
-
 def deletion_keys(word: Column, edits: int, prefix: int = 7) -> Column:
     """Join keys for words at most ``edits`` apart: what is left of the first
     ``prefix`` characters after dropping up to ``edits`` of them.
@@ -46,9 +37,9 @@ def deletion_keys(word: Column, edits: int, prefix: int = 7) -> Column:
     neighbour swaps always share a key, since every such edit is undone by
     dropping at most one character on each side.
     """
-    head = F.left(word, F.lit(prefix))
-    keys, last = F.array(head), F.array(head)
-    for _ in range(edits):
-        last = F.array_distinct(F.flatten(F.transform(last, _without_one)))
-        keys = F.concat(keys, last)
-    return F.array_distinct(keys)
+    def without(places: tuple[int, ...]) -> Column:
+        # the runs between the places dropped; places behind a short word's end drop nothing
+        runs = zip((0, *places), (*places, prefix + 1))
+        return F.concat(*[F.substring(word, a + 1, b - a - 1) for a, b in runs if b - a > 1] or [F.lit("")])
+
+    return F.array_distinct(F.array(*[without(places) for n in range(edits + 1) for places in combinations(range(1, prefix + 1), n)]))

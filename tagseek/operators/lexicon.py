@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import deletion_keys
-from ..sources.store import VOCABULARY, Index, probe
+from ..sources.store import VOCABULARY, Index, dealt, probe, write_keys
 from .postings import term_bucket
 
 #: Edits that saved deletion keys allow for.
@@ -62,14 +62,9 @@ def lexicon(index: Index, kind: str) -> DataFrame:
             earlier = spark.read.schema(VOCABULARY).parquet(f"{index.path}/{index.build_id}/{newest['words']}")
             words = words.join(earlier.select("field", "term"), ["field", "term"], "left_anti")
         part = uuid.uuid4().hex[:12]
-        keyed = words.select("field", "term", F.explode(KINDS[kind](F.col("term"))).alias("key"))
-        (
-            keyed.withColumn("key_bucket", term_bucket(F.col("key"), index.term_buckets))
-            .hint("rebalance", "field", "key_bucket")
-            .sortWithinPartitions("field", "key_bucket", "key")
-            .write.partitionBy("field", "key_bucket")
-            .parquet(f"{base}/{kind}/part={part}")
-        )
+        keyed = dealt(words).select("field", "term", F.explode(KINDS[kind](F.col("term"))).alias("key"))
+        keyed = keyed.withColumn("key_bucket", term_bucket(F.col("key"), index.term_buckets))
+        write_keys(keyed, f"{base}/{kind}/part={part}", ["field", "key_bucket"], "key", index.term_buckets)
         row = spark.createDataFrame([(kind, index.version, index.words, part)], PARTS)
         row.coalesce(1).write.mode("append").parquet(f"{base}/parts")
         return lexicon(index, kind)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.distance import deletion_keys
 from ..params import GRAM_SIZES, MIN_SIMILARITY, MIN_WORD, SearchParams
 from ..session import settle
-from ..sources.store import Index, probe
+from ..sources.store import Index, dealt, probe, write_keys
 from .lexicon import EDITS, words_of
 from .postings import EXACT, analyzed_queries, term_bucket
 
@@ -67,15 +67,9 @@ def build_dictionary(index: Index, rebuild: bool = False) -> DataFrame:
                 return kept
         except AnalysisException:
             pass
-    made = dictionary_of(index.vocabulary.where(F.col("field") == EXACT))
-    (
-        made.select(term_bucket(F.col("gram"), index.term_buckets).alias("gram_bucket"), "gram", "term", "df")
-        .hint("rebalance", "gram_bucket")
-        .sortWithinPartitions("gram_bucket", "gram")
-        .write.mode("overwrite")
-        .partitionBy("gram_bucket")
-        .parquet(path)
-    )
+    made = dictionary_of(dealt(index.vocabulary.where(F.col("field") == EXACT)))
+    made = made.select(term_bucket(F.col("gram"), index.term_buckets).alias("gram_bucket"), "gram", "term", "df")
+    write_keys(made, path, ["gram_bucket"], "gram", index.term_buckets)
     return saved.parquet(path)
 
 

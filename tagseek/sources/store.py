@@ -28,7 +28,12 @@ from pyspark.sql import functions as F
 from ..operators.postings import EXACT, SOUND, build_postings, corpus_stats, term_bucket, vocabulary
 from ..session import kept_types, settings
 
-BYTES_PER_BUCKET = 256 << 20
+#: A bucket's postings are sorted in one task, which takes some 60 times its input (0.1 GB in 8 buckets: 671 MB a task).
+BYTES_PER_BUCKET = 8 << 20
+BYTES_PER_TERM_BUCKET = 16 << 30
+
+#: Words whose keys one task makes, sorts and writes: some 30 keys a word.
+WORDS_PER_TASK = 50_000
 
 #: Bounds of the layout: beyond them buckets and folders grow larger, not more.
 MOST_DOC_BUCKETS = 8192
@@ -62,7 +67,7 @@ def planned_bytes(documents: DataFrame) -> int:
 def layout(input_bytes: int, least: int) -> tuple[int, int]:
     """(document buckets, term buckets) for so much input."""
     sized = input_bytes // BYTES_PER_BUCKET
-    return min(max(least, sized), MOST_DOC_BUCKETS), max(1, min(MOST_TERM_BUCKETS, sized // 64))
+    return min(max(least, sized), MOST_DOC_BUCKETS), max(1, min(MOST_TERM_BUCKETS, input_bytes // BYTES_PER_TERM_BUCKET))
 
 
 @dataclass
@@ -235,6 +240,21 @@ def _write_words(words: DataFrame, path: str, term_buckets: int) -> None:
     )
 
 
+def dealt(words: DataFrame) -> DataFrame:
+    """words(term, …) in as many tasks as their keys take; a vocabulary's few files are as few tasks."""
+    return words.repartition(max(1, -(-words.count() // WORDS_PER_TASK)), "term")
+
+
+def write_keys(keys: DataFrame, path: str, folders: list[str], key: str, buckets: int) -> None:
+    """Write the keys of ``dealt`` words in folders, sorted by key.
+
+    Each task writes what it made: keys outnumber their words by far and need not
+    travel, unless that gave each of many key buckets a file of every task.
+    """
+    held = keys if buckets == 1 else keys.hint("rebalance", *folders)
+    held.sortWithinPartitions(*folders, key).write.mode("overwrite").partitionBy(*folders).parquet(path)
+
+
 def _published(spark: SparkSession, path: str, must: bool = True) -> State | None:
     """The newest state; of several under one version the first writer's by name."""
     try:
