@@ -321,8 +321,16 @@ def index_stats(index: Index) -> DataFrame:
 #: Keys that one scan filter names; more are told to it as ranges only.
 LISTED = {"doc_id": 20_000}
 LISTED_TERMS = 1_000
-#: Ranges that one scan filter holds.
-SPANS = 64
+#: Ranges that one scan filter holds: about as many as a bucket has pages. The JVM leaves a scan of 64 uncompiled.
+SPANS = 16
+
+
+def _within(key: str, spans: list[tuple]) -> Column:
+    """Is a key in one of these ranges, which ascend? Found by halving: a scan asks this of every row."""
+    if len(spans) == 1:
+        return F.col(key).between(*spans[0])
+    low, high = spans[: len(spans) // 2], spans[len(spans) // 2 :]
+    return (F.col(key) <= low[-1][1]) & _within(key, low) | (F.col(key) >= high[0][0]) & _within(key, high)
 
 
 def key_filter(wanted: DataFrame, key: str) -> Column:
@@ -337,11 +345,11 @@ def key_filter(wanted: DataFrame, key: str) -> Column:
     if len(few) > most:
         # as many rows as there are ranges, whatever the number of keys
         parts = keys.repartitionByRange(SPANS, key).groupBy(F.spark_partition_id()).agg(F.min(key), F.max(key))
-        return reduce(Column.__or__, [F.col(key).between(low, high) for _, low, high in parts.collect()])
+        return _within(key, sorted((low, high) for _, low, high in parts.collect()))
     step = -(-len(few) // SPANS) or 1
     spans = [(few[i], few[min(i + step, len(few)) - 1]) for i in range(0, len(few), step)]
     named = F.expr(f"{key} IN ({', '.join(map(str, few))})") if few and isinstance(few[0], int) else F.col(key).isin(few)
-    return reduce(Column.__and__, [named, *([reduce(Column.__or__, [F.col(key).between(*span) for span in spans])] if len(few) > 10 else [])])
+    return reduce(Column.__and__, [named, *([_within(key, spans)] if len(few) > 10 else [])])
 
 
 def probe(table: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,12 +2,15 @@
 
 import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from tagseek.functions.distance import deletion_keys
+from tagseek.functions.sound import sound_code
 from tagseek.operators import lexicon, spelling
-from tagseek.session import fresh_path
+from tagseek.operators.postings import build_phonetic_postings
+from tagseek.session import fresh_path, settings, settle
 from tagseek.sources import store
 from tagseek.sources.store import layout, save_index
 
@@ -46,3 +49,35 @@ def test_deletion_keys_are_all_that_is_left(spark):
             head = word[:7]
             left = {"".join(c for i, c in enumerate(head) if i not in gone) for n in range(edits + 1) for gone in itertools.combinations(range(len(head)), min(n, len(head)))}
             assert sorted(keys) == sorted(left)
+
+
+def test_scan_filters_stay_small_enough_to_be_compiled(spark, monkeypatch):
+    words = [f"w{i:05d}" for i in range(0, 4000, 2)]
+    table = spark.createDataFrame([(w,) for w in (*words, "w00001", "a", "z", None)], "term string").repartition(1)
+    asked = spark.createDataFrame([(w,) for w in words], "term string")
+    for most in (1_000, 10_000):  # told as ranges only, and by name as well
+        monkeypatch.setattr(store, "LISTED_TERMS", most)
+        found = settle(table).where(store.key_filter(asked, "term"))
+        assert {r.term for r in found.collect()} - {"w00001"} == set(words)
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        monkeypatch.setattr(store, "LISTED_TERMS", 1_000)
+        plan = settle(table).where(store.key_filter(asked, "term"))._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    # the JVM does not compile methods of 8,000 bytes and more
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert sizes and max(sizes) < 8_000
+
+
+def test_sounds_are_inverted_as_words_stand(spark):
+    texts = ["Night knight the night", "", "a", None, "the The THE naïve nite 123 123"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(1)
+    found = build_phonetic_postings(rows).collect()
+    wanted = {}
+    for doc, text in enumerate(texts):
+        for place, word in enumerate((text or "").split()):
+            wanted.setdefault((doc, sound_code(word)), []).append(place)
+    assert {(r.doc_id, r.term): r.positions for r in found} == wanted
+    assert all(r.field == "sound" and r.hyphens == [] and r.freq == len(r.positions) and r.dl == len(texts[r.doc_id].split()) for r in found)
+    assert build_phonetic_postings(rows.where("text is null")).count() == build_phonetic_postings(rows.where("text = ''")).count() == 0
+    # nothing is left of inverting codes one by one in the JVM
+    plan = build_phonetic_postings(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "sound_entries" in plan and "sort_array" not in plan
