@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sound import sound_codes
+from ..functions.sound import sound_codes, sound_entries
 from ..functions.tokens import cased_words, grouped_positions, raw_words, run_starts, words, words_and_hyphens
 
 EXACT, SOUND = "exact", "sound"
@@ -20,15 +20,12 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _sorted_entries(tokens: Column, field: str) -> Column:
-    if field == EXACT:
-        def entry(w, i):
-            glued = F.endswith(w, F.lit("-"))
-            term = F.when(glued, F.rtrim(w, F.lit("-"))).otherwise(w)
-            return F.struct(term.alias("term"), i.alias("pos"), glued.alias("glued"))
-    else:
-        def entry(w, i):
-            return F.struct(w.alias("term"), i.alias("pos"), F.lit(False).alias("glued"))
+def _sorted_entries(tokens: Column) -> Column:
+    def entry(w, i):
+        glued = F.endswith(w, F.lit("-"))
+        term = F.when(glued, F.rtrim(w, F.lit("-"))).otherwise(w)
+        return F.struct(term.alias("term"), i.alias("pos"), glued.alias("glued"))
+
     return F.sort_array(F.transform(tokens, entry))
 
 
@@ -38,8 +35,10 @@ def _inverted(tokens: DataFrame, field: str) -> DataFrame:
     A record is inverted inside its own row: sort its tokens, cut the sorted
     array where the term changes. Nothing is shuffled, whatever the words.
     """
+    if field == SOUND:
+        return tokens.withColumn(field, sound_entries(F.col(f"{field}_tokens")))
     return (
-        tokens.withColumn("entries", _sorted_entries(F.col(f"{field}_tokens"), field))
+        tokens.withColumn("entries", _sorted_entries(F.col(f"{field}_tokens")))
         .withColumn("starts", run_starts(F.col("entries")))
         .withColumn(field, grouped_positions(field, F.col("entries"), F.col("starts")))
         .drop("entries", "starts")
@@ -58,7 +57,7 @@ def build_postings(documents: DataFrame, fields: tuple[str, ...] = (EXACT,), low
         tokens = tokens.withColumn("exact_tokens", words_and_hyphens(F.col("text")))
     if SOUND in fields:
         spelled = words(F.col("text")) if lowercase_sounds else cased_words(F.col("text"))
-        tokens = tokens.withColumn("sound_tokens", sound_codes(spelled))
+        tokens = tokens.withColumn("sound_tokens", spelled)
     rows = tokens.withColumn("dl", F.size(f"{fields[0]}_tokens")).drop("text")
     for field in fields:
         rows = _inverted(rows, field)
