@@ -6,7 +6,7 @@ this package on its workers.
 
 from pyspark import cloudpickle
 
-from . import distance, sound, sweep
+from . import distance, inverted, sound, sweep
 
-for _module in (distance, sound, sweep):
+for _module in (distance, inverted, sound, sweep):
     cloudpickle.register_pickle_by_value(_module)

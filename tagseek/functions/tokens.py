@@ -40,37 +40,3 @@ def words_and_hyphens(text: Column) -> Column:
 def raw_words(phrase: Column) -> Column:
     """A query phrase split at white space, symbols kept."""
     return F.filter(F.split(phrase, r"\s+"), lambda w: w != "")
-
-
-def grouped_positions(field: str, entries: Column, starts: Column) -> Column:
-    """Turn an array of (term, pos, glued) sorted by term into one struct per
-    term, given the index at which each term begins.
-
-    Each entry is looked up by index, so the work is linear in the record;
-    slicing would copy the whole array once per term.
-    """
-
-    def one(start: Column, k: Column) -> Column:
-        stop = F.coalesce(F.get(starts, k + 1), F.size(entries))
-        run = F.sequence(start, stop - 1)
-        return F.struct(
-            F.lit(field).alias("field"),
-            F.get(entries, start)["term"].alias("term"),
-            F.transform(run, lambda i: F.get(entries, i)["pos"]).alias("positions"),
-            F.transform(F.filter(run, lambda i: F.get(entries, i)["glued"]), lambda i: F.get(entries, i)["pos"]).alias(
-                "hyphens"
-            ),
-        )
-
-    return F.transform(starts, one)
-
-
-def run_starts(entries: Column) -> Column:
-    """Indexes at which a new term begins in a sorted entry array."""
-    return F.when(
-        F.size(entries) > 0,
-        F.filter(
-            F.sequence(F.lit(0), F.size(entries) - 1),
-            lambda i: (i == 0) | (F.get(entries, i)["term"] != F.get(entries, i - 1)["term"]),
-        ),
-    ).otherwise(F.array().cast("array<int>"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.inverted import word_entries
 from ..functions.sound import sound_codes, sound_entries
-from ..functions.tokens import cased_words, grouped_positions, raw_words, run_starts, words, words_and_hyphens
+from ..functions.tokens import cased_words, raw_words, words, words_and_hyphens
 
 EXACT, SOUND = "exact", "sound"
 
@@ -20,29 +21,13 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _sorted_entries(tokens: Column) -> Column:
-    def entry(w, i):
-        glued = F.endswith(w, F.lit("-"))
-        term = F.when(glued, F.rtrim(w, F.lit("-"))).otherwise(w)
-        return F.struct(term.alias("term"), i.alias("pos"), glued.alias("glued"))
-
-    return F.sort_array(F.transform(tokens, entry))
-
-
 def _inverted(tokens: DataFrame, field: str) -> DataFrame:
-    """Add ``<field>``: one struct (term, positions, hyphens) per distinct term.
+    """Add ``<field>``: one struct (field, term, positions, hyphens) per distinct term.
 
-    A record is inverted inside its own row: sort its tokens, cut the sorted
-    array where the term changes. Nothing is shuffled, whatever the words.
+    A record is inverted inside its own row. Nothing is shuffled, whatever the words.
     """
-    if field == SOUND:
-        return tokens.withColumn(field, sound_entries(F.col(f"{field}_tokens")))
-    return (
-        tokens.withColumn("entries", _sorted_entries(F.col(f"{field}_tokens")))
-        .withColumn("starts", run_starts(F.col("entries")))
-        .withColumn(field, grouped_positions(field, F.col("entries"), F.col("starts")))
-        .drop("entries", "starts")
-    )
+    made = word_entries if field == EXACT else sound_entries
+    return tokens.withColumn(field, made(F.col(f"{field}_tokens")))
 
 
 def build_postings(documents: DataFrame, fields: tuple[str, ...] = (EXACT,), lowercase_sounds: bool = False) -> DataFrame:

@@ -6,10 +6,11 @@ import re
 
 from pyspark.sql import functions as F
 
+from tagseek.functions import inverted
 from tagseek.functions.distance import deletion_keys
 from tagseek.functions.sound import sound_code
 from tagseek.operators import lexicon, spelling
-from tagseek.operators.postings import build_phonetic_postings
+from tagseek.operators.postings import build_phonetic_postings, build_postings
 from tagseek.session import fresh_path, settings, settle
 from tagseek.sources import store
 from tagseek.sources.store import layout, save_index
@@ -81,3 +82,30 @@ def test_sounds_are_inverted_as_words_stand(spark):
     # nothing is left of inverting codes one by one in the JVM
     plan = build_phonetic_postings(rows)._jdf.queryExecution().executedPlan().toString()
     assert "sound_entries" in plan and "sort_array" not in plan
+
+
+def test_records_are_inverted_in_bounded_portions(spark, monkeypatch):
+    import pyarrow as pa
+
+    words = random.Random(5)
+    rows = [[words.choice(["by-", "by", "nc", "a", "ß-"]) for _ in range(n)] for n in (0, 3, 40, 1, 0, 7, 200, 2)]
+    rows = [*rows[:3], None, *rows[3:]]
+    batch = pa.array(rows, pa.list_(pa.string()))
+    named = lambda spelled: pa.array([w.rstrip("-") for w in spelled.to_pylist()], pa.string())
+    whole = inverted.invert(batch, "exact", named, marked=True)
+    for row, entries in zip(rows, whole.to_pylist()):
+        if row is None:
+            assert entries is None
+            continue
+        bare = [w.rstrip("-") for w in row]
+        assert {e["term"]: e["positions"] for e in entries} == {t: [i for i, w in enumerate(bare) if w == t] for t in bare}
+        assert {e["term"]: e["hyphens"] for e in entries} == {t: [i for i, w in enumerate(row) if w == t + "-"] for t in bare}
+        assert len({e["term"] for e in entries}) == len(entries)
+    monkeypatch.setattr(inverted, "STEP", 10)
+    sizes = [len(part.flatten()) for part in inverted._portions(batch)]
+    assert len(sizes) > 2 and sum(sizes) == len(batch.flatten()) and max(sizes) == 200
+    key = lambda entries: entries and sorted(entries, key=lambda e: e["term"])
+    assert [key(e) for e in inverted.invert(batch, "exact", named, marked=True).to_pylist()] == [key(e) for e in whole.to_pylist()]
+    assert inverted.invert(batch.slice(0, 0), "exact", named).to_pylist() == []
+    plan = build_postings(spark.createDataFrame([(1, "by-nc a")], "doc_id bigint, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "word_entries" in plan and "sort_array" not in plan
