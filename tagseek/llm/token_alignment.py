@@ -9,6 +9,7 @@ tokens of a group, and the range of tokens that a single one overlaps.
 Linked ids are counted over the whole corpus without moving a document's links.
 A task joins its documents to chunks of about ``CHUNK_BYTES`` of text. Only the
 distinct id pairs of a chunk travel: once to be summed, once to fetch their sums.
+A document stays a row of its own: no row, batch or row group holds whole chunks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from .packing import TOKENIZER, ChunkIds
 PIECES = "piece_bpe_32k.model"
 #: Text whose links are worked out, and looked up, together; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
+#: Chunks whose sums one task works out, one after another.
+CHUNKS_PER_TASK = 8
 #: Text aligned in one go.
 STEP_BYTES = 512 << 10
 #: Bits of a token id in the key of an id pair.
@@ -40,8 +44,8 @@ GROUPS = (
     "groups array<struct<a_first:int,a_last:int,b_first:int,b_last:int>>, overlaps array<struct<b_first:int,b_last:int>>"
 )
 _CHUNKS = (
-    "chunk bigint, pairs array<bigint>, holders array<int>, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, "
-    "n_groups array<bigint>, n_links array<bigint>, digests array<string>, firsts array<int>, at array<int>, times array<bigint>"
+    "chunk bigint, pairs array<bigint>, holders array<int>, doc_id bigint, n_a bigint, n_b bigint, "
+    "n_groups bigint, n_links bigint, groups_sha256 string, at array<int>, times array<bigint>"
 )
 _RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
@@ -262,12 +266,13 @@ def groups(documents: DataFrame, ranks: str | None = None, pieces: str | None =
 
 
 def _chunks(documents: DataFrame, ranks: str | None, pieces: str | None, chunk_bytes: int) -> DataFrame:
-    """One row per chunk: its distinct id pairs with the documents that hold each, and per
-    document its numbers and where its own pairs stand among the chunk's."""
+    """One row per document: its chunk, its numbers, and where its own pairs stand among the
+    chunk's. A chunk's first row has its distinct id pairs with the documents that hold each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _sides(ranks, pieces)
-        for ids, texts in _portions(_rows(batches), chunk_bytes):
+        first = TaskContext.get().partitionId() << 33
+        for chunk, (ids, texts) in enumerate(_portions(_rows(batches), chunk_bytes), first):
             parts, done = [], 0
             for _, some in _portions(enumerate(texts), STEP_BYTES):
                 x = Aligned(sides, some)
@@ -278,18 +283,19 @@ def _chunks(documents: DataFrame, ranks: str | None, pieces: str | None, chunk_b
                 done += len(some)
             doc, pair, times, n_a, n_b, n_groups, n_links, digests = map(np.concatenate, zip(*parts))
             distinct, at, holders = np.unique(pair, return_inverse=True, return_counts=True)
-            firsts = np.searchsorted(doc, np.arange(len(ids) + 1))
-            columns: dict[str, tuple] = {
-                "pairs": (distinct, pa.int64()), "holders": (holders, pa.int32()), "doc_ids": (ids, pa.int64()),
-                "n_a": (n_a, pa.int64()), "n_b": (n_b, pa.int64()), "n_groups": (n_groups, pa.int64()),
-                "n_links": (n_links, pa.int64()), "digests": (digests.tolist(), pa.string()), "firsts": (firsts, pa.int32()),
-                "at": (at, pa.int32()), "times": (times, pa.int64()),
+            own = np.bincount(doc, minlength=len(ids))
+            head = np.where(np.arange(len(ids)) == 0, len(distinct), 0)
+            columns: dict[str, pa.Array] = {
+                "chunk": pa.repeat(pa.scalar(chunk, pa.int64()), len(ids)),
+                "pairs": _lists(distinct, head, pa.int64()), "holders": _lists(holders, head, pa.int32()),
+                "doc_id": pa.array(ids, pa.int64()), "n_a": pa.array(n_a, pa.int64()), "n_b": pa.array(n_b, pa.int64()),
+                "n_groups": pa.array(n_groups, pa.int64()), "n_links": pa.array(n_links, pa.int64()),
+                "groups_sha256": pa.array(digests.tolist(), pa.string()),
+                "at": _lists(at, own, pa.int32()), "times": _lists(times, own, pa.int64()),
             }
-            rows = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, kind)) for v, kind in columns.values()]
-            yield pa.RecordBatch.from_arrays(rows, list(columns))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    made = _documents(documents).mapInArrow(work, _CHUNKS.removeprefix("chunk bigint, "))
-    return made.select(F.monotonically_increasing_id().alias("chunk"), "*")
+    return _documents(documents).mapInArrow(work, _CHUNKS)
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -301,25 +307,19 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
     return counts.withColumn("best", F.col("count") == most)
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [part.split()[0] for part in _RESULT.split(", ")]
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = {name: batch[name].slice(k, 1).flatten() for name in batch.schema.names if name != "chunk"}
-            firsts, at, times = (row[c].to_numpy(zero_copy_only=False) for c in ("firsts", "at", "times"))
-            count, best = np.zeros(len(at) and int(at.max()) + 1, np.int64), np.zeros(len(at) and int(at.max()) + 1, np.int64)
-            if len(at):
-                place = row["found"].field("place").to_numpy(zero_copy_only=False)
-                count[place] = row["found"].field("count").to_numpy(zero_copy_only=False)
-                best[place] = row["found"].field("best").to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-            sums = []
-            for value in (best, count):
-                total = np.zeros(len(firsts) - 1, np.int64)
-                np.add.at(total, owner, times * value[at])
-                sums.append(pa.array(total))
-            columns = [row["doc_ids"], row["n_a"], row["n_b"], row["n_groups"], row["n_links"], *sums, row["digests"]]
-            yield pa.RecordBatch.from_arrays(columns, names)
+def _summed(docs: pa.Table, found: pa.Table) -> pa.Table:
+    """Results of a chunk's documents, from the sums found for its pairs."""
+    own = docs["at"].combine_chunks()
+    owner = np.repeat(np.arange(docs.num_rows), own.value_lengths().to_numpy(zero_copy_only=False))
+    at = own.flatten().to_numpy(zero_copy_only=False)
+    times = docs["times"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    result = {name: docs[name] for name in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+    for name, source in (("n_best", "best"), ("count_sum", "count")):
+        value, total = np.zeros(found.num_rows, np.int64), np.zeros(docs.num_rows, np.int64)
+        value[found["place"].to_numpy()] = found[source].to_numpy()
+        np.add.at(total, owner, times * value[at])
+        result[name] = pa.array(total)
+    return pa.table(result | {"groups_sha256": docs["groups_sha256"]})
 
 
 def align(documents: DataFrame, ranks: str | None = None, pieces: str | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -334,7 +334,8 @@ def align(documents: DataFrame, ranks: str | None = None, pieces: str | None = N
     chunks = settle(_chunks(documents, ranks, pieces, chunk_bytes), "chunks")
     counts = settle(pair_counts(chunks), "pair-counts")
     asked = chunks.select("chunk", F.posexplode("pairs").alias("place", "pair"))
-    # a chunk's list is bounded by its text
-    found = asked.join(counts, "pair").groupBy("chunk").agg(F.collect_list(F.struct("place", "count", "best")).alias("found"))
-    kept = chunks.drop("pairs", "holders").join(found, "chunk", "left")
-    return kept.mapInArrow(_summed, _RESULT)
+    found = asked.join(counts, "pair").select(F.col("chunk").alias("of"), "place", "count", "best")
+    # a chunk's rows are bounded by its text
+    tasks = max(1, -(-chunks.select("chunk").distinct().count() // CHUNKS_PER_TASK))
+    kept = chunks.drop("pairs", "holders").repartition(tasks, "chunk")
+    return kept.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_summed, _RESULT)

@@ -91,6 +91,14 @@ def test_alignment_of_odd_texts(spark, edge_documents, tokenizers_of_both_sides,
     assert found == plain_alignment(rows, tokenizers_of_both_sides)
 
 
+def test_a_chunk_is_never_one_row(spark):
+    rows = [(i, f"word{i} and more words") for i in range(50)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    made = token_alignment._chunks(documents, None, None, 1 << 20).collect()
+    assert sorted(r["doc_id"] for r in made) == list(range(50)) and len({r["chunk"] for r in made}) == 2
+    assert sum(len(r["pairs"]) > 0 for r in made) == 2 and all(len(r["at"]) == len(r["times"]) > 0 for r in made)
+
+
 def test_alignment_of_whole_tables(spark, tokenizers_of_both_sides):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
