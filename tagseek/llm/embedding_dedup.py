@@ -4,7 +4,8 @@
   each shard's task builds a hierarchical navigable small-world graph.
 * An audit in every shard compares beam searches with brute force and widens the
   beam until the recall is met; past ``WIDEST`` that shard is scanned instead.
-* Every vector queries every shard, in blocks. A beam full of links is doubled,
+* Every vector queries every shard. A graph travels in small rows to a few tasks,
+  whatever the number of vectors, and their queries stream by it. A beam full of links is doubled,
   and past ``WIDEST`` its vector scans the shard, so no number of links is a limit. Cosines of hits are verified in
   double precision, and so are those of the graph's own edges. A task hands on
   a spanning forest of its links, not all of them.
@@ -15,7 +16,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,14 @@ from ..session import settle
 from .components import connected_components, former_ids, own_ids
 
 COSINE = 0.95
-#: Vectors of a shard, queries of a task, and vectors of a compared block.
+#: Vectors of a shard, fewest queries that a copy of a graph is made for, and vectors of a compared block.
 SHARD = 65_536
 QUERIES = 8_192
 BLOCK = 2_048
+#: Points of a graph in one row.
+PIECE = 1_024
+#: Copies of graphs for each core of the session.
+COPIES = 4
 DEGREE = 16
 BUILD_BEAM = 48
 BEAM = 32
@@ -210,21 +215,23 @@ class Graph:
     def nearest(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         return self.search(queries, self.levels[0][1], self.descend(queries), beam)
 
-    def pack(self) -> bytes:
-        upper = [np.column_stack([m, near[m]]).astype(np.int32) for m, near in self.levels[1:]]
-        parts = [pa.array([self.levels[0][1].astype(np.int32).tobytes(), *(u.tobytes() for u in upper)], pa.binary())]
-        sink = pa.BufferOutputStream()
-        batch = pa.RecordBatch.from_arrays(parts, ["level"])
-        with pa.ipc.new_stream(sink, batch.schema) as writer:
-            writer.write_batch(batch)
-        return sink.getvalue().to_pybytes()
+    def pack(self) -> Iterator[tuple[bytes, bytes, bytes]]:
+        """Rows of (points, their neighbours on the base, upper levels), ``PIECE`` points each; the first has the upper levels."""
+        upper = [np.column_stack([m, near[m]]).astype(np.int32).tobytes() for m, near in self.levels[1:]]
+        ends = np.cumsum([len(x) for x in upper], dtype=np.int32)
+        packed = np.int32(len(upper)).tobytes() + ends.tobytes() + b"".join(upper)
+        base = self.levels[0][1].astype(np.int32)
+        for a in range(0, len(base), PIECE):
+            yield self.points[a : a + PIECE].tobytes(), base[a : a + PIECE].tobytes(), packed if a == 0 else b""
 
     @classmethod
-    def unpack(cls, points: np.ndarray, packed: bytes) -> Graph:
-        base, *upper = pa.ipc.open_stream(packed).read_all()["level"].to_pylist()
+    def unpack(cls, points: np.ndarray, base: bytes, packed: bytes) -> Graph:
+        n = int(np.frombuffer(packed, np.int32, 1)[0])
+        ends = np.frombuffer(packed, np.int32, n, 4)
+        body = packed[4 + 4 * n :]
         levels = [(np.arange(len(points)), np.frombuffer(base, np.int32).reshape(len(points), -1))]
-        for part in upper:
-            rows = np.frombuffer(part, np.int32).reshape(-1, DEGREE + 1)
+        for low, high in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            rows = np.frombuffer(body[low:high], np.int32).reshape(-1, DEGREE + 1)
             near = np.full((len(points), DEGREE), -1, np.int32)
             near[rows[:, 0]] = rows[:, 1:]
             levels.append((rows[:, 0].astype(np.int64), near))
@@ -328,84 +335,126 @@ class Joined:
         return at[first]
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-    """Edges that join what all given edges join."""
-    up: dict[int, int] = {}
-    out = ([], [])
+class Forest:
+    """Of all links added, those that join what all of them join."""
 
-    def root(x: int) -> int:
+    def __init__(self):
+        self.up: dict[int, int] = {}
+        self.a: list[int] = []
+        self.b: list[int] = []
+
+    def _root(self, x: int) -> int:
+        up = self.up
         while (y := up.get(x, x)) != x:
             up[x] = x = up.get(y, y)
         return x
 
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = root(x), root(y)
-        if p != q:
-            up[max(p, q)] = min(p, q)
-            out[0].append(x)
-            out[1].append(y)
-    return out
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        for x, y in zip(a.tolist(), b.tolist()):
+            p, q = self._root(x), self._root(y)
+            if p != q:
+                self.up[max(p, q)] = min(p, q)
+                self.a.append(x)
+                self.b.append(y)
+
+    def edges(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(self.a, pa.int64()), pa.array(self.b, pa.int64())], ["a", "b"])
 
 
-_EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_GRAPH = "shard int, beam int, recall double, ids binary, points binary, graph binary"
+_GRAPH = "shard int, beam int, piece int, ids binary, points binary, base binary, upper binary"
 
 
 def build_graphs(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """classes(shard, rep, vector) -> one packed graph per shard, with its audited beam."""
-    schema = pa.schema([("shard", pa.int32()), ("beam", pa.int32()), ("recall", pa.float64()), ("ids", pa.binary()), ("points", pa.binary()), ("graph", pa.binary())])
+    """classes(shard, rep, vector) -> the rows of one graph per shard, with its audited beam."""
+    schema = pa.schema([("shard", pa.int32()), ("beam", pa.int32()), ("piece", pa.int32()), *((c, pa.binary()) for c in ("ids", "points", "base", "upper"))])
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("rep")
         points = _unit(_table_vectors(table["vector"], table.num_rows))
         graph = Graph.build(points.astype(np.float32))
-        beam, recall = audit(graph, cosine)
-        ids = table["rep"].to_numpy().astype(np.int64)
-        row = [table["shard"][0].as_py(), beam, recall, ids.tobytes(), points.tobytes(), graph.pack()]
-        return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
+        beam, _ = audit(graph, cosine)
+        graph.points = points  # handed on in double precision
+        ids, shard = table["rep"].to_numpy().astype(np.int64), table["shard"][0].as_py()
+        rows = [(shard, beam, k, ids[k * PIECE : (k + 1) * PIECE].tobytes(), *parts) for k, parts in enumerate(graph.pack())]
+        return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
     return classes.select("shard", "rep", "vector").groupBy("shard").applyInArrow(build, _GRAPH)
 
 
-def find_links(classes: DataFrame, graphs: DataFrame, shards: dict[int, tuple[int, int]], blocks: int, cosine: float = COSINE) -> DataFrame:
-    """A forest (a, b) of the links that queries and graph edges find, per task.
+class Searched:
+    """One copy of a graph, put together from its rows, and what its queries found."""
 
-    ``shards``: for each dimension, the first of its shards and their number.
-    """
-    own = F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(blocks)).cast("int").alias("block")
-    first = F.create_map(*[F.lit(x) for d, (a, _) in shards.items() for x in (d, a)])[F.size("vector")]
-    count = F.create_map(*[F.lit(x) for d, (_, n) in shards.items() for x in (d, n)])[F.size("vector")]
-    asked = classes.select("rep", "vector", own, F.explode(F.sequence(first, first + count - 1)).alias("shard"))
-    copies = graphs.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-
-    def query(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _EDGES.empty_table()
-        ids = np.frombuffer(right["ids"][0].as_py(), np.int64)
-        exact = np.frombuffer(right["points"][0].as_py(), np.float64).reshape(len(ids), -1)
-        graph = Graph.unpack(exact.astype(np.float32), right["graph"][0].as_py())
-        reps = left["rep"].to_numpy().astype(np.int64)
-        queries = _unit(_table_vectors(left["vector"], left.num_rows))
-        beam, found_a, found_b = right["beam"][0].as_py(), [], []
-        joined = Joined(len(ids))
-        for k, at in linked(graph, queries, exact, beam, cosine):
-            at = joined.links(at)
-            found_a.append(np.repeat(reps[k], len(at)))
-            found_b.append(ids[at])
-        if left["block"][0].as_py() == 0:  # the graph's own edges, once for each shard
-            base = graph.levels[0][1]
+    def __init__(self, part: int, rows: list[dict], cosine: float):
+        ids, points, base, upper = (b"".join(r[c] for r in rows) for c in ("ids", "points", "base", "upper"))
+        self.part, self.beam, self.cosine = part, rows[0]["beam"], cosine
+        self.ids = np.frombuffer(ids, np.int64)
+        self.exact = np.frombuffer(points, np.float64).reshape(len(self.ids), -1)
+        self.graph = Graph.unpack(self.exact.astype(np.float32), base, upper)
+        self.joined, self.forest = Joined(len(self.ids)), Forest()
+
+    def ask(self, reps: np.ndarray, queries: np.ndarray) -> None:
+        for k, at in linked(self.graph, queries, self.exact, self.beam, self.cosine):
+            at = self.joined.links(at)
+            self.forest.add(np.repeat(reps[k], len(at)), self.ids[at])
+
+    def edges(self) -> pa.RecordBatch:
+        if self.part == 0:  # the graph's own edges, once for each shard
+            base = self.graph.levels[0][1]
             row, col = np.nonzero(base >= 0)
             at = base[row, col]
             for a in range(0, len(row), 1 << 16):
                 r, t = row[a : a + (1 << 16)], at[a : a + (1 << 16)]
-                near = np.einsum("nd,nd->n", exact[r], exact[t]) >= cosine
-                found_a.append(ids[r[near]])
-                found_b.append(ids[t[near]])
-        x, y = forest(np.concatenate(found_a), np.concatenate(found_b))
-        return pa.Table.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], schema=_EDGES)
+                near = np.einsum("nd,nd->n", self.exact[r], self.exact[t]) >= self.cosine
+                self.forest.add(self.ids[r[near]], self.ids[t[near]])
+        return self.forest.edges()
 
-    keys = ("shard", "block")
-    return asked.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(query, "a bigint, b bigint")
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bool, pa.RecordBatch]]:
+    """((shard, part), rows of a graph?, rows) in turn."""
+    for batch in batches:
+        shard, part = batch["shard"].to_numpy(), batch["part"].to_numpy()
+        of_graph = batch["piece"].is_valid().to_numpy(zero_copy_only=False)
+        new = (np.diff(shard) != 0) | (np.diff(part) != 0) | (np.diff(of_graph.astype(int)) != 0)
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield (int(shard[a]), int(part[a])), bool(of_graph[a]), batch.slice(a, b - a)
+
+
+def find_links(classes: DataFrame, graphs: DataFrame, shards: dict[int, tuple[int, int]], parts: int, cosine: float = COSINE) -> DataFrame:
+    """A forest (a, b) of the links that queries and graph edges find, per copy of a graph.
+
+    ``shards``: for each dimension, the first of its shards and their number. ``parts``:
+    copies of each graph, which share the queries.
+    """
+    own = F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(parts)).cast("int").alias("part")
+    first = F.create_map(*[F.lit(x) for d, (a, _) in shards.items() for x in (d, a)])[F.size("vector")]
+    count = F.create_map(*[F.lit(x) for d, (_, n) in shards.items() for x in (d, n)])[F.size("vector")]
+    asked = classes.select("rep", "vector", own, F.explode(F.sequence(first, first + count - 1)).alias("shard"))
+    copies = graphs.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    rows = copies.unionByName(asked, allowMissingColumns=True)
+    total = sum(n for _, n in shards.values()) * parts
+    placed = rows.repartitionById(total, (F.col("shard") * parts + F.col("part")).cast("int"))
+    placed = placed.sortWithinPartitions("shard", "part", F.col("piece").asc_nulls_last())
+
+    def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, pieces, at_hand = None, [], None
+        for now, of_graph, rows in _runs(batches):
+            if now != key:
+                if at_hand or pieces:
+                    yield (at_hand or Searched(key[1], pieces, cosine)).edges()
+                key, pieces, at_hand = now, [], None
+            if of_graph:
+                pieces += rows.select(["beam", "ids", "points", "base", "upper"]).to_pylist()
+            else:
+                at_hand = at_hand or Searched(key[1], pieces, cosine)
+                pieces = []
+                vectors = _unit(_table_vectors(pa.chunked_array([rows["vector"]]), rows.num_rows))
+                at_hand.ask(rows["rep"].to_numpy().astype(np.int64), vectors)
+        if at_hand or pieces:
+            yield (at_hand or Searched(key[1], pieces, cosine)).edges()
+
+    return placed.mapInArrow(query, "a bigint, b bigint")
 
 
 def count_links(members: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -477,8 +526,10 @@ def _components(embeddings: DataFrame, cosine: float, shard_rows: int, query_row
     count = F.create_map(*[F.lit(x) for d, (_, n) in shards.items() for x in (d, n)])[F.size("vector")]
     sharded = classes.withColumn("shard", (first + F.pmod(F.xxhash64("rep"), count)).cast("int"))
     graphs = settle(build_graphs(sharded, cosine), "graphs")
-    blocks = max(1, -(-sum(sizes.values()) // query_rows))
-    parts = settle(connected_components(find_links(classes, graphs, shards, blocks, cosine)), "components")
+    # enough copies to keep all cores busy, however many vectors ask
+    wanted = -(-COPIES * rows.sparkSession.sparkContext.defaultParallelism // total)
+    copies = max(1, min(wanted, -(-sum(sizes.values()) // query_rows)))
+    parts = settle(connected_components(find_links(classes, graphs, shards, copies, cosine)), "components")
     members = parts.withColumnRenamed("id", "rep").join(classes, "rep")
     counted = count_links(members, cosine)
     known = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").join(counted, "rep", "left")

@@ -174,6 +174,27 @@ def test_audit_counts_links_and_not_selves():
     assert embedding_dedup.audit(graph, 0.95)[0] == 0
 
 
+def test_graphs_travel_in_small_rows():
+    points = embedding_dedup._unit(np.random.default_rng(2).normal(size=(2500, 8)))
+    graph = embedding_dedup.Graph.build(points.astype(np.float32))
+    rows = list(graph.pack())
+    assert [len(p) for p, _, _ in rows] == [1024 * 8 * 4, 1024 * 8 * 4, 452 * 8 * 4] and not rows[1][2]
+    again = embedding_dedup.Graph.unpack(graph.points, b"".join(r[1] for r in rows), b"".join(r[2] for r in rows))
+    for (_, near), (_, back) in zip(graph.levels, again.levels, strict=True):
+        assert (near == back).all()
+
+
+def test_copies_of_graphs_do_not_follow_the_queries(spark, monkeypatch):
+    made = []
+    plain = embedding_dedup.find_links
+    monkeypatch.setattr(embedding_dedup, "find_links", lambda classes, graphs, shards, parts, cosine: made.append((sum(n for _, n in shards.values()), parts)) or plain(classes, graphs, shards, parts, cosine))
+    vectors = np.random.default_rng(3).normal(size=(300, 6)).tolist()
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<double>")
+    assert embedding_dedup.groups(frame, shard_rows=100, query_rows=1).count() == 300
+    (shards, copies), cores = made[0], spark.sparkContext.defaultParallelism
+    assert shards * copies < embedding_dedup.COPIES * cores + shards
+
+
 def test_embedding_edges(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embedding_dedup.groups(empty).collect() == []
