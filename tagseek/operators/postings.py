@@ -7,12 +7,16 @@ where the term stands in it. ``field`` is ``exact`` (lower-cased words) or
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.inverted import word_entries
-from ..functions.sound import sound_codes, sound_entries
-from ..functions.tokens import cased_words, raw_words, words, words_and_hyphens
+from ..functions.inverted import bare, listed, postings
+from ..functions.sound import codes_of, sound_codes
+from ..functions.tokens import cased_words, cased_words_and_hyphens, lowered_as_a_whole, raw_words, words, words_and_hyphens
 
 EXACT, SOUND = "exact", "sound"
 
@@ -21,41 +25,46 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _inverted(tokens: DataFrame, field: str) -> DataFrame:
-    """Add ``<field>``: one struct (field, term, positions, hyphens) per distinct term.
-
-    A record is inverted inside its own row. Nothing is shuffled, whatever the words.
-    """
-    made = word_entries if field == EXACT else sound_entries
-    return tokens.withColumn(field, made(F.col(f"{field}_tokens")))
-
-
 def build_postings(documents: DataFrame, fields: tuple[str, ...] = (EXACT,), lowercase_sounds: bool = False) -> DataFrame:
     """documents(doc_id, text) → (field, term, doc_id, dl, freq, positions, hyphens).
 
-    Narrow from end to end: each record becomes its postings within one task.
-    Every record's text is read once for all fields asked for.
+    Narrow from end to end: each record becomes its postings within one task. Every
+    text is split into words once for all fields asked for; lower case and sound codes
+    are worked out for a batch's distinct words.
     """
-    has_words = documents.select("doc_id", "text").where(F.col("text").isNotNull())
-    tokens = has_words
-    if EXACT in fields:
-        tokens = tokens.withColumn("exact_tokens", words_and_hyphens(F.col("text")))
-    if SOUND in fields:
-        spelled = words(F.col("text")) if lowercase_sounds else cased_words(F.col("text"))
-        tokens = tokens.withColumn("sound_tokens", spelled)
-    rows = tokens.withColumn("dl", F.size(f"{fields[0]}_tokens")).drop("text")
-    for field in fields:
-        rows = _inverted(rows, field)
-    # The arrays must not travel with each exploded row: only id and length do.
-    # And the outer form keeps the planner from testing "is the array empty" up
-    # front, which would work out the whole expression a second time.
-    everything = F.concat(*fields) if len(fields) > 1 else F.col(fields[0])
-    return (
-        rows.select("doc_id", "dl", everything.alias("entries"))
-        .select("doc_id", "dl", F.inline_outer("entries"))
-        .select("field", "term", "doc_id", "dl", F.size("positions").alias("freq"), "positions", "hyphens")
-        .where(F.col("term").isNotNull())
-    )
+    docs = documents.select("doc_id", "text").where(F.col("text").isNotNull())
+    text, none = F.col("text"), F.lit(None).cast("array<string>")
+    if SOUND not in fields or lowercase_sounds:
+        tokens, lowered = words_and_hyphens(text), none
+    elif EXACT not in fields:
+        tokens, lowered = cased_words(text), none
+    else:
+        tokens, lowered = cased_words_and_hyphens(text), F.when(lowered_as_a_whole(text), words_and_hyphens(text))
+    cased = tuple(fields) != (EXACT,) and not lowercase_sounds
+
+    def lower(spelled: pa.Array) -> pa.Array:
+        return pa.array([w.lower() for w in listed(bare(spelled))], pa.string()) if cased else bare(spelled)
+
+    def sounds(spelled: pa.Array) -> pa.Array:
+        return codes_of(bare(spelled))
+
+    how = {EXACT: (EXACT, lower, True), SOUND: (SOUND, sounds, False)}
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = batch["lowered"].is_valid()
+            if not pc.any(apart).as_py():
+                yield from postings(batch["doc_id"], batch["tokens"], [how[f] for f in fields])
+                continue
+            usual, rare = batch.filter(pc.invert(apart)), batch.filter(apart)
+            yield from postings(usual["doc_id"], usual["tokens"], [how[f] for f in fields])
+            yield from postings(rare["doc_id"], rare["lowered"], [(EXACT, bare, True)])
+            yield from postings(rare["doc_id"], rare["tokens"], [how[SOUND]])
+
+    entries.__name__ = "_and_".join({EXACT: "word", SOUND: "sound"}[f] for f in fields) + "_entries"  # shown in plans
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"field string, term string, doc_id {kind}, dl int, freq int, positions array<int>, hyphens array<int>"
+    return docs.select("doc_id", tokens.alias("tokens"), lowered.alias("lowered")).mapInArrow(entries, schema)
 
 
 def build_phonetic_postings(documents: DataFrame, lowercase: bool = False) -> DataFrame:
