@@ -378,14 +378,14 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")))
 
 
-def _row_bytes(columns: list[tuple[str, str]]) -> Column:
+def row_bytes(columns: list[tuple[str, str]]) -> Column:
     """About what a row takes in a broadcast table."""
     text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in columns if kind == "string"]
     return reduce(Column.__add__, text, F.lit(32 + 16 * len(columns)))
 
 
 def _join_bytes(rows: DataFrame, columns: list[str]) -> int:
-    return rows.agg(F.sum(_row_bytes(rows.select(*columns).dtypes))).first()[0] or 0
+    return rows.agg(F.sum(row_bytes(rows.select(*columns).dtypes))).first()[0] or 0
 
 
 def term_blocks(terms: DataFrame, limit: int) -> list[tuple[Column, Column]]:
@@ -395,7 +395,7 @@ def term_blocks(terms: DataFrame, limit: int) -> list[tuple[Column, Column]]:
     together read the postings once. Only the rows of one single term that exceed the
     limit are split by query, and read that term's postings again.
     """
-    size = _row_bytes(terms.dtypes).alias("size")
+    size = row_bytes(terms.dtypes).alias("size")
     folders = terms.groupBy("term_bucket").agg(F.sum(size).alias("size")).orderBy("term_bucket").collect()
     blocks, packed, room = [], [], 0
     for bucket, total in folders:
@@ -416,19 +416,22 @@ def term_blocks(terms: DataFrame, limit: int) -> list[tuple[Column, Column]]:
 
 #: What names the postings of a term.
 TERM_KEYS = ["field", "term_bucket", "term"]
+#: Blocks that terms go in at most, about; more terms make them larger. Each opens all buckets and costs the
+#: driver some jobs, so if both grew with the input, tasks would with its square.
+BLOCKS = 8
 
 
 def probe_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings of the wanted terms(field, term_bucket, term, query_id, …); no posting moves.
 
-    Terms beyond the broadcast limit go in blocks below it, each over its own part of
-    the postings; of those, only rows found travel on.
+    Terms beyond the broadcast limit go in blocks below it, or in ``BLOCKS`` larger ones,
+    each over its own part of the postings; of those, only rows found travel on.
     """
-    limit = _broadcast_limit(postings.sparkSession)
-    if limit <= 0 or _join_bytes(terms, terms.columns) <= limit:
+    limit, size = _broadcast_limit(postings.sparkSession), _join_bytes(terms, terms.columns)
+    if limit <= 0 or size <= limit:
         return probe(postings, terms, TERM_KEYS)
     parts = [
         probe(postings.where(of_postings), F.broadcast(terms.where(of_terms)), TERM_KEYS)
-        for of_postings, of_terms in term_blocks(terms, limit)
+        for of_postings, of_terms in term_blocks(terms, max(limit, -(-size // BLOCKS)))
     ]
     return reduce(DataFrame.unionByName, parts)
