@@ -7,14 +7,16 @@ frequencies, sums) needs no exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import coarse_length, saturation
 from ..functions.sweep import apart, pair_windows, sloppy_windows
 from ..params import SearchParams
-from ..session import worked_out
-from ..sources.store import Index, probe_terms
+from ..session import settings, settle, worked_out
+from ..sources.store import TERM_KEYS, Index, probe, probe_terms, row_bytes
 from .clauses import CONSTANT, FUZZY, HYPHEN, PHRASE, clause_terms
 from .postings import EXACT, SOUND, analyzed_queries
 
@@ -34,20 +36,94 @@ def _common(slots: Column) -> Column:
     return F.size(F.aggregate(slots, F.element_at(slots, 1), lambda a, b: F.array_intersect(a, b)))
 
 
-def match_terms(terms: DataFrame, index: Index, params: SearchParams, width: bool = False) -> DataFrame:
-    """Clause terms → (query_id, clause, doc_id, dl, freq, score[, width]).
+#: What names a clause.
+CLAUSE = ["query_id", "field", "clause", "kind", "boost", "n_slots", "idf"]
+#: Postings a record that phrases may gather; where they would gather more, each goes by its rarest word.
+GATHERED = 10
+#: Bytes of phrases broadcast together.
+TOGETHER = 32 << 20
+#: Tables bucketed by record are joined by record and word as they lie.
+IN_BUCKETS = {"spark__sql__requireAllClusterKeysForCoPartition": "false"}
 
-    ``freq`` is the clause's frequency in the record (NULL for clauses that only
-    ask "is it there"), ``width`` the tightest sloppy window.
-    """
+
+def _entry() -> Column:
     # A hyphenated form needs a hyphen after each word but the last. Clauses that
     # only ask "is it there" carry no places at all.
     inner = (F.col("kind") == HYPHEN) & (F.col("slot") < F.col("n_slots") - 1)
     places = F.when(inner, F.col("hyphens")).when((F.col("kind") != CONSTANT) & (F.col("n_slots") > 1), F.col("positions"))
+    return F.struct("slot", "weight", "freq", places.alias("places"))
+
+
+def _entries(terms: DataFrame, index: Index) -> DataFrame:
+    """Clause terms → (clause, doc_id, dl, entries): the postings a record has for a clause."""
     rows = probe_terms(index.postings, terms)
-    found = rows.groupBy("query_id", "field", "clause", "kind", "boost", "n_slots", "idf", "doc_id", "dl").agg(
-        F.collect_list(F.struct("slot", "weight", "freq", places.alias("places"))).alias("entries")
-    )
+    return rows.groupBy(*CLAUSE, "doc_id", "dl").agg(F.collect_list(_entry()).alias("entries"))
+
+
+def _all_entries(terms: DataFrame, index: Index, exact: bool) -> tuple[DataFrame, bool]:
+    """As ``_entries``, but phrases that would gather far more postings than there are
+    records, since many hold frequent words, gather those of their rarest words only; and whether any do."""
+    several = F.col("kind").isin(PHRASE, HYPHEN) & (F.col("n_slots") > 1)
+    rows = terms.where(several).agg(F.sum("df")).first()[0] or 0
+    if rows <= GATHERED * index.n_docs:
+        return _entries(terms, index), False
+    own = Window.partitionBy(*CLAUSE)
+    slots = terms.withColumns({"_rows": F.count(F.lit(1)).over(own), "_slots": F.size(F.collect_set("slot").over(own))})
+    # every word is one term; words that stand for several are gathered as before
+    plain = several & (F.col("_rows") == F.col("n_slots")) & (F.col("_slots") == F.col("n_slots"))
+    marked = settle(slots.withColumn("_plain", F.coalesce(plain, F.lit(False))).drop("_rows", "_slots"), "marked")
+    parts = _rarest_first(marked.where("_plain").drop("_plain"), index, exact)
+    others = marked.where("not _plain").drop("_plain")
+    if not parts:
+        return _entries(others, index), False
+    if not others.isEmpty():
+        parts.append(_entries(others, index))
+    return reduce(DataFrame.unionByName, parts), True
+
+
+def _rarest_first(terms: DataFrame, index: Index, exact: bool) -> list[DataFrame]:
+    """``_entries`` of clauses with one term per slot, in parts; records that lack a word may be left out.
+
+    Postings of a clause's rarest word name the records in question. Those of its other
+    words are read once for all clauses, and met by record and word. Both lie in the
+    records' buckets, so neither moves where ``IN_BUCKETS`` holds. ``exact``: only those
+    that stand in order next to the rarest are kept.
+    """
+    held = F.sort_array(F.collect_list(F.struct("df", "slot", "weight", "term", "term_bucket")))
+    clauses = terms.groupBy(*CLAUSE).agg(held.alias("held")).withColumn("rare", F.get("held", F.lit(0)))
+    asked = clauses.select(*CLAUSE, "rare.slot", "rare.weight", "rare.term", "rare.term_bucket", F.explode(F.slice("held", 2, F.size("held"))).alias("other"))
+    asked = settle(asked.select(*asked.columns[:-1], *[F.col(f"other.{c}").alias(f"other_{c}") for c in ("slot", "weight", "term", "term_bucket")]), "asked")
+    longest, size = asked.agg(F.max("n_slots"), F.sum(row_bytes(asked.dtypes))).first()
+    if longest is None:
+        return []
+    parts, n = [], -(-size // TOGETHER)
+    for k in range(n):
+        mine = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == k)
+        words = settle(mine.select("field", F.col("other_term_bucket").alias("term_bucket"), F.col("other_term").alias("term")).distinct(), "words")
+        rare = probe(index.postings, F.broadcast(mine), TERM_KEYS).select(
+            *CLAUSE, "doc_id", "dl", _entry().alias("first"), *[F.col(f"other_{c}").alias(c) for c in ("slot", "weight", "term", "term_bucket")]
+        )
+        others = probe(index.postings, F.broadcast(words), TERM_KEYS).drop("dl")
+        met = rare.join(others, ["doc_id", *TERM_KEYS]).select(*CLAUSE, "doc_id", "dl", "first", _entry().alias("other"))
+        if exact:
+            moved = F.transform("first.places", lambda p: p - F.col("first.slot") + F.col("other.slot"))
+            met = met.where(F.arrays_overlap(moved, "other.places"))
+        if longest == 2:
+            parts.append(met.select(*CLAUSE, "doc_id", "dl", F.array("first", "other").alias("entries")))
+        else:
+            entries = F.concat(F.array(F.first("first")), F.collect_list("other"))
+            parts.append(met.groupBy(*CLAUSE, "doc_id", "dl").agg(entries.alias("entries")))
+    return parts
+
+
+def match_terms(terms: DataFrame, index: Index, params: SearchParams, width: bool = False) -> DataFrame:
+    """Clause terms → (query_id, clause, doc_id, dl, freq, score[, width]).
+
+    ``freq`` is the clause's frequency in the record (NULL for clauses that only
+    ask "is it there"), ``width`` the tightest sloppy window.
+    """
+    sweeps = max(params.slop, params.wildcard_slop) > 0 or width
+    found, rarest = _all_entries(terms, index, not sweeps)
     kind, n, entries = F.col("kind"), F.col("n_slots"), F.col("entries")
     several = kind.isin(PHRASE, HYPHEN) & (n > 1)
     present = F.size(F.array_distinct(F.transform(entries, lambda e: e["slot"])))
@@ -55,7 +131,7 @@ def match_terms(terms: DataFrame, index: Index, params: SearchParams, width: boo
     found = worked_out(found, slots=F.when(several, _all_slots(entries, n)))
 
     exact = _common(F.col("slots")).cast("double")
-    if max(params.slop, params.wildcard_slop) > 0 or width:
+    if sweeps:
         reach = F.when(F.col("clause") == "wildcard", params.wildcard_slop).otherwise(params.slop)
         swept = (kind == PHRASE) & (F.lit(True) if width else reach > 0)
         # two words that differ need no Python
@@ -81,7 +157,11 @@ def match_terms(terms: DataFrame, index: Index, params: SearchParams, width: boo
     kept = ["query_id", "clause", "doc_id", "dl", "freq", (F.col("boost") * value).alias("score")]
     if width:
         kept.append(F.col("windows.width").alias("width"))
-    return found.select(*kept)
+    hits = found.select(*kept)
+    if not rarest:
+        return hits
+    with settings(index.spark, **IN_BUCKETS):  # planned and run here: who asks later may plan otherwise
+        return settle(hits, "clause_hits")
 
 
 def match_clauses(clauses: DataFrame, index: Index, field: str = EXACT, params: SearchParams = SearchParams(), width: bool = False) -> DataFrame:

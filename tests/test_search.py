@@ -299,6 +299,38 @@ def test_terms_beyond_the_broadcast_limit_move_no_postings(spark, index, ask):
     assert plan.count("tagseek_postings") > 3 and "Exchange hashpartitioning(term" not in plan and "SortMergeJoin" not in plan
 
 
+def test_blocks_of_terms_do_not_grow_in_number(spark, index, monkeypatch):
+    # 38,000 terms once went in 44 blocks, each with jobs of its own and a scan of all buckets
+    terms = settle(spark.range(500).select(F.lit("exact").alias("field"), F.lit(0).alias("term_bucket"), F.concat(F.lit("w"), "id").alias("term"), F.col("id").alias("query_id")))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1000"):
+        plan = plan_of(store.probe_terms(index.postings, terms))
+    assert 1 < plan.count("BroadcastHashJoin") <= 2 * store.BLOCKS
+
+
+def test_phrases_go_by_their_rarest_words(spark, monkeypatch):
+    texts = ["a b a b c", "b a", "a-b c", "a b", "c b a b", "a a", "b", "a-b-c a b c", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    held = save_index(docs, fresh_path(spark, "rarest"), doc_buckets=3, fields=("exact",))
+    phrases = ["a b", "b c", "a b c", "a a", "c", "z a", "a b", "c b a b", "", None]
+    rows = [*enumerate(phrases), (0, "a b"), (1, "c b"), (2, "a b"), (None, "a b")]  # ids may repeat or be null
+    asked = spark.createDataFrame(rows, "query_id bigint, phrase string")
+    ways = (lambda q: match.match_phrase(q, held), lambda q: match.match_phrase(q, held, slop=2, width=True), lambda q: match.match_hyphenated(q, held))
+    former = [sorted(way(asked).collect()) for way in ways]
+    assert {(r["query_id"], r["doc_id"]): r["freq"] for r in former[0]}[6, 0] == 2.0
+    monkeypatch.setattr(match, "GATHERED", 0)
+    assert [sorted(way(asked).collect()) for way in ways] == former
+    # pairs: nothing but the rarest word's postings is gathered, and neither side moves
+    pairs = spark.createDataFrame([(0, "a b"), (1, "b c")], "query_id bigint, phrase string")
+    plans = []
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1"):
+        monkeypatch.setattr(match, "settle", lambda df, label: plans.append(plan_of(df)) or settle(df, label))
+        found = match.match_phrase(pairs, held)
+        assert {(r["query_id"], r["doc_id"]) for r in found.collect()} == {(0, 0), (0, 2), (0, 3), (0, 4), (0, 7), (1, 0), (1, 2), (1, 7)}
+    assert "SortMergeJoin" in plans[-1] and "Exchange hashpartitioning" not in plans[-1] and "collect_list" not in plans[-1]
+    monkeypatch.setattr(match, "TOGETHER", 2000)
+    assert sorted(match.match_phrase(asked, held).collect()) == former[0]
+
+
 def test_blocks_of_terms_hold_each_row_once(spark):
     rows = [(q, f"w{q % 50:02d}" if q % 3 else "hot", q % 4) for q in range(600)]
     terms = spark.createDataFrame(rows, "query_id bigint, term string, term_bucket int")
