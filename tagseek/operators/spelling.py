@@ -69,7 +69,7 @@ def build_dictionary(index: Index, rebuild: bool = False) -> DataFrame:
             pass
     made = dictionary_of(dealt(index.vocabulary.where(F.col("field") == EXACT)))
     made = made.select(term_bucket(F.col("gram"), index.term_buckets).alias("gram_bucket"), "gram", "term", "df")
-    write_keys(made, path, ["gram_bucket"], "gram", index.term_buckets)
+    write_keys(made, path, "gram_bucket", "gram", index.term_buckets)
     return saved.parquet(path)
 
 

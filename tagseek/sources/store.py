@@ -245,14 +245,18 @@ def dealt(words: DataFrame) -> DataFrame:
     return words.repartition(max(1, -(-words.count() // WORDS_PER_TASK)), "term")
 
 
-def write_keys(keys: DataFrame, path: str, folders: list[str], key: str, buckets: int) -> None:
-    """Write the keys of ``dealt`` words in folders, sorted by key.
+def write_keys(keys: DataFrame, path: str, folder: str, key: str, buckets: int) -> None:
+    """Write the keys of ``dealt`` words in folders by ``folder``, the bucket of a key, sorted by key.
 
     Each task writes what it made: keys outnumber their words by far and need not
-    travel, unless that gave each of many key buckets a file of every task.
+    travel, unless that gave each of many key buckets a file of every task. A sort compares
+    the beginnings of its first column cheaply and whole rows otherwise, so that column is
+    the key wherever there is one folder only.
     """
-    held = keys if buckets == 1 else keys.hint("rebalance", *folders)
-    held.sortWithinPartitions(*folders, key).write.mode("overwrite").partitionBy(*folders).parquet(path)
+    if buckets == 1:
+        keys.drop(folder).sortWithinPartitions(key).write.mode("overwrite").parquet(f"{path}/{folder}=0")
+        return
+    keys.hint("rebalance", folder).sortWithinPartitions(folder, key).write.mode("overwrite").partitionBy(folder).parquet(path)
 
 
 def _published(spark: SparkSession, path: str, must: bool = True) -> State | None:

@@ -43,6 +43,32 @@ def test_keys_of_a_vocabulary_are_made_by_many_tasks(spark, monkeypatch):
     assert made.count() == spelling.dictionary_of(index.vocabulary).count()
 
 
+def test_keys_are_made_of_the_field_asked_for_and_sorted_by_key_alone(spark, monkeypatch):
+    # keys of sounds were made for every suggestion, and the sort's first column was the folder, equal in all rows
+    sorts = []
+    frame = type(spark.range(1))
+    plain = frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *columns: sorts.append(columns) or plain(self, *columns))
+    rows = spark.createDataFrame([(1, "night knight nite"), (2, "day dais")], "doc_id bigint, text string")
+    index = save_index(rows, fresh_path(spark, "fields"), doc_buckets=2)
+    del sorts[:]
+    asked = spark.createDataFrame([("nigt",), ("NFT",)], "key string")
+    assert {r["term"] for r in lexicon.words_of(index, "exact", "deletions", asked).collect()} == {"night", "knight"}
+    saved = spark.read.schema(lexicon.KEYS).parquet(f"{index.path}/{index.build_id}/lexicon/deletions")
+    assert {r["field"] for r in saved.select("field").distinct().collect()} == {"exact"}
+    dictionary = spelling.build_dictionary(index)
+    assert sorts == [("key",), ("gram",)]
+    assert dictionary.count() == spelling.dictionary_of(index.vocabulary.where("field = 'exact'")).count()
+    # whoever asks for the other field gets its keys too, beside the first ones
+    assert {r["field"] for r in lexicon.lexicon(index, "deletions").select("field").distinct().collect()} == {"exact", "sound"}
+    assert {r["term"] for r in lexicon.words_of(index, "exact", "deletions", asked).collect()} == {"night", "knight"}
+    # several folders: sorted by both, as files of several folders must be
+    split = save_index(rows, fresh_path(spark, "fields"), doc_buckets=2, term_buckets=3)
+    del sorts[:]
+    assert {r["term"] for r in lexicon.words_of(split, "exact", "deletions", asked).collect()} == {"night", "knight"}
+    assert sorts == [("key_bucket", "key")]
+
+
 def test_deletion_keys_are_all_that_is_left(spark):
     words = ["", "a", "ab", "aaaa", "abcdefg", "abcdefgh", "éßab", "abababab"]
     rows = spark.createDataFrame([(w,) for w in words], "word string")
