@@ -305,28 +305,33 @@ def significant_tags(spark, sf_dir):
 # --- spelling ----------------------------------------------------------------------------
 
 
+def _spelled(spark, sf_dir) -> store.Index:
+    """Spelling, and searches of words alone, read no sounds: none are worked out for them."""
+    return corpus_index(spark, sf_dir, (postings.EXACT,))
+
+
 def _words(spark) -> DataFrame:
     return postings.tokenize_queries(query_table(spark, "spelling")).select(F.col("term").alias("word")).distinct()
 
 
 def _options(spark, sf_dir) -> DataFrame:
-    index = corpus_index(spark, sf_dir)
+    index = _spelled(spark, sf_dir)
     asked = query_table(spark, "spelling")
     everything = _words(spark).unionByName(spelling.compound_forms(asked).select("word")).distinct()
     return spelling.word_options(everything, index, spelling.build_dictionary(index))
 
 
 def spell_dictionary(spark, sf_dir):
-    made = spelling.build_dictionary(corpus_index(spark, sf_dir))
+    made = spelling.build_dictionary(_spelled(spark, sf_dir))
     return made.select(F.length("gram").cast("bigint").alias("n"), "gram", "term")
 
 
 def spell_known(spark, sf_dir):
-    return spelling.known_words(_words(spark), corpus_index(spark, sf_dir))
+    return spelling.known_words(_words(spark), _spelled(spark, sf_dir))
 
 
 def spell_suggest(spark, sf_dir):
-    index = corpus_index(spark, sf_dir)
+    index = _spelled(spark, sf_dir)
     found = spelling.suggest_similar(_words(spark), spelling.build_dictionary(index), 2, index.term_buckets, index)
     return found.withColumn("place", F.col("place").cast("bigint"))
 
@@ -348,12 +353,12 @@ def spell_compounds(spark, sf_dir):
 
 
 def spell_final(spark, sf_dir):
-    found = spelling.suggest_phrases(query_table(spark, "spelling"), corpus_index(spark, sf_dir))
+    found = spelling.suggest_phrases(query_table(spark, "spelling"), _spelled(spark, sf_dir))
     return found.withColumn("place", F.col("place").cast("bigint"))
 
 
 def fallback_search(spark, sf_dir):
-    index, asked = corpus_index(spark, sf_dir), query_table(spark, "spelling")
+    index, asked = _spelled(spark, sf_dir), query_table(spark, "spelling")
     found = plans.exact_search(asked, index, STRICT)
     again = plans.fallback_search(asked, found.totals, index, STRICT)
     merged = rank.merge_scores(again.tags)

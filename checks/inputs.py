@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagseek.operators.postings import tokenize_queries
+from tagseek.operators.postings import EXACT, SOUND, tokenize_queries
 from tagseek.session import fresh_path
 from tagseek.sources.store import Index, load_index, save_index, total_bytes
 
@@ -86,14 +86,17 @@ def benchmark_patterns(spark: SparkSession, sf_dir: str, letters: int = 5) -> Da
 _saved: dict[tuple[str, str, str], str] = {}
 
 
-def corpus_index(spark: SparkSession, sf_dir: str) -> Index:
-    """Built once per session and input folder, then only opened."""
-    key = (spark.sparkContext.applicationId, sf_dir, "corpus")
-    if key not in _saved:
+def corpus_index(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = (EXACT, SOUND)) -> Index:
+    """Built once per session and input folder, then only opened.
+
+    A search that asks for words only takes an index of words, unless one of both fields is there.
+    """
+    key, whole = [(spark.sparkContext.applicationId, sf_dir, " ".join(["corpus", *held])) for held in (fields, (EXACT, SOUND))]
+    if key not in _saved and whole not in _saved:
         path = fresh_path(spark, "corpus")
-        save_index(corpus(spark, sf_dir), path, input_bytes=total_bytes(spark, f"{sf_dir}/documents.parquet"))
+        save_index(corpus(spark, sf_dir), path, input_bytes=total_bytes(spark, f"{sf_dir}/documents.parquet"), fields=fields)
         _saved[key] = path
-    return load_index(spark, _saved[key])
+    return load_index(spark, _saved.get(whole) or _saved[key])
 
 
 def transcript_index(spark: SparkSession, sf_dir: str) -> Index:

@@ -69,6 +69,38 @@ def test_keys_are_made_of_the_field_asked_for_and_sorted_by_key_alone(spark, mon
     assert sorts == [("key_bucket", "key")]
 
 
+def test_spelling_builds_no_sounds(spark, tmp_path, monkeypatch):
+    # every spelling query built the sound codes of the whole corpus, and read none of them
+    import __spark_entry__ as entry
+    from checks.inputs import corpus_index
+
+    rows = [(i, "s", t) for i, t in enumerate(["which of because", "public domain of", None, "hyper-space"])]
+    spark.createDataFrame(rows, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    fields = lambda index: {r["field"] for r in index.postings.select("field").distinct().collect()}
+    first = sorted(entry.spell_compounds(spark, str(tmp_path)).collect())
+    words = corpus_index(spark, str(tmp_path), ("exact",))
+    assert first and fields(words) == {"exact"}
+    # where sounds are asked for too, one index of both serves all
+    both = corpus_index(spark, str(tmp_path))
+    assert both.path != words.path and fields(both) == {"exact", "sound"}
+    again = corpus_index(spark, str(tmp_path), ("exact",))
+    assert again.path == both.path and (again.n_docs, again.n_tokens) == (words.n_docs, words.n_tokens)
+    assert sorted(entry.spell_compounds(spark, str(tmp_path)).collect()) == first
+
+    class Asked(Exception):
+        pass
+
+    def asked(spark, sf_dir, fields=("exact", "sound")):
+        raise Asked(*fields)
+
+    monkeypatch.setattr(entry, "corpus_index", asked)
+    for name, wanted in (("spell_final", ("exact",)), ("fallback_search", ("exact",)), ("full_search_slop2", ("exact", "sound"))):
+        try:
+            getattr(entry, name)(spark, str(tmp_path))
+        except Asked as told:
+            assert told.args == wanted
+
+
 def test_deletion_keys_are_all_that_is_left(spark):
     words = ["", "a", "ab", "aaaa", "abcdefg", "abcdefgh", "éßab", "abababab"]
     rows = spark.createDataFrame([(w,) for w in words], "word string")
