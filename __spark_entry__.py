@@ -150,7 +150,7 @@ def _matcher(name: str, matcher: Callable, shape: Callable) -> Callable:
 
 def many_terms(spark, sf_dir):
     """A query for every word of the benchmark."""
-    return _freqs(match.match_term(benchmark_words(spark, sf_dir), corpus_index(spark, sf_dir)))
+    return _freqs(match.match_term(benchmark_words(spark, sf_dir), _spelled(spark, sf_dir)))
 
 
 def many_phrases(spark, sf_dir):

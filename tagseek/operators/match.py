@@ -116,12 +116,53 @@ def _rarest_first(terms: DataFrame, index: Index, exact: bool) -> list[DataFrame
     return parts
 
 
+def _lone_apart(terms: DataFrame, index: Index) -> tuple[DataFrame | None, DataFrame | None]:
+    """(terms of clauses that are one term, all others), where the first have far more postings than there
+    are records; else none, and all terms. None also for others, if there are none."""
+    few = GATHERED * index.n_docs
+    if (terms.where(F.col("n_slots") == 1).agg(F.sum("df")).first()[0] or 0) <= few:
+        return None, terms
+    # query ids may repeat; what shares all of a clause's names is one clause of several terms
+    lone = (F.count(F.lit(1)).over(Window.partitionBy(*CLAUSE)) == 1) & (F.col("n_slots") == 1)
+    marked = settle(terms.withColumn("_lone", lone), "marked")
+    rows, others = marked.agg(F.sum(F.when(F.col("_lone"), F.col("df"))), F.count_if(~F.col("_lone"))).first()
+    if (rows or 0) <= few:
+        return None, terms
+    return marked.where("_lone").drop("_lone"), marked.where("not _lone").drop("_lone") if others else None
+
+
+def _score(freq: Column, similar: Column, length: Column, index: Index) -> Column:
+    value = (
+        F.when(F.col("kind") == CONSTANT, F.lit(1.0))
+        .when(F.col("kind") == FUZZY, similar)
+        .otherwise(F.col("idf") * saturation(freq, length, index.avg_length))
+    )
+    return (F.col("boost") * value).alias("score")
+
+
+def _length(params: SearchParams) -> Column:
+    return coarse_length(F.col("dl")) if params.coarse_lengths else F.col("dl")
+
+
 def match_terms(terms: DataFrame, index: Index, params: SearchParams, width: bool = False) -> DataFrame:
     """Clause terms → (query_id, clause, doc_id, dl, freq, score[, width]).
 
     ``freq`` is the clause's frequency in the record (NULL for clauses that only
-    ask "is it there"), ``width`` the tightest sloppy window.
+    ask "is it there"), ``width`` the tightest sloppy window. Where clauses of one term
+    have many postings, each of these is a hit as it is read: there is nothing to gather.
     """
+    lone, others = (None, terms) if width else _lone_apart(terms, index)
+    if lone is None:
+        return _gathered_hits(terms, index, params, width)
+    length = _length(params)
+    similar = F.col("weight") * saturation(F.col("freq"), length, index.avg_length)
+    freq = F.when(F.col("kind") != CONSTANT, F.col("freq").cast("double")).alias("freq")
+    hits = probe_terms(index.postings, lone).select("query_id", "clause", "doc_id", "dl", freq, _score(F.col("freq"), similar, length, index))
+    return hits if others is None else hits.unionByName(_gathered_hits(others, index, params))
+
+
+def _gathered_hits(terms: DataFrame, index: Index, params: SearchParams, width: bool = False) -> DataFrame:
+    """As ``match_terms``, of clauses whose postings in a record are put together first."""
     sweeps = max(params.slop, params.wildcard_slop) > 0 or width
     found, rarest = _all_entries(terms, index, not sweeps)
     kind, n, entries = F.col("kind"), F.col("n_slots"), F.col("entries")
@@ -143,18 +184,13 @@ def match_terms(terms: DataFrame, index: Index, params: SearchParams, width: boo
     single = F.aggregate(entries, F.lit(0), lambda a, e: a + e["freq"]).cast("double")
     freq = F.when(several, exact).when(kind != CONSTANT, single)
     found = worked_out(found, freq=freq).where(F.col("freq").isNull() | (F.col("freq") > 0))
-    length = coarse_length(F.col("dl")) if params.coarse_lengths else F.col("dl")
+    length = _length(params)
     similar = F.aggregate(
         entries,
         F.lit(0.0),
         lambda a, e: a + e["weight"] * saturation(e["freq"], length, index.avg_length),
     )
-    value = (
-        F.when(kind == CONSTANT, F.lit(1.0))
-        .when(kind == FUZZY, similar)
-        .otherwise(F.col("idf") * saturation(F.col("freq"), length, index.avg_length))
-    )
-    kept = ["query_id", "clause", "doc_id", "dl", "freq", (F.col("boost") * value).alias("score")]
+    kept = ["query_id", "clause", "doc_id", "dl", "freq", _score(F.col("freq"), similar, length, index)]
     if width:
         kept.append(F.col("windows.width").alias("width"))
     hits = found.select(*kept)

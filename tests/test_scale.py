@@ -101,6 +101,21 @@ def test_spelling_builds_no_sounds(spark, tmp_path, monkeypatch):
             assert told.args == wanted
 
 
+def test_many_words_build_no_sounds(spark, tmp_path, monkeypatch):
+    # many_terms built the sound codes of the whole corpus, and read none of them
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(1, "s", "night by-nc Night"), (2, "s", None), (3, "t", "knight nc")], "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "NC night nc"), (8, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    opened = []
+    plain = entry.corpus_index
+    monkeypatch.setattr(entry, "corpus_index", lambda *a: opened.append(plain(*a)) or opened[-1])
+    at = 7 << 32
+    wanted = [(at, 1, 1), (at, 3, 1), (at + 1, 1, 2), (at + 2, 1, 1), (at + 2, 3, 1)]
+    assert sorted(tuple(r) for r in entry.many_terms(spark, str(tmp_path)).collect()) == wanted
+    assert {r["field"] for r in opened[0].postings.select("field").distinct().collect()} == {"exact"}
+
+
 def test_deletion_keys_are_all_that_is_left(spark):
     words = ["", "a", "ab", "aaaa", "abcdefg", "abcdefgh", "éßab", "abababab"]
     rows = spark.createDataFrame([(w,) for w in words], "word string")

@@ -331,6 +331,34 @@ def test_phrases_go_by_their_rarest_words(spark, monkeypatch):
     assert sorted(match.match_phrase(asked, held).collect()) == former[0]
 
 
+def test_clauses_of_one_term_are_not_gathered(spark, monkeypatch):
+    # 64 million hits of 0.1 GB were shuffled and put in lists of one, 651 of 865 task seconds
+    texts = ["a b a b c", "b a", "a-b c", "ab abb", "c b a b", "a a", "b", "", None, " ".join("abcde" * 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    held = save_index(docs, fresh_path(spark, "lone"), doc_buckets=3, fields=("exact",))
+    words = [*enumerate(["a", "b", "c", "z", "a", "a b", "", None])]
+    rows = [*words, (0, "a"), (1, "c"), (None, "a")]  # ids may repeat or be null; then they are clauses of several terms
+    asked = spark.createDataFrame(rows, "query_id bigint, phrase string")
+    mixed = expand_queries(spark.createDataFrame([*enumerate(["a", "b~", "ab*", "abb*", "a b", "c", "c", "?", "a b* c~"]), (5, "c")], "query_id bigint, phrase string"))
+    rough = SearchParams(coarse_lengths=True)
+    ways = (
+        lambda: match.match_term(asked, held),
+        lambda: match.match_phrase(asked, held, slop=2, width=True),
+        lambda: match.match_clauses(mixed, held, params=rough),
+    )
+    former = [sorted(way().collect(), key=str) for way in ways]
+    freqs = {(r["query_id"], r["doc_id"]): r["freq"] for r in former[0]}
+    assert freqs[0, 0] == 4.0 and freqs[4, 0] == 2.0 and freqs[1, 2] == 2.0 and freqs[2, 9] == 30.0 and (None, 0) not in freqs
+    assert {r["clause"] for r in former[2]} >= {"phrase", "fuzzy:0", "wildcard", "prefix", "hyphen"}
+    monkeypatch.setattr(match, "GATHERED", 0)
+    assert [sorted(way().collect(), key=str) for way in ways] == former
+    alone = spark.createDataFrame(words, "query_id bigint, phrase string")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="300"):
+        found = match.match_term(alone, held)
+        assert sorted((r["query_id"], r["doc_id"], r["freq"]) for r in found.collect() if r["query_id"] == 4) == [(4, 0, 2.0), (4, 1, 1.0), (4, 2, 1.0), (4, 4, 1.0), (4, 5, 2.0), (4, 9, 30.0)]
+    assert plan_of(found).count("tagseek_postings") > 1 and not any(x in plan_of(found) for x in ("Exchange hashpartitioning", "collect_list", "Generate", "positions"))
+
+
 def test_blocks_of_terms_hold_each_row_once(spark):
     rows = [(q, f"w{q % 50:02d}" if q % 3 else "hot", q % 4) for q in range(600)]
     terms = spark.createDataFrame(rows, "query_id bigint, term string, term_bucket int")
